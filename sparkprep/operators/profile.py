@@ -330,7 +330,8 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
         width = (high - low) / bins
         edges += [(c, b, low + b * width, low + (b + 1) * width, n) for b in range(bins)]
         v = number(df, c)
-        index = F.least(F.floor((v - low) / (high - low) * bins).cast("int"), F.lit(bins - 1))
+        position = F.floor((v - low) / (high - low) * bins).cast("int")
+        index = F.when(v.isNotNull(), F.least(position, F.lit(bins - 1)))
         indexes.append(F.struct(F.lit(c).alias("column"), index.alias("bin")))
     template = small_frame(
         df.sparkSession, edges, "column string, bin int, lower double, upper double, total long"
