@@ -66,6 +66,11 @@ def percent2(part: Column, whole: Column) -> Column:
     return F.when(whole == 0, F.lit(0.0)).otherwise(F.rint(share * 100.0) / 100.0)
 
 
+def rounded_percent(part: int, whole: int) -> float:
+    """:func:`percent2` of driver-held counts."""
+    return round(part / whole * 100.0 * 100.0) / 100.0 if whole else 0.0
+
+
 def one_row_to_many(agg: DataFrame, records: Sequence[Sequence[tuple[str, Column]]]) -> DataFrame:
     """Turn a one-row aggregate into one row per record, each a list of (name, column)."""
     structs = [F.struct(*[c.alias(n) for n, c in record]) for record in records]

@@ -40,9 +40,8 @@ def categories(df: DataFrame, column: str) -> DataFrame:
     return values.distinct().orderBy("category")
 
 
-def multilabel_columns(cell: Column, column: str, names: list[str]) -> dict[str, Column]:
-    """0/1 integer column per kept token."""
-    parts = tokens(cell)
+def multilabel_columns(parts: Column, column: str, names: list[str]) -> dict[str, Column]:
+    """0/1 integer column per kept token, from an array of tokens."""
     return {f"{column}_{n}": F.array_contains(parts, F.lit(n)).cast("int") for n in names}
 
 
@@ -99,33 +98,44 @@ def smoothed(statistics: DataFrame, mean: float, variance: float) -> DataFrame:
     )
 
 
-def learn_target(df: DataFrame, column: str, label: str) -> tuple[dict, DataFrame]:
-    """Fitted values and the table (category, n, encoding) for one column."""
-    target = label_target(df, label)
-    whole = df.agg(
-        F.avg(target).alias("mean"), F.var_pop(target).alias("variance"), F.count(target).alias("n")
-    ).first()
-    if not whole["n"]:
-        state = {"mean": 0.0, "missing": 0.0, "rows": 0, "small": True}
-        return state, small_frame(df.sparkSession, [], ENCODING_SCHEMA)
-    encoded = smoothed(
-        target_statistics(df, column, target), whole["mean"], whole["variance"]
-    ).persist()
-    size = encoded.agg(
-        F.count(F.lit(1)).alias("rows"),
+def learn_target(df: DataFrame, column: str, target: Column) -> tuple[dict, DataFrame]:
+    """Fitted values and the table (category, n, encoding) for one column.
+
+    One pass over the rows gives the category table; the global mean and variance follow
+    from it.
+    """
+    spark = df.sparkSession
+    statistics = target_statistics(df, column, target).persist()
+    whole = statistics.agg(
+        F.sum("n").alias("rows"),
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"),
+        F.count("category").alias("size"),
         F.coalesce(F.sum(F.octet_length("category")), F.lit(0)).alias("bytes"),
-        F.max(F.when(F.col("category").isNull(), F.col("encoding"))).alias("missing"),
     ).first()
-    missing = size["missing"] if size["missing"] is not None else whole["mean"]
-    small = size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
+    if not whole["rows"]:
+        statistics.unpersist()
+        state = {"mean": 0.0, "missing": 0.0, "rows": 0, "small": True}
+        return state, small_frame(spark, [], ENCODING_SCHEMA)
+    rows, mean = whole["rows"], whole["mean"]
+    around = F.col("variance") + F.pow(F.col("mean") - F.lit(mean), F.lit(2.0))
+    variance = statistics.agg((F.sum(F.col("n") * around) / rows).alias("v")).first()["v"]
+    encoded = smoothed(statistics, mean, variance)
+    missing = encoded.where("category IS NULL").first()
     known = encoded.where("category IS NOT NULL")
+    small = whole["size"] <= BROADCAST_ROWS and whole["bytes"] <= BROADCAST_BYTES
     if small:
-        rows = [tuple(r) for r in known.orderBy("category").collect()]
-        table = small_frame(df.sparkSession, rows, ENCODING_SCHEMA)
+        table = small_frame(
+            spark, [tuple(r) for r in known.orderBy("category").collect()], ENCODING_SCHEMA
+        )
     else:
         table = land(known, "target-encoding")
-    encoded.unpersist()
-    state = {"mean": whole["mean"], "missing": missing, "rows": whole["n"], "small": small}
+    statistics.unpersist()
+    state = {
+        "mean": mean,
+        "missing": missing["encoding"] if missing else mean,
+        "rows": rows,
+        "small": small,
+    }
     return state, table
 
 
@@ -224,11 +234,13 @@ class FeatureEncoder(FittingStage, _EncoderParams):
                 if len(found) > limit:
                     raise ValueError(f"{c} has more than {limit} categories for one-hot")
                 state["onehot"][c] = [r["category"] for r in found]
-        for c in self.value("target_cols"):
-            if c in dataset.columns:
-                if label not in dataset.columns:
-                    raise ValueError(f"target encoding of {c} needs the label column {label}")
-                state["target"][c], tables[c] = learn_target(dataset, c, label)
+        by_label = [c for c in self.value("target_cols") if c in dataset.columns]
+        if by_label:
+            if label not in dataset.columns:
+                raise ValueError(f"target encoding of {by_label} needs the label column {label}")
+            target = label_target(dataset, label)
+            for c in by_label:
+                state["target"][c], tables[c] = learn_target(dataset, c, target)
         model = self.fitted_model(FeatureEncoderModel, state)
         model.tables = tables
         return model
@@ -284,6 +296,8 @@ class FeatureEncoderModel(FittedModel, _EncoderParams):
         replaced = set()
         for c, names in self.fitted["multilabel"].items():
             if c in df.columns:
+                # The token array is its own projection, so it is built once per row.
+                df = df.withColumn(c, tokens(col(c)))
                 new.update(multilabel_columns(col(c), c, names))
                 replaced.add(c)
         for c, names in self.fitted["onehot"].items():

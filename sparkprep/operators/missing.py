@@ -14,6 +14,7 @@ from sparkprep.functions.columns import (
     col,
     number,
     numeric_columns,
+    rounded_percent,
     small_frame,
     string_columns,
     value,
@@ -23,11 +24,6 @@ from sparkprep.operators.quantiles import exact_quantiles
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
 
 
-def rounded_percent(part: int, whole: int) -> float:
-    """Percent rounded half-even to two places, as the threshold test needs it."""
-    return round(part / whole * 100.0 * 100.0) / 100.0 if whole else 0.0
-
-
 def learn_imputation(
     df: DataFrame, label: str, skip: set[str], threshold: float, zero_fill: list[str]
 ) -> dict:

@@ -1,14 +1,14 @@
 """Profiles and comparisons of tables; every result is a small DataFrame.
 
-Statistics of all columns come from one aggregate over the table, never one job per
-column.
+Statistics of all columns come from one pass over the table, never one job per column.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -16,11 +16,16 @@ from sparkprep.functions.columns import (
     col,
     number,
     one_row_to_many,
-    percent2,
+    rounded_percent,
     small_frame,
     value,
 )
-from sparkprep.functions.numeric import outside
+from sparkprep.functions.statistics import (
+    column_statistics,
+    distinct_counts,
+    exploded,
+    per_position,
+)
 from sparkprep.operators.quantiles import exact_quantiles, exact_quantiles_by
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -29,28 +34,34 @@ QUARTILES = [0.25, 0.5, 0.75]
 def missing_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
     """Per column: missing count and percent, type, distinct non-null values.
 
-    Sorted by percent descending, equal ones in column order. ``exact_distinct=False``
-    replaces the exact distinct counts, which shuffle the distinct values of every
-    column, by sketches.
+    Sorted by percent descending, equal ones in column order. Exact distinct counts shuffle
+    the distinct values of every column; ``exact_distinct=False`` takes sketches instead.
     """
-    distinct = F.count_distinct if exact_distinct else F.approx_count_distinct
-    agg = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count(value(df, c)).alias(f"c{i}") for i, c in enumerate(df.columns)],
-        *[distinct(value(df, c)).alias(f"d{i}") for i, c in enumerate(df.columns)],
+    if exact_distinct:
+        found = {
+            r["position"]: (r["rows"], r["missing"], r["distinct"])
+            for r in distinct_counts(df).collect()
+        }
+    else:
+        row = df.agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.count(value(df, c)).alias(f"c{i}") for i, c in enumerate(df.columns)],
+            *[F.approx_count_distinct(value(df, c)).alias(f"d{i}") for i, c in enumerate(df.columns)],
+        ).first()
+        found = {
+            i: (row["n"], row["n"] - row[f"c{i}"], row[f"d{i}"]) for i in range(len(df.columns))
+        }
+    rows = []
+    for i, f in enumerate(df.schema.fields):
+        n, missing, distinct = found.get(i, (0, 0, 0))
+        percent = rounded_percent(missing, n)
+        rows.append((f.name, i, missing, percent, f.dataType.simpleString(), distinct))
+    return small_frame(
+        df.sparkSession,
+        sorted(rows, key=lambda r: (-r[3], r[1])),
+        "column string, position int, missing_count long, missing_percentage double, "
+        "dtype string, unique_values long",
     )
-    records = [
-        [
-            ("column", F.lit(f.name)),
-            ("position", F.lit(i)),
-            ("missing_count", F.col("n") - F.col(f"c{i}")),
-            ("missing_percentage", percent2(F.col("n") - F.col(f"c{i}"), F.col("n"))),
-            ("dtype", F.lit(f.dataType.simpleString())),
-            ("unique_values", F.col(f"d{i}")),
-        ]
-        for i, f in enumerate(df.schema.fields)
-    ]
-    return one_row_to_many(agg, records).orderBy(F.desc("missing_percentage"), "position")
 
 
 def top_missing(profile: DataFrame, n: int = 5) -> DataFrame:
@@ -89,42 +100,40 @@ def outlier_profile(
     """Per ruled column: counts outside the range and outside the IQR fences, and extremes."""
     ruled = [c for c in ranges if c in df.columns]
     quartiles = exact_quantiles(df, ruled, QUARTILES)
-    bounds = {c: iqr_bounds(quartiles[c], factor) for c in ruled}
-    aggs: list[Column] = []
-    for i, c in enumerate(ruled):
-        v, (low, high) = number(df, c), ranges[c]
-        fences = bounds[c]
-        beyond = outside(v, *fences) if fences else F.lit(False)
-        aggs += [
-            F.count_if(v < 0).alias(f"neg{i}"),
-            F.count_if(v < F.lit(low)).alias(f"below{i}"),
-            F.count_if(v > F.lit(high)).alias(f"above{i}"),
-            F.count_if(beyond).alias(f"out{i}"),
-            F.min(v).alias(f"min{i}"),
-            F.max(v).alias(f"max{i}"),
-        ]
-    if not ruled:
-        return small_frame(df.sparkSession, [], OUTLIER_SCHEMA)
-    records = []
-    for i, c in enumerate(ruled):
-        fences = bounds[c] or (None, None)
-        records.append(
-            [
-                ("column", F.lit(c)),
-                ("negative_count", F.col(f"neg{i}")),
-                ("below_min", F.col(f"below{i}")),
-                ("above_max", F.col(f"above{i}")),
-                ("valid_min", F.lit(float(ranges[c][0]))),
-                ("valid_max", F.lit(float(ranges[c][1]))),
-                ("statistical_outliers", F.col(f"out{i}")),
-                ("iqr_lower", F.lit(fences[0]).cast("double")),
-                ("iqr_upper", F.lit(fences[1]).cast("double")),
-                ("min", F.col(f"min{i}")),
-                ("max", F.col(f"max{i}")),
-                ("median", F.lit(quartiles[c][1]).cast("double")),
-            ]
+    fences = {c: iqr_bounds(quartiles[c], factor) or (None, None) for c in ruled}
+    low = per_position([float(ranges[c][0]) for c in ruled])
+    high = per_position([float(ranges[c][1]) for c in ruled])
+    lower = per_position([fences[c][0] for c in ruled])
+    upper = per_position([fences[c][1] for c in ruled])
+    found = column_statistics(
+        df,
+        ruled,
+        {
+            "negative": lambda v: F.count_if(v < 0),
+            "below": lambda v: F.count_if(v < low),
+            "above": lambda v: F.count_if(v > high),
+            "beyond": lambda v: F.count_if((v < lower) | (v > upper)),
+            "min": F.min,
+            "max": F.max,
+        },
+    )
+    rows = [
+        (
+            c,
+            found[c]["negative"] or 0,
+            found[c]["below"] or 0,
+            found[c]["above"] or 0,
+            float(ranges[c][0]),
+            float(ranges[c][1]),
+            found[c]["beyond"] or 0,
+            *fences[c],
+            found[c]["min"],
+            found[c]["max"],
+            quartiles[c][1],
         )
-    return one_row_to_many(df.agg(*aggs), records)
+        for c in ruled
+    ]
+    return small_frame(df.sparkSession, rows, OUTLIER_SCHEMA)
 
 
 OUTLIER_SCHEMA = (
@@ -145,32 +154,24 @@ def iqr_bounds(quartiles: Sequence[float | None], factor: float) -> tuple[float,
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
-    quartiles = exact_quantiles(df, columns, QUARTILES)
-    aggs: list[Column] = []
-    for i, c in enumerate(columns):
-        v = number(df, c)
-        aggs += [
-            F.count(v).alias(f"n{i}"),
-            F.avg(v).alias(f"mean{i}"),
-            F.stddev_samp(v).alias(f"std{i}"),
-            F.min(v).alias(f"min{i}"),
-            F.max(v).alias(f"max{i}"),
-        ]
-    records = [
-        [
-            ("column", F.lit(c)),
-            ("count", F.col(f"n{i}")),
-            ("mean", F.col(f"mean{i}")),
-            ("std", F.col(f"std{i}")),
-            ("min", F.col(f"min{i}")),
-            ("q25", F.lit(quartiles[c][0]).cast("double")),
-            ("q50", F.lit(quartiles[c][1]).cast("double")),
-            ("q75", F.lit(quartiles[c][2]).cast("double")),
-            ("max", F.col(f"max{i}")),
-        ]
-        for i, c in enumerate(columns)
+    found = column_statistics(
+        df,
+        columns,
+        {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max},
+    )
+    counts = {c: found[c]["n"] or 0 for c in columns}
+    quartiles = exact_quantiles(df, columns, QUARTILES, counts=counts)
+    rows = [
+        (c, counts[c], found[c]["mean"], found[c]["std"], found[c]["min"], *quartiles[c],
+         found[c]["max"])
+        for c in columns
     ]
-    return one_row_to_many(df.agg(*aggs), records)
+    return small_frame(
+        df.sparkSession,
+        rows,
+        "column string, count long, mean double, std double, min double, q25 double, "
+        "q50 double, q75 double, max double",
+    )
 
 
 def correlations(
@@ -186,19 +187,18 @@ def correlations(
     """
     pairs = [x for k, v in order.items() for x in (F.lit(k), F.lit(float(v)))]
     y = F.try_element_at(F.create_map(*pairs), col(label))
-    agg = df.agg(*[F.corr(number(df, c), y).alias(f"r{i}") for i, c in enumerate(columns)])
-    records = []
-    for i, c in enumerate(columns):
-        r = F.nanvl(F.col(f"r{i}"), F.lit(None).cast("double"))
-        records.append(
-            [
-                ("column", F.lit(c)),
-                ("correlation", r),
-                ("strength", F.abs(r)),
-                ("strong", F.coalesce(F.abs(r) >= F.lit(strong_from), F.lit(False))),
-            ]
-        )
-    return one_row_to_many(agg, records).orderBy(F.desc_nulls_last("correlation"), "column")
+    found = column_statistics(df, columns, {"r": lambda v: F.corr(v, F.col("y"))}, y=y)
+    rows = []
+    for c in columns:
+        r = found[c]["r"]
+        r = None if r is None or math.isnan(r) else r
+        rows.append((c, r, None if r is None else abs(r), r is not None and abs(r) >= strong_from))
+    rows.sort(key=lambda x: (x[1] is None, -(x[1] or 0.0), x[0]))
+    return small_frame(
+        df.sparkSession,
+        rows,
+        "column string, correlation double, strength double, strong boolean",
+    )
 
 
 def strongest(correlated: DataFrame, n: int = 5) -> DataFrame:
@@ -273,40 +273,28 @@ def compare_missing(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def split_statistics(df: DataFrame, columns: Sequence[str], split: str = "split_group") -> DataFrame:
     """Mean and sample deviation of each column per split, one row per (split, column)."""
-    agg = df.groupBy(col(split).alias("split")).agg(
-        *[F.avg(number(df, c)).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_samp(number(df, c)).alias(f"s{i}") for i, c in enumerate(columns)],
-    )
-    records = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"m{i}").alias("mean"),
-                F.col(f"s{i}").alias("std"),
-            )
-            for i, c in enumerate(columns)
-        ]
+    names = F.array(*[F.lit(c) for c in columns])
+    return (
+        exploded(df, columns, split=col(split))
+        .groupBy("split", F.get(names, F.col("position")).alias("column"))
+        .agg(F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"))
     )
-    return agg.select("split", F.inline(records))
 
 
 def null_and_infinite(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null (or NaN) and infinite values per column."""
     infinite = F.lit(float("inf"))
-    agg = df.agg(
-        *[F.count_if(number(df, c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.count_if(F.abs(number(df, c)) == infinite).alias(f"i{i}") for i, c in enumerate(columns)],
+    found = column_statistics(
+        df,
+        columns,
+        {
+            "nulls": lambda v: F.count_if(v.isNull()),
+            "infinite": lambda v: F.count_if(F.abs(v) == infinite),
+        },
     )
-    return one_row_to_many(
-        agg,
-        [
-            [
-                ("column", F.lit(c)),
-                ("null_count", F.col(f"n{i}")),
-                ("infinite_count", F.col(f"i{i}")),
-            ]
-            for i, c in enumerate(columns)
-        ],
+    rows = [(c, found[c]["nulls"] or 0, found[c]["infinite"] or 0) for c in columns]
+    return small_frame(
+        df.sparkSession, rows, "column string, null_count long, infinite_count long"
     )
 
 
@@ -315,14 +303,10 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
 
     ``density`` is the count scaled so that the bars of a column have area 1.
     """
-    extremes = df.agg(
-        *[F.min(number(df, c)).alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(number(df, c)).alias(f"hi{i}") for i, c in enumerate(columns)],
-        *[F.count(number(df, c)).alias(f"n{i}") for i, c in enumerate(columns)],
-    ).first()
+    extremes = column_statistics(df, columns, {"low": F.min, "high": F.max, "n": F.count})
     edges, indexes = [], []
-    for i, c in enumerate(columns):
-        low, high, n = extremes[f"lo{i}"], extremes[f"hi{i}"], extremes[f"n{i}"]
+    for c in columns:
+        low, high, n = extremes[c]["low"], extremes[c]["high"], extremes[c]["n"]
         if not n:
             continue
         if low == high:

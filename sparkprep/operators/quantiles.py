@@ -1,11 +1,13 @@
 """Exact quantiles of many columns, whatever their number of distinct values.
 
-Up to ``DIRECT_ROWS`` values per column the built-in ``percentile`` answers all columns
-in one aggregate; its state is a map of the distinct values, small at that size. Above
-it the wanted order statistics are bracketed with ``percentile_approx``, the rows on
-either side are counted, and the bracket is narrowed until few enough rows lie strictly
-inside to sort. Each round reads the columns twice and shuffles one small buffer per
-task; the counts, not the sketch, decide the result, so it is exact.
+Up to ``DIRECT_VALUES`` values in all, the built-in ``percentile`` answers every column in
+one aggregate; its state is a map of the distinct values, small at that size. Above it the
+wanted order statistics are searched: ``percentile_approx`` proposes values around each
+of them, one pass counts the rows between the proposals, and the gap a rank falls into is
+searched again until few enough rows lie in it to sort. Each round reads the columns
+twice and shuffles one sketch per task and a few counts per column; the counts, not the
+sketch, decide, so the result is exact. A gap shrinks more than a thousandfold per round,
+and a value that fills a large share of the column is found at once.
 """
 
 from __future__ import annotations
@@ -13,113 +15,126 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkprep.functions.columns import col, number, small_frame
 
-DIRECT_ROWS = 1_000_000
+DIRECT_VALUES = 2_000_000
 INSIDE_ROWS = 20_000
+GRID = 2_000
 ACCURACY = 10_000
 
+# A gap is (column, low, high): the rows strictly between two values.
+Gap = tuple[str, float, float]
 
-@dataclass
-class _Target:
-    """One order statistic: rank ``rank`` of ``column``, known to lie inside (low, high)."""
 
-    column: str
-    rank: int
-    rows: int
-    low: float | None = None
-    high: float | None = None
-    answer: float | None = None
+def _within(c: Column, gap: Gap) -> Column:
+    _, low, high = gap
+    test = c.isNotNull()
+    if low != -math.inf:
+        test = test & (c > F.lit(low))
+    if high != math.inf:
+        test = test & (c < F.lit(high))
+    return test
 
-    def inside(self, c: Column) -> Column:
-        test = c.isNotNull()
-        if self.low is not None:
-            test = test & (c > F.lit(self.low))
-        if self.high is not None:
-            test = test & (c < F.lit(self.high))
-        return test
 
-    def probes(self) -> tuple[float, float]:
-        margin = 2.0 / ACCURACY
-        middle = self.rank / max(self.rows - 1, 1)
-        return max(0.0, middle - margin), min(1.0, middle + margin)
-
-
-def _narrow(df: DataFrame, values: dict[str, Column], targets: list[_Target]) -> None:
-    sketch = df.agg(
+def _proposals(df: DataFrame, values: dict[str, Column], open_gaps: dict) -> dict[Gap, list[float]]:
+    """Per gap, values of the column that enclose the wanted ranks closely."""
+    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    row = df.agg(
         *[
-            F.percentile_approx(
-                F.when(t.inside(values[t.column]), values[t.column]),
-                F.array(*[F.lit(p) for p in t.probes()]),
-                ACCURACY,
-            ).alias(f"t{i}")
-            for i, t in enumerate(targets)
+            F.percentile_approx(F.when(_within(values[g[0]], g), values[g[0]]), grid, ACCURACY).alias(
+                f"g{i}"
+            )
+            for i, g in enumerate(open_gaps)
         ]
     ).first()
-    counts = []
-    for i, t in enumerate(targets):
-        c, (a, b) = values[t.column], sketch[f"t{i}"]
-        within = t.inside(c)
-        counts += [
-            F.count_if(within & (c < a)).alias(f"below{i}"),
-            F.count_if(within & (c == a)).alias(f"first{i}"),
-            F.count_if(within & (c > a) & (c < b)).alias(f"between{i}"),
-            F.count_if(within & (c == b)).alias(f"last{i}"),
-        ]
-    found = df.agg(*counts).first()
-    for i, t in enumerate(targets):
-        a, b = sketch[f"t{i}"]
-        below, first, between = found[f"below{i}"], found[f"first{i}"], found[f"between{i}"]
-        last = found[f"last{i}"] if b != a else 0
-        rank = t.rank
-        if rank < below:
-            t.high, t.rows = a, below
-        elif rank < below + first:
-            t.answer = a
-        elif rank < below + first + between:
-            t.low, t.high, t.rank, t.rows = a, b, rank - below - first, between
-        elif rank < below + first + between + last:
-            t.answer = b
-        else:
-            passed = below + first + between + last
-            t.low, t.rank, t.rows = b, rank - passed, t.rows - passed
+    chosen = {}
+    for i, (gap, (rows, ranks)) in enumerate(open_gaps.items()):
+        sketch = row[f"g{i}"]
+        picks = set()
+        for r in ranks:
+            place = r / max(rows - 1, 1) * GRID
+            picks.add(sketch[max(0, math.floor(place) - 1)])
+            picks.add(sketch[min(GRID, math.ceil(place) + 1)])
+        chosen[gap] = sorted(picks)
+    return chosen
+
+
+def _counts(df: DataFrame, values: dict[str, Column], proposals: dict[Gap, list[float]]) -> dict:
+    """Rows per gap at each proposal (odd places) and between them (even places)."""
+    gaps = list(proposals)
+    widest = max(len(p) for p in proposals.values())
+    exploded = df.select(
+        F.posexplode(
+            F.array(*[F.when(_within(values[g[0]], g), values[g[0]]) for g in gaps])
+        ).alias("gap", "v")
+    ).where("v IS NOT NULL")
+    place = F.lit(0)
+    for k in range(widest):
+        bounds = F.array(
+            *[F.lit(float(p[k]) if k < len(p) else math.inf) for p in proposals.values()]
+        )
+        bound = F.get(bounds, F.col("gap"))
+        place = place + (F.col("v") >= bound).cast("int") + (F.col("v") > bound).cast("int")
+    rows = exploded.groupBy("gap", place.alias("place")).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts: dict[Gap, dict[int, int]] = defaultdict(dict)
+    for r in rows:
+        counts[gaps[r["gap"]]][r["place"]] = r["n"]
+    return counts
+
+
+def _sorted_answers(df: DataFrame, values: dict[str, Column], gaps: dict) -> dict:
+    """Order statistics of gaps with few rows, by sorting those rows."""
+    answers = []
+    for i, (gap, (_, ranks)) in enumerate(gaps.items()):
+        c = values[gap[0]]
+        ordered = F.sort_array(F.collect_list(F.when(_within(c, gap), c)))
+        answers.append(F.array(*[F.get(ordered, F.lit(r)) for r in sorted(ranks)]).alias(f"g{i}"))
+    row = df.agg(*answers).first()
+    return {
+        gap: dict(zip(sorted(ranks), row[f"g{i}"])) for i, (gap, (_, ranks)) in enumerate(gaps.items())
+    }
 
 
 def _order_statistics(
     df: DataFrame, values: dict[str, Column], wanted: dict[str, set[int]], counts: dict[str, int]
 ) -> dict[str, dict[int, float]]:
-    targets = [_Target(c, r, counts[c]) for c, ranks in wanted.items() for r in sorted(ranks)]
-    keys = {id(t): (t.column, t.rank) for t in targets}
-    while True:
-        wide = [t for t in targets if t.answer is None and t.rows > INSIDE_ROWS]
-        if not wide:
+    found: dict[str, dict[int, float]] = defaultdict(dict)
+    # gap -> (rows in it, rank within the gap -> rank in the column)
+    gaps: dict[Gap, tuple[int, dict[int, int]]] = {
+        (c, -math.inf, math.inf): (counts[c], {r: r for r in ranks}) for c, ranks in wanted.items()
+    }
+    while gaps:
+        few = {g: v for g, v in gaps.items() if v[0] <= INSIDE_ROWS}
+        many = {g: v for g, v in gaps.items() if v[0] > INSIDE_ROWS}
+        if few:
+            for gap, answers in _sorted_answers(df, values, few).items():
+                for rank, answer in answers.items():
+                    found[gap[0]][few[gap][1][rank]] = answer
+        gaps = {}
+        if not many:
             break
-        _narrow(df, values, wide)
-    rest = [t for t in targets if t.answer is None]
-    if rest:
-        row = df.agg(
-            *[
-                F.get(
-                    F.sort_array(
-                        F.collect_list(F.when(t.inside(values[t.column]), values[t.column]))
-                    ),
-                    F.lit(t.rank),
-                ).alias(f"t{i}")
-                for i, t in enumerate(rest)
-            ]
-        ).first()
-        for i, t in enumerate(rest):
-            t.answer = row[f"t{i}"]
-    answers: dict[str, dict[int, float]] = defaultdict(dict)
-    for t in targets:
-        column, rank = keys[id(t)]
-        answers[column][rank] = t.answer
-    return answers
+        proposals = _proposals(df, values, many)
+        placed = _counts(df, values, proposals)
+        for gap, (_, ranks) in many.items():
+            column, low, high = gap
+            edges = [low, *proposals[gap], high]
+            passed = 0
+            for place in sorted(placed[gap]):
+                n = placed[gap][place]
+                for rank, original in ranks.items():
+                    if not passed <= rank < passed + n:
+                        continue
+                    if place % 2:
+                        found[column][original] = edges[(place + 1) // 2]
+                    else:
+                        inner = (column, edges[place // 2], edges[place // 2 + 1])
+                        gaps.setdefault(inner, (n, {}))[1][rank - passed] = original
+                passed += n
+    return found
 
 
 def _between(position: float, low: float, high: float) -> float:
@@ -134,7 +149,7 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     counts: dict[str, int] | None = None,
-    direct_rows: int | None = None,
+    direct_values: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles per column over its non-null values.
 
@@ -142,33 +157,30 @@ def exact_quantiles(
     """
     if not columns:
         return {}
-    limit = DIRECT_ROWS if direct_rows is None else direct_rows
+    limit = DIRECT_VALUES if direct_values is None else direct_values
     values = {c: number(df, c) for c in columns}
     if counts is None:
         row = df.agg(*[F.count(v).alias(f"c{i}") for i, v in enumerate(values.values())]).first()
         counts = {c: row[f"c{i}"] for i, c in enumerate(columns)}
-    result: dict[str, list[float | None]] = {}
-    direct = [c for c in columns if 0 < counts[c] <= limit]
-    if direct:
+    filled = [c for c in columns if counts[c]]
+    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
+    if filled and sum(counts[c] for c in filled) <= limit:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
         row = df.agg(
-            *[F.percentile(values[c], wanted).alias(f"q{i}") for i, c in enumerate(direct)]
+            *[F.percentile(values[c], wanted).alias(f"q{i}") for i, c in enumerate(filled)]
         ).first()
-        result.update({c: list(row[f"q{i}"]) for i, c in enumerate(direct)})
-    large = [c for c in columns if counts[c] > limit]
-    if large:
-        positions = {c: [p * (counts[c] - 1) for p in probabilities] for c in large}
+        result.update({c: list(row[f"q{i}"]) for i, c in enumerate(filled)})
+    elif filled:
+        positions = {c: [p * (counts[c] - 1) for p in probabilities] for c in filled}
         ranks = {
-            c: {r for x in positions[c] for r in (math.floor(x), math.ceil(x))} for c in large
+            c: {r for x in positions[c] for r in (math.floor(x), math.ceil(x))} for c in filled
         }
         found = _order_statistics(df, values, ranks, counts)
-        for c in large:
+        for c in filled:
             result[c] = [
                 _between(x, found[c][math.floor(x)], found[c][math.ceil(x)]) for x in positions[c]
             ]
-    for c in columns:
-        result.setdefault(c, [None] * len(probabilities))
-    return {c: result[c] for c in columns}
+    return result
 
 
 def exact_quantiles_by(
@@ -176,16 +188,17 @@ def exact_quantiles_by(
     by: str,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    direct_rows: int | None = None,
+    direct_values: int | None = None,
 ) -> DataFrame:
     """Quantiles per group, one row per (group, column): ``by``, ``column``, ``quantiles``.
 
-    Groups of ordinary size share one grouped aggregate. A group above ``direct_rows`` is
-    too large for a single buffer and goes through :func:`exact_quantiles`.
+    Groups of ordinary size share one grouped aggregate. A group with more values than
+    ``direct_values`` is too large for one buffer and goes through :func:`exact_quantiles`.
     """
-    limit = DIRECT_ROWS if direct_rows is None else direct_rows
+    limit = DIRECT_VALUES if direct_values is None else direct_values
     group = col(by)
-    large = [r[0] for r in df.groupBy(group).count().where(F.col("count") > limit).collect()]
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    large = [r[0] for r in sizes.where(F.col("n") * len(columns) > limit).collect()]
     wanted = F.array(*[F.lit(float(p)) for p in probabilities])
     ordinary = df
     for key in large:
@@ -202,7 +215,7 @@ def exact_quantiles_by(
     result = wide.select(F.col("__group").alias(by), F.inline(pairs))
     for key in large:
         part = df.where(group.eqNullSafe(F.lit(key)))
-        found = exact_quantiles(part, columns, probabilities, direct_rows=limit)
+        found = exact_quantiles(part, columns, probabilities, direct_values=limit)
         names = [f"q{i}" for i in range(len(probabilities))]
         rows = small_frame(
             df.sparkSession,

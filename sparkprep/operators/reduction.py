@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkprep import presets
 from sparkprep.functions.columns import col, number, numeric_columns, require, small_frame
+from sparkprep.functions.statistics import column_statistics
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
 
 # The covariance matrix is columns x columns on the driver.
@@ -75,18 +76,16 @@ class FeatureReducer(FittingStage, _ReducerParams):
             raise ValueError("no numeric columns for principal components")
         if len(columns) > MAX_COLUMNS:
             raise ValueError(f"{len(columns)} columns exceed the {MAX_COLUMNS} of one covariance")
-        row = dataset.agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.avg(number(dataset, c)).alias(f"m{i}") for i, c in enumerate(columns)],
-        ).first()
-        if row["n"] < 2:
+        found = column_statistics(dataset, columns, {"rows": lambda v: F.count(F.lit(1)), "mean": F.avg})
+        rows = found[columns[0]]["rows"] or 0
+        if rows < 2:
             raise ValueError("principal components need at least two rows")
-        means = [row[f"m{i}"] if row[f"m{i}"] is not None else 0.0 for i in range(len(columns))]
+        means = [found[c]["mean"] if found[c]["mean"] is not None else 0.0 for c in columns]
         vectors = centred_vectors(dataset, columns, means, "__x").select("__x")
         pca = PCA(k=len(columns), inputCol="__x", outputCol="__pc").fit(vectors)
         ratios = [float(r) for r in pca.explainedVariance.toArray()]
         k = select_components(
-            ratios, self.value("variance_threshold"), self.value("n_components"), row["n"]
+            ratios, self.value("variance_threshold"), self.value("n_components"), rows
         )
         axes = pca.pc.toArray()
         largest = np.abs(axes).argmax(axis=0)
@@ -99,7 +98,7 @@ class FeatureReducer(FittingStage, _ReducerParams):
                 "components": k,
                 "ratios": ratios[:k],
                 "signs": [float(s) for s in signs[:k]],
-                "rows": row["n"],
+                "rows": rows,
             },
         )
         model.pca = pca

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sparkprep import presets
 from sparkprep.functions.columns import col, number, numeric_columns, small_frame
+from sparkprep.functions.statistics import column_statistics
 from sparkprep.operators.quantiles import exact_quantiles
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
 
@@ -24,25 +25,25 @@ def learn_scaling(
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
-    aggs = []
-    for i, c in enumerate(columns):
-        v = number(df, c)
-        aggs += [
-            F.count(v).alias(f"n{i}"),
-            F.avg(v).alias(f"mean{i}"),
-            F.stddev_pop(v).alias(f"std{i}"),
-            F.min(v).alias(f"min{i}"),
-            F.max(v).alias(f"max{i}"),
-            F.skewness(v).alias(f"skew{i}"),
-        ]
-    row = df.agg(*aggs).first()
-    counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
+    found = column_statistics(
+        df,
+        columns,
+        {
+            "n": F.count,
+            "mean": F.avg,
+            "std": F.stddev_pop,
+            "min": F.min,
+            "max": F.max,
+            "skew": F.skewness,
+        },
+    )
+    counts = {c: found[c]["n"] or 0 for c in columns}
     quartiles = {}
     if method == "robust":
         quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], counts=counts)
     state: dict[str, dict] = {}
-    for i, c in enumerate(columns):
-        low, high, skew = row[f"min{i}"], row[f"max{i}"], row[f"skew{i}"]
+    for c in columns:
+        low, high, skew = found[c]["min"], found[c]["max"], found[c]["skew"]
         spread = counts[c] > 0 and low != high
         kind = method
         if method == "auto":
@@ -51,7 +52,7 @@ def learn_scaling(
         if counts[c] == 0:
             centre, scale = 0.0, 1.0
         elif kind == "standard":
-            centre, scale = row[f"mean{i}"], row[f"std{i}"]
+            centre, scale = found[c]["mean"], found[c]["std"]
         elif kind == "minmax":
             centre, scale = low, high - low
         else:
