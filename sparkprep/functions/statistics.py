@@ -48,6 +48,23 @@ def column_statistics(
     return result
 
 
+def presence(df: DataFrame, columns: Sequence[str], chosen: Column | None = None) -> dict:
+    """Column -> (rows, non-null values, chosen rows, non-null values among them)."""
+    among = F.lit(True) if chosen is None else chosen
+    flags = F.array(*[value(df, c).isNotNull() for c in columns])
+    rows = df.select(among.alias("chosen"), F.posexplode(flags).alias("position", "present"))
+    found = rows.groupBy("position").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if("present").alias("present"),
+        F.count_if("chosen").alias("chosen"),
+        F.count_if(F.col("present") & F.col("chosen")).alias("both"),
+    )
+    result = {c: (0, 0, 0, 0) for c in columns}
+    for r in found.collect():
+        result[columns[r["position"]]] = (r["rows"], r["present"], r["chosen"], r["both"])
+    return result
+
+
 def distinct_counts(df: DataFrame) -> DataFrame:
     """Per column position: rows, missing cells and exact distinct non-null values.
 

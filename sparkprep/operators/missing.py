@@ -19,6 +19,7 @@ from sparkprep.functions.columns import (
     string_columns,
     value,
 )
+from sparkprep.functions.statistics import presence
 from sparkprep.functions.text import UNKNOWN
 from sparkprep.operators.quantiles import exact_quantiles
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
@@ -31,19 +32,16 @@ def learn_imputation(
 
     Sparseness is judged over all rows, fill values over the labelled ones.
     """
-    columns = [c for c in df.columns if c not in skip or c == label]
+    columns = [c for c in df.columns if c not in skip]
+    if not columns:
+        raise ValueError("no columns to examine for missing values")
     labelled = value(df, label).isNotNull() if label in df.columns else F.lit(True)
-    counts = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(labelled).alias("kept"),
-        *[F.count(value(df, c)).alias(f"c{i}") for i, c in enumerate(columns)],
-        *[F.count(F.when(labelled, value(df, c))).alias(f"k{i}") for i, c in enumerate(columns)],
-    ).first()
-    n, kept = counts["n"], counts["kept"]
-    missing = {c: n - counts[f"c{i}"] for i, c in enumerate(columns)}
+    found = presence(df, columns, labelled)
+    n, _, kept, _ = found[columns[0]]
+    missing = {c: n - found[c][1] for c in columns}
     percent = {c: rounded_percent(missing[c], n) for c in columns}
     dropped = [c for c in columns if c != label and percent[c] > threshold * 100]
-    present = {c: counts[f"k{i}"] for i, c in enumerate(columns)}
+    present = {c: found[c][3] for c in columns}
 
     numeric = numeric_columns(df, skip | {label, *dropped})
     by_median = [c for c in numeric if c not in zero_fill]

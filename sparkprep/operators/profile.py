@@ -25,6 +25,7 @@ from sparkprep.functions.statistics import (
     distinct_counts,
     exploded,
     per_position,
+    presence,
 )
 from sparkprep.operators.quantiles import exact_quantiles, exact_quantiles_by
 
@@ -75,11 +76,9 @@ def top_missing(profile: DataFrame, n: int = 5) -> DataFrame:
 
 def remaining_nulls(df: DataFrame) -> DataFrame:
     """One row: ``remaining`` missing cells over all columns."""
-    cells = [F.count_if(value(df, c).isNull()) for c in df.columns]
-    total = cells[0]
-    for c in cells[1:]:
-        total = total + c
-    return df.agg(total.alias("remaining"))
+    missing = [value(df, c).isNull().cast("long") for c in df.columns]
+    per_row = F.aggregate(F.array(*missing), F.lit(0).cast("long"), lambda a, x: a + x)
+    return df.agg(F.coalesce(F.sum(per_row), F.lit(0)).alias("remaining"))
 
 
 def class_distribution(df: DataFrame, label: str, valid: Sequence[str] | None = None) -> DataFrame:
@@ -251,19 +250,14 @@ def compare_missing(before: DataFrame, after: DataFrame) -> DataFrame:
     """Missing counts and percents before and after, for columns that missed any before."""
 
     def counts(df: DataFrame, side: str) -> DataFrame:
-        agg = df.agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.count_if(value(df, c).isNull()).alias(f"m{i}") for i, c in enumerate(df.columns)],
-        )
-        records = [
-            [
-                ("column", F.lit(c)),
-                (f"missing_{side}", F.col(f"m{i}")),
-                (f"pct_{side}", F.try_divide(F.col(f"m{i}"), F.col("n")) * 100.0),
-            ]
-            for i, c in enumerate(df.columns)
+        found = presence(df, df.columns)
+        rows = [
+            (c, n - filled, (n - filled) / n * 100.0 if n else None)
+            for c, (n, filled, _, _) in found.items()
         ]
-        return one_row_to_many(agg, records)
+        return small_frame(
+            df.sparkSession, rows, f"column string, missing_{side} long, pct_{side} double"
+        )
 
     first = counts(before, "before").where(F.col("missing_before") > 0)
     return first.join(counts(after, "after"), "column", "left").orderBy(

@@ -1,10 +1,10 @@
 """Exact random selection: a fixed number of rows per class, without sorting the table.
 
 Rows are ordered by a keyed hash, which depends on the row and the seed but not on
-partitioning. The hash that ends each part is found by counting hash prefixes (65 536 per
-class and round) and narrowing the one prefix the cut falls into, so choosing rows is a
-map-only comparison with a literal. The same comparison in any SQL engine picks the same
-rows.
+partitioning. The hash that ends each part is found by counting hash prefixes (4096 per
+class and round, merged within each task) and narrowing the prefix the cut falls into, so
+choosing rows is a map-only comparison. The same comparison in any SQL engine picks the
+same rows.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from pyspark.sql.window import Window
 
 from sparkprep.functions.columns import col, require, small_frame
 
-PREFIX_DIGITS = 4
+PREFIX_DIGITS = 3
 HASH_DIGITS = 32
 SLOT_ROWS = 1_000
-MAX_CLASSES = 10_000
+MAX_CLASSES = 100_000
 CHUNK_ROWS = 1_000_000
 
 
@@ -59,46 +59,59 @@ def class_counts(hashed: DataFrame) -> dict:
 def find_cuts(hashed: DataFrame, positions: Mapping[object, Sequence[int]]) -> dict:
     """For each class and number of leading rows, the hash that ends them.
 
-    ``hashed`` has the columns ``__class`` and ``__hash``.
+    ``hashed`` has the columns ``__class`` and ``__hash``. A round counts the next digits
+    within the slots that hold a cut; a slot with few rows is resolved to whole hashes.
     """
-    open_cuts = {
-        (k, p): ("", 0) for k, cuts in positions.items() for p in cuts if p > 0
-    }  # (class, position) -> (prefix the cut lies in, rows of the class before that prefix)
+    # (class, position) -> (hash prefix the cut lies in, rows of the class before it)
+    wide = {(k, p): ("", 0) for k, cuts in positions.items() for p in cuts if p > 0}
+    narrow: dict = {}
     found: dict = {}
     digits = 0
-    while open_cuts and digits < HASH_DIGITS:
-        digits = min(digits + PREFIX_DIGITS, HASH_DIGITS)
-        narrowed = _within(hashed, open_cuts, digits - PREFIX_DIGITS)
-        prefix = F.substring("__hash", 1, digits)
-        histogram = narrowed.groupBy("__class", "__outer", prefix.alias("__slot")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        running = Window.partitionBy("__class", "__outer").orderBy("__slot")
-        slots = histogram.withColumn("upto", F.sum("n").over(running))
-        wanted = _cut_frame(hashed, open_cuts)
-        hits = (
-            slots.join(F.broadcast(wanted), ["__class", "__outer"])
-            .where("upto >= __need AND upto - n < __need")
-            .collect()
-        )
-        small: dict = {}
-        still: dict = {}
-        for h in hits:
-            key = (h["__class"], h["__position"])
-            before = open_cuts[key][1] + h["upto"] - h["n"]
-            entry = (h["__slot"], before)
-            if digits == HASH_DIGITS:
-                found[key] = Cut(h["__slot"], key[1] - before, h["n"])
-            elif h["n"] <= SLOT_ROWS:
-                small[key] = entry
+    while wide:
+        upto = min(digits + PREFIX_DIGITS, HASH_DIGITS)
+        following: dict = {}
+        for cut, (slot, before, n) in _refine(hashed, wide, digits, upto).items():
+            if upto == HASH_DIGITS:
+                found[cut] = Cut(slot, cut[1] - before, n)
+            elif n <= SLOT_ROWS:
+                narrow[cut] = (slot, before)
             else:
-                still[key] = entry
-        if small:
-            found.update(_finish(hashed, small, digits))
-        open_cuts = still
+                following[cut] = (slot, before)
+        if narrow:
+            whole = _refine(hashed, narrow, upto, HASH_DIGITS)
+            found.update({c: Cut(h, c[1] - before, n) for c, (h, before, n) in whole.items()})
+            narrow = {}
+        wide, digits = following, upto
     return found
 
 
+def _refine(hashed: DataFrame, cuts: Mapping, known: int, digits: int) -> dict:
+    """Cut -> (slot of ``digits`` digits it lies in, rows before the slot, rows in it).
+
+    The running sum is taken over counted slots: 4096 per class and round, or the few
+    whole hashes of a small slot.
+    """
+    wanted = _cut_frame(hashed, cuts)
+    outer = F.substring("__hash", 1, known) if known else F.lit("")
+    open_slots = F.broadcast(wanted.select("__class", "__outer").distinct())
+    within = hashed.withColumn("__outer", outer).join(
+        open_slots, ["__class", "__outer"], "left_semi"
+    )
+    slots = within.groupBy("__class", "__outer", F.substring("__hash", 1, digits).alias("__slot"))
+    running = Window.partitionBy("__class", "__outer").orderBy("__slot")
+    counted = slots.agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(running))
+    hits = (
+        counted.join(F.broadcast(wanted), ["__class", "__outer"])
+        .where("upto >= __need AND upto - n < __need")
+        .collect()
+    )
+    result = {}
+    for h in hits:
+        cut = (h["__class"], h["__position"])
+        result[cut] = (h["__slot"], cuts[cut][1] + h["upto"] - h["n"], h["n"])
+    return result
+
+
 def _cut_frame(hashed: DataFrame, cuts: Mapping) -> DataFrame:
     """Open cuts as a frame; at most classes x cuts rows, both bounded."""
     rows = [
@@ -108,30 +121,6 @@ def _cut_frame(hashed: DataFrame, cuts: Mapping) -> DataFrame:
     return _class_frame(hashed, rows, "__outer string, __position long, __need long")
 
 
-def _within(hashed: DataFrame, cuts: Mapping, digits: int) -> DataFrame:
-    """Rows whose class and hash prefix hold an open cut."""
-    outer = F.substring("__hash", 1, digits) if digits else F.lit("")
-    keyed = hashed.withColumn("__outer", outer)
-    wanted = _cut_frame(hashed, cuts).select("__class", "__outer").distinct()
-    return keyed.join(F.broadcast(wanted), ["__class", "__outer"], "left_semi")
-
-
-def _finish(hashed: DataFrame, cuts: Mapping, digits: int) -> dict:
-    """Read the hashes of the slots the cuts lie in; each holds few rows."""
-    rows = _within(hashed, cuts, digits).select("__class", "__outer", "__hash").collect()
-    slots: dict = {}
-    for r in rows:
-        slots.setdefault((r["__class"], r["__outer"]), []).append(r["__hash"])
-    found = {}
-    for (k, position), (prefix, before) in cuts.items():
-        hashes = sorted(slots[(k, prefix)])
-        last = hashes[position - before - 1]
-        below = sum(h < last for h in hashes)
-        ties = sum(h == last for h in hashes)
-        found[(k, position)] = Cut(last, position - before - below, ties)
-    return found
-
-
 def with_hash(df: DataFrame, key: Sequence[str] | None, seed: int, label: str | None) -> DataFrame:
     names = list(key) if key else df.columns
     require(df, [*names, *([label] if label else [])])

@@ -46,12 +46,13 @@ def acquire(
     sample_size: int | None = None,
     key: Sequence[str] | None = ("code",),
     seed: int = 42,
-    multi_line: bool = False,
+    multi_line: bool = True,
+    spread: int | None = None,
 ) -> Acquired:
     """Read a tab-separated dump, keep known columns and valid labels, sample exactly.
 
-    A gzip file is read by one task, so its projected rows are spread out and landed as
-    Parquet once; every later pass reads that.
+    One gzip file is read by one task, so its projected rows are spread over ``spread``
+    partitions; the rows are landed as Parquet once and every later pass reads that.
     """
     names = header_names(spark, input_path, "\t")
     if label not in names:
@@ -60,7 +61,9 @@ def acquire(
     raw = read_delimited(
         spark, input_path, columns=kept, numeric=numeric, multi_line=multi_line
     )
-    landed = land(raw.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), "raw")
+    if input_path.endswith(".gz"):
+        raw = raw.repartition(spread or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    landed = land(raw, "raw")
     valid_rows = keep_labelled(landed, label, valid)
     table = valid_rows if sample_size is None else exact_sample(valid_rows, sample_size, key, seed)
     distribution = class_distribution(table, label)

@@ -695,6 +695,52 @@ def pca_embedding_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.transform(df).select("vec_id", F.round(norm, 5).alias("squared_norm"))
 
 
+PAIR = """m AS (SELECT avg(carb) AS mx, avg(salt) AS my, var_samp(carb) AS a, var_samp(salt) AS c,
+  covar_samp(carb, salt) AS b FROM imp),
+e AS (SELECT *, (a + c) / 2 + sqrt(pow((a - c) / 2, 2) + b * b) AS l1,
+  (a + c) / 2 - sqrt(pow((a - c) / 2, 2) + b * b) AS l2 FROM m),
+n AS (SELECT *, b / sqrt(b * b + pow(l1 - a, 2)) AS ux, (l1 - a) / sqrt(b * b + pow(l1 - a, 2)) AS uy
+  FROM e),
+ax AS (SELECT *, CASE WHEN (abs(ux) >= abs(uy) AND ux < 0) OR (abs(ux) < abs(uy) AND uy < 0)
+    THEN -1 ELSE 1 END AS s1,
+  CASE WHEN (abs(uy) >= abs(ux) AND -uy < 0) OR (abs(uy) < abs(ux) AND ux < 0)
+    THEN -1 ELSE 1 END AS s2 FROM n)"""
+
+
+@registered(
+    "pca_pair_project",
+    with_pf(
+        """SELECT code, grade, round(s1 * ((carb - mx) * ux + (salt - my) * uy), 4) AS "PC1",
+  round(s2 * (-(carb - mx) * uy + (salt - my) * ux), 4) AS "PC2" FROM imp, ax""",
+        IMPUTED,
+        PAIR,
+    ),
+)
+def pca_pair_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns, whose axes have a closed form."""
+    df = imputed(spark, sf_dir).select("code", "grade", "carb", "salt")
+    done = FeatureReducer(n_components=2, **ROLES).fit(df).transform(df)
+    return done.select(
+        "code", "grade", F.round("PC1", 4).alias("PC1"), F.round("PC2", 4).alias("PC2")
+    )
+
+
+@registered(
+    "pca_pair_variance",
+    with_pf(
+        """SELECT CAST(1 AS INT) AS position, 'PC1' AS component, round(l1 / (l1 + l2), 6) AS ratio,
+  round(l1 / (l1 + l2), 6) AS cumulative FROM ax
+UNION ALL SELECT CAST(2 AS INT), 'PC2', round(l2 / (l1 + l2), 6), 1.0::DOUBLE FROM ax""",
+        IMPUTED,
+        PAIR,
+    ),
+)
+def pca_pair_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = imputed(spark, sf_dir).select("code", "grade", "carb", "salt")
+    model = FeatureReducer(variance_threshold=0.999, **ROLES).fit(df)
+    return rounded(model.variance_report(spark))
+
+
 @registered("pca_variance")
 def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = embedding_columns(spark, sf_dir)

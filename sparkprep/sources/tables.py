@@ -37,13 +37,14 @@ def read_delimited(
     columns: Sequence[str] | None = None,
     numeric: Sequence[str] = (),
     null_tokens: Sequence[str] = tuple(presets.NULL_TOKENS),
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Header-led delimited text as strings, with ``numeric`` columns as doubles.
 
     Lines with more fields than the header are skipped, shorter ones padded with nulls;
     null tokens and unreadable numbers become NULL. ``columns`` keeps the listed ones that
-    exist. ``multi_line`` allows line breaks inside quotes and reads each file in one task.
+    exist. Line breaks inside quotes belong to the field, for which each file is read by one
+    task; where no field holds any, ``multi_line=False`` lets large plain files be split.
     """
     names = header_names(spark, path, sep)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
