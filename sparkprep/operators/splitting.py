@@ -42,17 +42,21 @@ def stratified_quotas(counts: Mapping, train: float, val: float, test: float) ->
     then no stratified split exists.
     """
     train_size, val_size, test_size = split_sizes(sum(counts.values()), train, val, test)
+    _require_divisible(counts, train_size, val_size + test_size)
     in_train = largest_remainder(counts, train_size)
     held = {k: counts[k] - in_train[k] for k in counts}
-    left = [c for c in held.values() if c]
-    if min(counts.values()) < 2 or 1 in left:
-        raise ValueError("every class needs at least two rows in each stratified step")
-    if min(train_size, val_size + test_size) < len(counts) or min(val_size, test_size) < len(left):
-        raise ValueError("a part would have fewer rows than there are classes")
+    _require_divisible({k: n for k, n in held.items() if n}, val_size, test_size)
     in_val = largest_remainder(held, val_size)
     return {k: [in_train[k], in_val[k], held[k] - in_val[k]] for k in sorted(counts)}
 
 
+def _require_divisible(counts: Mapping, first: int, second: int) -> None:
+    if min(counts.values()) < 2:
+        raise ValueError("every class needs at least two rows to be divided")
+    if min(first, second) < len(counts):
+        raise ValueError("a part would have fewer rows than there are classes")
+
+
 def split_data(
     df: DataFrame,
     target_col: str = presets.LABEL,

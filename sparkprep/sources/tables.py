@@ -60,7 +60,9 @@ def read_delimited(
         .csv(path)
     )
     line = col(CORRUPT)
-    whole = raw.where(line.isNull() | (extra_fields(line, sep) < len(names)))
+    # Spark refuses to scan the corrupt line alone, as a plain count would; this reads a field.
+    first = F.length(F.concat_ws("", col(names[0]))) >= 0
+    whole = raw.where(first & (line.isNull() | (extra_fields(line, sep) < len(names))))
     wanted = [n for n in (columns or names) if n in names]
     out = []
     for n in wanted:
