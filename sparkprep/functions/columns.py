@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 def col(name: str) -> Column:
     """Column by exact name, whatever characters the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(_quoted(name))
 
 
 def require(df: DataFrame, names: Iterable[str]) -> None:
@@ -44,15 +44,20 @@ def is_floating(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def value(df: DataFrame, name: str) -> Column:
     """The column with NaN read as NULL."""
-    c = col(name)
-    return F.when(~F.isnan(c), c) if is_floating(df, name) else c
+    return F.expr(f"nanvl({_quoted(name)}, NULL)") if is_floating(df, name) else col(name)
 
 
 def number(df: DataFrame, name: str) -> Column:
     """The column as a double with NaN read as NULL."""
-    return value(df, name).cast("double")
+    if is_floating(df, name):
+        return F.expr(f"nanvl(CAST({_quoted(name)} AS DOUBLE), NULL)")
+    return F.expr(f"CAST({_quoted(name)} AS DOUBLE)")
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark import keyword_only
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame
@@ -17,7 +19,7 @@ from sparkprep.workspace import land
 # A category table within both bounds is held by the model and broadcast; a larger one
 # is landed as a table and joined by shuffle.
 BROADCAST_ROWS = 50_000
-BROADCAST_BYTES = 8 << 20
+CATEGORY_BYTES = 256
 # One category above this share of the fitted rows is hot; there are at most 1/share.
 HOT_SHARE = 0.001
 SPREAD = 4096
@@ -88,55 +90,71 @@ def target_statistics(df: DataFrame, column: str, target: Column) -> DataFrame:
     )
 
 
-def smoothed(statistics: DataFrame, mean: float, variance: float) -> DataFrame:
-    """Empirical-Bayes encoding: each category mean shrunk towards the global mean."""
-    spread = F.lit(variance) * F.col("n")
-    weight = F.try_divide(spread, spread + F.col("variance"))
-    encoding = weight * F.col("mean") + (F.lit(1.0) - weight) * F.lit(mean)
-    return statistics.select(
-        "category", "n", F.coalesce(encoding, F.lit(mean)).alias("encoding")
-    )
+def shrunk(n, mean, variance, whole_mean: float, whole_variance: float):
+    """Empirical-Bayes mean of a category, shrunk towards the global mean.
+
+    For columns and numbers alike; undefined where neither variance is positive.
+    """
+    spread = whole_variance * n
+    weight = spread / (spread + variance)
+    return weight * mean + (1.0 - weight) * whole_mean
 
 
 def learn_target(df: DataFrame, column: str, target: Column) -> tuple[dict, DataFrame]:
     """Fitted values and the table (category, n, encoding) for one column.
 
     One pass over the rows gives the category table; the global mean and variance follow
-    from it.
+    from it. A table within the bounds is finished on the driver, a larger one is landed.
     """
     spark = df.sparkSession
-    statistics = target_statistics(df, column, target).persist()
-    whole = statistics.agg(
-        F.sum("n").alias("rows"),
-        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"),
-        F.count("category").alias("size"),
-        F.coalesce(F.sum(F.octet_length("category")), F.lit(0)).alias("bytes"),
-    ).first()
-    if not whole["rows"]:
-        statistics.unpersist()
+    statistics = target_statistics(df, column, target)
+    rows = statistics.select(
+        F.left("category", F.lit(CATEGORY_BYTES)).alias("category"),
+        F.octet_length("category").alias("bytes"),
+        "n",
+        "mean",
+        "variance",
+    ).limit(BROADCAST_ROWS + 1).collect()
+    if len(rows) > BROADCAST_ROWS or any((r["bytes"] or 0) > CATEGORY_BYTES for r in rows):
+        return _learn_large(spark, land(statistics, "categories"))
+    total = sum(r["n"] for r in rows)
+    if not total:
         state = {"mean": 0.0, "missing": 0.0, "rows": 0, "small": True}
         return state, small_frame(spark, [], ENCODING_SCHEMA)
-    rows, mean = whole["rows"], whole["mean"]
-    around = F.col("variance") + F.pow(F.col("mean") - F.lit(mean), F.lit(2.0))
-    variance = statistics.agg((F.sum(F.col("n") * around) / rows).alias("v")).first()["v"]
-    encoded = smoothed(statistics, mean, variance)
+    mean = math.fsum(r["n"] * r["mean"] for r in rows) / total
+    variance = math.fsum(r["n"] * (r["variance"] + (r["mean"] - mean) ** 2) for r in rows) / total
+
+    def encoding(r) -> float:
+        if variance * r["n"] + r["variance"] == 0:
+            return mean
+        return shrunk(r["n"], r["mean"], r["variance"], mean, variance)
+
+    known = sorted((r["category"], r["n"], encoding(r)) for r in rows if r["category"] is not None)
+    missing = [encoding(r) for r in rows if r["category"] is None]
+    state = {
+        "mean": mean, "missing": missing[0] if missing else mean, "rows": total, "small": True,
+    }
+    return state, small_frame(spark, known, ENCODING_SCHEMA)
+
+
+def _learn_large(spark, statistics: DataFrame) -> tuple[dict, DataFrame]:
+    n, mean, variance = F.col("n"), F.col("mean"), F.col("variance")
+    whole = statistics.agg(F.sum(n).alias("n"), (F.sum(n * mean) / F.sum(n)).alias("mean")).first()
+    total, centre = whole["n"], whole["mean"]
+    around = variance + F.pow(mean - F.lit(centre), F.lit(2.0))
+    spread = statistics.agg((F.sum(n * around) / total).alias("v")).first()["v"]
+    guarded = F.when(
+        spread * n + variance != 0, shrunk(n, mean, variance, centre, spread)
+    ).otherwise(F.lit(centre))
+    encoded = statistics.select("category", "n", guarded.alias("encoding"))
     missing = encoded.where("category IS NULL").first()
-    known = encoded.where("category IS NOT NULL")
-    small = whole["size"] <= BROADCAST_ROWS and whole["bytes"] <= BROADCAST_BYTES
-    if small:
-        table = small_frame(
-            spark, [tuple(r) for r in known.orderBy("category").collect()], ENCODING_SCHEMA
-        )
-    else:
-        table = land(known, "target-encoding")
-    statistics.unpersist()
     state = {
-        "mean": mean,
-        "missing": missing["encoding"] if missing else mean,
-        "rows": rows,
-        "small": small,
+        "mean": centre,
+        "missing": missing["encoding"] if missing else centre,
+        "rows": total,
+        "small": False,
     }
-    return state, table
+    return state, encoded.where("category IS NOT NULL")
 
 
 ENCODING_SCHEMA = "category string, n long, encoding double"

@@ -19,6 +19,10 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        # Wide projections outgrow what the JVM compiles as one method; split them instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Do not record a Python call site for every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in conf.items():
         builder = builder.config(name, value)
