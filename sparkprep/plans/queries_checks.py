@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkprep.functions.columns import col
 from sparkprep.operators import forest, outliers, validation
 from sparkprep.operators.encoding import FeatureEncoder
+from sparkprep.operators.reduction import FeatureReducer
 from sparkprep.operators.scaling import FeatureScaler, FeatureScalerModel
 from sparkprep.plans.preparation import PreprocessingPipeline
 from sparkprep.plans.product_features import DERIVED, KEY, LABEL, RANGES
@@ -310,58 +311,87 @@ def check_same_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ whole chains
 
-FIXED_SCALED = ["carb", "sugar", "fat", "protein", "salt", "additives_n", "nation", *SEG, *DERIVED]
+# Filling makes ``unknown`` a category of its own.
+FILLED_CATEGORIES = [*CATEGORIES, "unknown"]
+FIXED_SCALED = [
+    "carb", "sugar", "fat", "protein", "salt", "additives_n", "nation",
+    *[f"seg_{c}" for c in FILLED_CATEGORIES], *DERIVED,
+]
 
 
 def prepared(include_pca: bool, **settings) -> PreprocessingPipeline:
-    return PreprocessingPipeline(
-        target_col=LABEL,
-        preserve_cols=[KEY],
-        feature_engineering_kwargs=ENGINEER,
-        valid_ranges=RANGES,
-        multilabel_cols=["countries"],
-        onehot_cols=["seg"],
-        target_encoded_cols=["nation"],
-        include_pca=include_pca,
-        **settings,
-    )
+    roles = {
+        "target_col": LABEL,
+        "preserve_cols": [KEY],
+        "feature_engineering_kwargs": ENGINEER,
+        "valid_ranges": RANGES,
+        "multilabel_cols": ["countries"],
+        "onehot_cols": ["seg"],
+        "target_encoded_cols": ["nation"],
+    }
+    return PreprocessingPipeline(include_pca=include_pca, **{**roles, **settings})
 
 
 def split_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land(tagged(spark, sf_dir), "split")
 
 
-def model_ready_sql() -> str:
-    """Impute from train, filter, encode, derive and scale from the train rows that remain."""
-    train = "(SELECT * FROM sp WHERE split_group = 'train') m"
+TRAIN = "(SELECT * FROM sp WHERE split_group = 'train')"
+
+
+def scaled_ctes(per_table: bool = False) -> list[str]:
+    """CTEs up to ``scl``: impute, filter, encode, derive and scale with what train holds.
+
+    Train rows are filled from train; with ``per_table`` the transformed rows are filled
+    from the whole table instead, while everything fitted still comes from train.
+    """
+    onehot = ", ".join(
+        f"CASE WHEN seg = '{c}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS seg_{c}"
+        for c in FILLED_CATEGORIES
+    )
+
+    def chain(source: str, filled_from: str, tag: str) -> list[str]:
+        return [
+            impute_cte(f"imp{tag}", source, f"{filled_from} m"),
+            f"cln{tag} AS (SELECT * FROM imp{tag} WHERE NOT ({VIOLATIONS}))",
+        ]
+
+    def encode(tag: str) -> list[str]:
+        return [
+            f"cat{tag} AS (SELECT cln{tag}.* EXCLUDE (nation), coalesce(encoding, mean) AS nation, "
+            f"{onehot} FROM cln{tag} LEFT JOIN enc ON category IS NOT DISTINCT FROM cln{tag}.nation, "
+            "enc_all)",
+            DERIVED_CTE.replace("FROM imp", f"FROM cat{tag}").replace("eng AS", f"eng{tag} AS"),
+        ]
+
+    whole = "(SELECT * FROM sp)" if per_table else TRAIN
     ctes = [
         LAB,
         split_ctes(),
-        impute_cte("imp", "sp", train),
-        f"cln AS (SELECT * FROM imp WHERE NOT ({VIOLATIONS}))",
-        target_ctes("(SELECT * FROM cln WHERE split_group = 'train') t", "nation", IS_A),
-        "cat AS (SELECT cln.* EXCLUDE (nation), coalesce(encoding, mean) AS nation, "
-        + ", ".join(
-            f"CASE WHEN seg = '{c}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS seg_{c}"
-            for c in CATEGORIES
-        )
-        + " FROM cln LEFT JOIN enc ON category IS NOT DISTINCT FROM cln.nation, enc_all)",
-        DERIVED_CTE.replace("FROM imp", "FROM cat"),
+        *chain(f"{TRAIN} t", TRAIN, "_train"),
+        *chain("sp", whole, ""),
+        target_ctes("cln_train", "nation", IS_A),
+        *encode("_train"),
+        *encode(""),
     ]
     ctes += [
         f"s_{c} AS (SELECT avg({c}) AS mean, stddev_pop({c}) AS sd, min({c}) AS lo, max({c}) AS hi, "
-        f"{skew_sql(c)} AS skew FROM (SELECT CAST({c} AS DOUBLE) AS {c} FROM eng "
-        "WHERE split_group = 'train') v)"
+        f"{skew_sql(c)} AS skew FROM (SELECT CAST({c} AS DOUBLE) AS {c} FROM eng_train) v)"
         for c in FIXED_SCALED
     ]
     out = ", ".join(
-        f"round(CASE WHEN s_{c}.lo = s_{c}.hi THEN {c} - s_{c}.lo "
+        f"CASE WHEN s_{c}.lo = s_{c}.hi THEN {c} - s_{c}.lo "
         f"WHEN abs(s_{c}.skew) > 1 THEN ({c} - s_{c}.lo) / (s_{c}.hi - s_{c}.lo) "
-        f"ELSE ({c} - s_{c}.mean) / s_{c}.sd END, 6) AS {c}"
+        f"ELSE ({c} - s_{c}.mean) / s_{c}.sd END AS {c}"
         for c in FIXED_SCALED
     )
     tables = ", ".join(["eng", *[f"s_{c}" for c in FIXED_SCALED]])
-    return with_pf(f"SELECT code, grade, split_group, {out} FROM {tables}", *ctes)
+    return [*ctes, f"scl AS (SELECT code, grade, split_group, {out} FROM {tables})"]
+
+
+def model_ready_sql(per_table: bool = False) -> str:
+    columns = ", ".join(f"round({c}, 6) AS {c}" for c in FIXED_SCALED)
+    return with_pf(f"SELECT code, grade, split_group, {columns} FROM scl", *scaled_ctes(per_table))
 
 
 @registered("model_ready_table", model_ready_sql())
@@ -370,6 +400,68 @@ def model_ready_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(done.select("code", LABEL, "split_group", *[col(c) for c in FIXED_SCALED]))
 
 
+@registered("model_ready_per_table", model_ready_sql(per_table=True))
+def model_ready_per_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each transformed table is filled from itself, the rest is fitted on train."""
+    chain = prepared(include_pca=False, stats_from="transform")
+    done = chain.fit_transform(split_landed(spark, sf_dir))
+    return rounded(done.select("code", LABEL, "split_group", *[col(c) for c in FIXED_SCALED]))
+
+
+@registered(
+    "model_ready_norms",
+    with_pf(
+        "SELECT code, grade, split_group, round("
+        + " + ".join(f"pow({c} - m_{c}, 2)" for c in FIXED_SCALED)
+        + ", 4) AS squared_norm FROM scl, (SELECT "
+        + ", ".join(f"avg({c}) AS m_{c}" for c in FIXED_SCALED)
+        + " FROM scl WHERE split_group = 'train') m",
+        *scaled_ctes(),
+    ),
+)
+def model_ready_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With all of the variance kept, components keep each row's distance from the train mean."""
+    chain = prepared(include_pca=True, multilabel_cols=[], pca_variance_threshold=1.0)
+    done = chain.fit_transform(split_landed(spark, sf_dir))
+    norm = F.lit(0.0)
+    for c in chain.get_transformer("pca").component_columns:
+        norm = norm + col(c) * col(c)
+    return done.select("code", LABEL, "split_group", F.round(norm, 4).alias("squared_norm"))
+
+
+@registered(
+    "check_first_component",
+    with_pf(
+        union_all(
+            [
+                check("train mean", "PC1", "0", "true"),
+                check("train deviation", "PC1", "(SELECT sqrt(l1) FROM ax)", "true"),
+                check("test mean", "PC1", "(SELECT avg(pc) FROM sc WHERE split_group = 'test')", "true"),
+                check("test deviation", "PC1",
+                      "(SELECT stddev_samp(pc) FROM sc WHERE split_group = 'test')", "true"),
+            ]
+        ),
+        LAB,
+        split_ctes(),
+        """m AS (SELECT avg(fat) AS mx, avg(protein) AS my, var_samp(fat) AS a, var_samp(protein) AS c,
+  covar_samp(fat, protein) AS b FROM sp WHERE split_group = 'train'),
+e AS (SELECT *, (a + c) / 2 + sqrt(pow((a - c) / 2, 2) + b * b) AS l1 FROM m),
+n AS (SELECT *, b / sqrt(b * b + pow(l1 - a, 2)) AS ux, (l1 - a) / sqrt(b * b + pow(l1 - a, 2)) AS uy
+  FROM e),
+ax AS (SELECT *, CASE WHEN (abs(ux) >= abs(uy) AND ux < 0) OR (abs(ux) < abs(uy) AND uy < 0)
+    THEN -1 ELSE 1 END AS s1 FROM n),
+sc AS (SELECT split_group, s1 * ((fat - mx) * ux + (protein - my) * uy) AS pc FROM sp, ax)""",
+    ),
+)
+def check_first_component(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns, whose first axis has a closed form, fitted on train."""
+    df = tagged(spark, sf_dir).select("code", "grade", "split_group", "fat", "protein")
+    model = FeatureReducer(n_components=1, **ROLES).fit(df.where("split_group = 'train'"))
+    found = rounded(validation.check_first_component(model.transform(df), "split_group"))
+    # A mean that rounds to minus zero is zero.
+    return found.withColumn("value", F.col("value") + F.lit(0.0))
+
+
 @registered("model_ready_components")
 def model_ready_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared(include_pca=True).fit_transform(split_landed(spark, sf_dir))
