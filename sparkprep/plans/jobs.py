@@ -145,6 +145,7 @@ def preprocess(
     aliases: dict[str, str] | None = None,
     redundant: Sequence[str] = tuple(presets.REDUNDANT),
     wide_text: Sequence[str] = tuple(presets.WIDE_TEXT),
+    wide_text_bound: int = 10_000,
     threshold: float = 0.95,
 ) -> tuple[DataFrame, MissingValueModel]:
     """Missing values, country lists, redundant and wide text columns of one whole table."""
@@ -154,7 +155,7 @@ def preprocess(
     filled = model.transform(df)
     if countries and countries in filled.columns:
         filled = clean_countries(filled, countries, aliases)
-    return drop_wide_text(filled.drop(*redundant), wide_text), model
+    return drop_wide_text(filled.drop(*redundant), wide_text, wide_text_bound), model
 
 
 def preprocess_dataset(

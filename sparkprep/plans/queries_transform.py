@@ -795,6 +795,7 @@ def preprocessed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     df.write.parquet(source)
     jobs.preprocess_dataset(
         spark, source, target, label="status", key=["code"],
-        redundant=["price_again"], wide_text=["note", "priority"], report_path=f"{target}-report",
+        redundant=["price_again"], wide_text=["note", "priority"], wide_text_bound=1_000,
+        report_path=f"{target}-report",
     )
     return rounded(spark.read.parquet(target))
