@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkprep.functions.columns import col, number, one_row_to_many, require, small_frame, value
-from sparkprep.operators.profile import compare_counts
+from sparkprep.functions.columns import col, number, one_row_to_many, require, small_frame
+from sparkprep.functions.statistics import column_statistics, per_position, presence
+from sparkprep.operators.profile import compare_counts, null_and_infinite
+from sparkprep.operators.quantiles import exact_quantiles
 from sparkprep.operators.reduction import FeatureReducerModel
 
 SCHEMA = "check string, column string, value double, passed boolean"
 
 
+def _rows(df: DataFrame, rows: list[tuple[str, str, float | None, bool]]) -> DataFrame:
+    shown = [(c, n, None if v is None else float(v), bool(ok)) for c, n, v, ok in rows]
+    return small_frame(df.sparkSession, shown, SCHEMA)
+
+
 def _record(check: str, column: str, shown: Column, passed: Column) -> list[tuple[str, Column]]:
     return [
         ("check", F.lit(check)),
@@ -35,23 +43,22 @@ def _from_aggregate(
 def check_retention(before: DataFrame, after: DataFrame, label: str) -> DataFrame:
     """Share of rows and columns kept, no missing cell left, label complete."""
     total = before.count()
-    missing = F.lit(0)
-    for c in after.columns:
-        missing = missing + F.count_if(value(after, c).isNull())
-    share = F.try_divide(F.col("n"), F.lit(total))
-    return _from_aggregate(
+    found = presence(after, after.columns)
+    kept = found[label][0]
+    missing = sum(n - present for n, present, _, _ in found.values())
+    no_label = kept - found[label][1]
+    return _rows(
         after,
-        {"n": F.count(F.lit(1)), "nulls": missing, "no_label": F.count_if(value(after, label).isNull())},
         [
-            _record("rows retained", "*", share, F.col("n") <= total),
-            _record(
+            ("rows retained", "*", kept / total if total else None, kept <= total),
+            (
                 "columns retained",
                 "*",
-                F.lit(len(after.columns) / len(before.columns)),
-                F.lit(len(after.columns) <= len(before.columns)),
+                len(after.columns) / len(before.columns),
+                len(after.columns) <= len(before.columns),
             ),
-            _record("missing cells", "*", F.col("nulls"), F.col("nulls") == 0),
-            _record("label missing", label, F.col("no_label"), F.col("no_label") == 0),
+            ("missing cells", "*", missing, missing == 0),
+            ("label missing", label, no_label, no_label == 0),
         ],
     )
 
@@ -59,10 +66,10 @@ def check_retention(before: DataFrame, after: DataFrame, label: str) -> DataFram
 def check_types(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
     """Columns have the expected type; value 1 where they do."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rows = [
-        ("data type", c, float(actual.get(c) == t), actual.get(c) == t) for c, t in expected.items()
-    ]
-    return small_frame(df.sparkSession, rows, SCHEMA)
+    return _rows(
+        df,
+        [("data type", c, actual.get(c) == t, actual.get(c) == t) for c, t in expected.items()],
+    )
 
 
 def check_domain(
@@ -72,29 +79,34 @@ def check_domain(
     extra_ranges: Mapping[str, tuple[float, float]] | None = None,
 ) -> DataFrame:
     """No negative value, no value outside its range, label complete."""
-    aggregates: dict[str, Column] = {"no_label": F.count_if(value(df, label).isNull())}
-    records = []
     rules = {c: r for c, r in {**ranges, **(extra_ranges or {})}.items() if c in df.columns}
-    for i, (c, (low, high)) in enumerate(rules.items()):
-        v = number(df, c)
-        aggregates[f"neg{i}"] = F.count_if(v < 0)
-        aggregates[f"out{i}"] = F.count_if((v < F.lit(low)) | (v > F.lit(high)))
-        records.append(_record("negative values", c, F.col(f"neg{i}"), F.col(f"neg{i}") == 0))
-        records.append(_record("outside range", c, F.col(f"out{i}"), F.col(f"out{i}") == 0))
-    records.append(_record("label missing", label, F.col("no_label"), F.col("no_label") == 0))
-    return _from_aggregate(df, aggregates, records)
+    low = per_position([r[0] for r in rules.values()])
+    high = per_position([r[1] for r in rules.values()])
+    found = column_statistics(
+        df,
+        list(rules),
+        {
+            "negative": lambda v: F.count_if(v < 0),
+            "outside": lambda v: F.count_if((v < low) | (v > high)),
+        },
+    )
+    rows = []
+    for c in rules:
+        negative, outside = found[c]["negative"] or 0, found[c]["outside"] or 0
+        rows.append(("negative values", c, negative, negative == 0))
+        rows.append(("outside range", c, outside, outside == 0))
+    n, present, _, _ = presence(df, [label])[label]
+    rows.append(("label missing", label, n - present, n == present))
+    return _rows(df, rows)
 
 
 def check_derived(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """No missing and no infinite value in the derived columns."""
-    aggregates, records = {}, []
-    for i, c in enumerate(columns):
-        v = number(df, c)
-        aggregates[f"n{i}"] = F.count_if(v.isNull())
-        aggregates[f"i{i}"] = F.count_if(F.abs(v) == F.lit(float("inf")))
-        records.append(_record("null values", c, F.col(f"n{i}"), F.col(f"n{i}") == 0))
-        records.append(_record("infinite values", c, F.col(f"i{i}"), F.col(f"i{i}") == 0))
-    return _from_aggregate(df, aggregates, records)
+    rows = []
+    for r in null_and_infinite(df, columns).collect():
+        rows.append(("null values", r["column"], r["null_count"], r["null_count"] == 0))
+        rows.append(("infinite values", r["column"], r["infinite_count"], r["infinite_count"] == 0))
+    return _rows(df, rows)
 
 
 def check_onehot(df: DataFrame, column: str, encoded: Sequence[str]) -> DataFrame:
@@ -125,7 +137,7 @@ def check_target_encoding(df: DataFrame, column: str) -> DataFrame:
     """The encoded column is numeric and within [0, 1]."""
     numeric = column in df.columns and df.schema[column].dataType.simpleString() == "double"
     if not numeric:
-        return small_frame(df.sparkSession, [("numeric", column, 0.0, False)], SCHEMA)
+        return _rows(df, [("numeric", column, 0, False)])
     v = number(df, column)
     return _from_aggregate(
         df,
@@ -139,15 +151,17 @@ def check_target_encoding(df: DataFrame, column: str) -> DataFrame:
 
 
 def _by_part(df: DataFrame, split_col: str, columns: Sequence[str], functions: Mapping) -> dict:
-    """Aggregates on train and on the other rows, from one pass."""
-    train = col(split_col) == "train"
+    """Column -> statistic on train and on the other rows, from one pass."""
+    train = F.col("train")
     aggregates = {}
-    for i, c in enumerate(columns):
-        v = number(df, c)
-        for name, f in functions.items():
-            aggregates[f"train_{name}{i}"] = f(F.when(train, v))
-            aggregates[f"test_{name}{i}"] = f(F.when(~train, v))
-    return aggregates
+    for name, f in functions.items():
+        aggregates[f"train_{name}"] = lambda v, f=f: f(F.when(train, v))
+        aggregates[f"test_{name}"] = lambda v, f=f: f(F.when(~train, v))
+    return column_statistics(df, columns, aggregates, train=col(split_col) == "train")
+
+
+def _gap(a: float | None, b: float | None) -> float:
+    return math.inf if a is None or b is None else abs(a - b)
 
 
 def check_encoder_leak(
@@ -157,88 +171,87 @@ def check_encoder_leak(
 
     Below 0.001 it is suspicious; a one-hot feature also needs both maxima to be 1.
     """
-    records, aggregates = [], {}
-    offset = 0
     columns = [c for cs in groups.values() for c in cs]
-    aggregates = _by_part(df, split_col, columns, {"mean": F.avg, "max": F.max})
+    found = _by_part(df, split_col, columns, {"mean": F.avg, "max": F.max})
+    rows = []
     for feature, encoded in groups.items():
-        span = range(offset, offset + len(encoded))
-        offset += len(encoded)
-        difference = F.lit(0.0)
-        for i in span:
-            difference = difference + F.abs(F.col(f"train_mean{i}") - F.col(f"test_mean{i}"))
-        difference = difference / F.lit(float(max(len(encoded), 1)))
-        suspicious = difference < 0.001
+        stats = [found[c] for c in encoded]
+        if not stats:
+            continue
+        gap = sum(_gap(s["train_mean"], s["test_mean"]) for s in stats) / len(stats)
+        suspicious = gap < 0.001
         if kinds.get(feature) == "onehot":
-            top = {s: [F.col(f"{s}_max{i}") for i in span] for s in ("train", "test")}
-            highest = {s: F.greatest(*m) if len(m) > 1 else m[0] for s, m in top.items()}
-            suspicious = suspicious & (highest["train"] == 1) & (highest["test"] == 1)
-        records.append(_record("encoder leak hint", feature, difference, ~suspicious))
-    return _from_aggregate(df, aggregates, records)
+            for side in ("train_max", "test_max"):
+                suspicious &= max((s[side] or 0.0) for s in stats) == 1.0
+        rows.append(("encoder leak hint", feature, gap, not suspicious))
+    return _rows(df, rows)
 
 
 def check_scaled_train(train: DataFrame, methods: Mapping[str, str]) -> DataFrame:
-    """On the fitted rows: mean 0 and deviation 1 for standard, range 0 to 1 for min-max."""
-    aggregates, records = {}, []
-    for i, (c, method) in enumerate(methods.items()):
-        v = number(train, c)
+    """On the fitted rows: mean 0 and deviation 1 for standard, range 0 to 1 for min-max,
+    median 0 for robust. A column without spread stays at 0."""
+    found = column_statistics(
+        train,
+        list(methods),
+        {"n": F.count, "mean": F.avg, "std": F.stddev_pop, "min": F.min, "max": F.max},
+    )
+    robust = [c for c, m in methods.items() if m == "robust"]
+    medians = exact_quantiles(train, robust, [0.5], {c: found[c]["n"] or 0 for c in robust})
+    near = 1e-6
+    rows = []
+    for c, method in methods.items():
+        s = found[c]
+        flat = s["min"] is not None and s["max"] - s["min"] < near
         if method == "standard":
-            aggregates[f"a{i}"], aggregates[f"b{i}"] = F.avg(v), F.stddev_pop(v)
-            names, ideal = ("train mean", "train deviation"), (0.0, 1.0)
+            rows.append(("train mean", c, s["mean"], _gap(s["mean"], 0.0) < near))
+            rows.append(("train deviation", c, s["std"], flat or _gap(s["std"], 1.0) < near))
         elif method == "minmax":
-            aggregates[f"a{i}"], aggregates[f"b{i}"] = F.min(v), F.max(v)
-            names, ideal = ("train minimum", "train maximum"), (0.0, 1.0)
+            rows.append(("train minimum", c, s["min"], _gap(s["min"], 0.0) < near))
+            rows.append(("train maximum", c, s["max"], flat or _gap(s["max"], 1.0) < near))
         else:
-            aggregates[f"a{i}"], aggregates[f"b{i}"] = F.median(v), F.count(v)
-            names, ideal = ("train median", "train rows"), (0.0, None)
-        for side, name, target in zip("ab", names, ideal):
-            shown = F.col(f"{side}{i}")
-            ok = F.lit(True) if target is None else F.abs(shown - target) < 1e-6
-            if name == "train deviation":
-                # A column without spread stays at 0.
-                ok = ok | (F.abs(shown) < 1e-6)
-            if name == "train maximum":
-                ok = ok | (F.abs(shown) < 1e-6)
-            records.append(_record(name, c, shown, ok))
-    return _from_aggregate(train, aggregates, records)
+            rows.append(("train median", c, medians[c][0], _gap(medians[c][0], 0.0) < near))
+    return _rows(train, rows)
 
 
 def check_scaler_leak(test: DataFrame, methods: Mapping[str, str]) -> DataFrame:
-    """Held-out rows that look perfectly scaled hint at a leak; value 1 where they do."""
-    aggregates, records = {}, []
-    for i, (c, method) in enumerate(methods.items()):
-        v = number(test, c)
+    """Held-out rows that look perfectly scaled hint at a leak; value 1 where they do.
+
+    The tolerances hold the relative part of a usual closeness test as well.
+    """
+    found = column_statistics(
+        test,
+        list(methods),
+        {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max},
+    )
+    rows = []
+    for c, method in methods.items():
+        s = found[c]
         if method == "standard":
-            aggregates[f"a{i}"], aggregates[f"b{i}"] = F.avg(v), F.stddev_samp(v)
-            near = (F.abs(F.col(f"a{i}")) <= 0.05) & (F.abs(F.col(f"b{i}") - 1) <= 0.02 + 1e-5)
+            leaked = _gap(s["mean"], 0.0) <= 0.05 and _gap(s["std"], 1.0) <= 0.02 + 1e-5
         elif method == "minmax":
-            aggregates[f"a{i}"], aggregates[f"b{i}"] = F.min(v), F.max(v)
-            near = (F.abs(F.col(f"a{i}")) <= 0.01) & (F.abs(F.col(f"b{i}") - 1) <= 0.01 + 1e-5)
+            leaked = _gap(s["min"], 0.0) <= 0.01 and _gap(s["max"], 1.0) <= 0.01 + 1e-5
         else:
             continue
-        leaked = F.coalesce(near, F.lit(False))
-        records.append(_record("scaler leak hint", c, leaked.cast("double"), ~leaked))
-    return _from_aggregate(test, aggregates, records)
+        rows.append(("scaler leak hint", c, leaked, not leaked))
+    return _rows(test, rows)
 
 
 def check_same_bounds(df: DataFrame, columns: Sequence[str], split_col: str) -> DataFrame:
     """Columns whose minimum and maximum coincide in train and held-out rows (value 1)."""
-    aggregates = _by_part(df, split_col, columns, {"min": F.min, "max": F.max})
-    records = []
-    for i, c in enumerate(columns):
-        same = (F.col(f"train_min{i}") == F.col(f"test_min{i}")) & (
-            F.col(f"train_max{i}") == F.col(f"test_max{i}")
+    found = _by_part(df, split_col, columns, {"min": F.min, "max": F.max})
+    rows = []
+    for c in columns:
+        s = found[c]
+        same = all(
+            s[f"train_{e}"] is not None and s[f"train_{e}"] == s[f"test_{e}"] for e in ("min", "max")
         )
-        records.append(
-            _record("same bounds", c, F.coalesce(same, F.lit(False)).cast("double"), F.lit(True))
-        )
-    return _from_aggregate(df, aggregates, records)
+        rows.append(("same bounds", c, same, True))
+    return _rows(df, rows)
 
 
 def check_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     """Columns that must be present; value 1 where they are."""
-    rows = [("column present", c, float(c in df.columns), c in df.columns) for c in wanted]
-    return small_frame(df.sparkSession, rows, SCHEMA)
+    return _rows(df, [("column present", c, c in df.columns, c in df.columns) for c in wanted])
 
 
 def check_reduction(
@@ -256,13 +269,13 @@ def check_reduction(
     reached = model.cumulative_variance()[-1]
     components = model.fitted["components"]
     threshold = model.value("variance_threshold")
-    fixed = small_frame(
-        after.sparkSession,
+    complete = components == len(model.fitted["columns"])
+    fixed = _rows(
+        after,
         [
-            ("variance reached", "*", reached, reached >= threshold or components == len(model.fitted["columns"])),
-            ("components", "*", float(components), components > 0),
+            ("variance reached", "*", reached, reached >= threshold or complete),
+            ("components", "*", components, components > 0),
         ],
-        SCHEMA,
     )
     parts = [fixed]
     for key in (label, split_col):
