@@ -10,6 +10,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry_points  # noqa: E402
 import oracle  # noqa: E402
+from sparkprep.plans import (  # noqa: E402
+    queries_acquire,
+    queries_checks,
+    queries_profile,
+    queries_transform,
+    registry,
+)
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +24,17 @@ def duck(small):
     return oracle.connect(small)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def derived_once(spark, small):
+    """Queries that start from the landed derived table share one copy of it."""
+    landed = registry.land(registry.product_features(spark, small), "product-features")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(registry, "features", lambda spark, sf_dir: landed)
+        for module in (queries_acquire, queries_checks, queries_profile, queries_transform):
+            patch.setattr(module, "features", lambda spark, sf_dir: landed, raising=False)
+        yield
+
+
 @pytest.mark.parametrize("name", sorted(entry_points.queries()))
 def test_query(spark, duck, small, name):
     query, sql = entry_points.queries()[name], entry_points.oracle_sql().get(name)

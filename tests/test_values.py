@@ -272,7 +272,8 @@ def test_reduction_against_numpy(spark):
 
     rng = np.random.default_rng(3)
     x = rng.normal(size=(200, 4)) @ rng.normal(size=(4, 4)) + 5
-    df = spark.createDataFrame([tuple(map(float, r)) + ("a",) for r in x], "a double, b double, c double, d double, y string")
+    rows = [tuple(map(float, r)) + ("a",) for r in x]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, y string")
     model = FeatureReducer(n_components=4, **ROLES).fit(df)
     eigenvalues = np.sort(np.linalg.eigvalsh(np.cov(x.T)))[::-1]
     assert np.allclose(model.explained_variance_ratio(), eigenvalues / eigenvalues.sum())
@@ -300,3 +301,18 @@ def test_histogram_of_a_constant_and_of_nothing(spark):
     assert [(r["n"], r["lower"]) for r in sorted(rows, key=lambda r: r["bin"])] == [
         (0, 4.5), (0, 4.75), (2, 5.0), (0, 5.25),
     ]
+
+
+def test_float_and_decimal_columns(spark):
+    df = spark.range(4).select(
+        F.when(F.col("id") == 0, F.lit(math.nan)).otherwise(F.col("id")).cast("float").alias("f"),
+        F.when(F.col("id") > 0, F.col("id")).cast("decimal(10,2)").alias("d"),
+        F.lit("a").alias("y"),
+    )
+    done = MissingValueTransformer(**ROLES).fit(df).transform(df)
+    assert dict(done.dtypes)["f"] == "float"
+    assert sorted(values(done, "f")) == [1.0, 2.0, 2.0, 3.0]
+    assert sorted(map(float, values(done, "d"))) == [1.0, 2.0, 2.0, 3.0]
+    assert set(FeatureScaler(**ROLES).fit(done).scalers) == {"f", "d"}
+    row = profile.missing_profile(df).where("column = 'f'").first()
+    assert (row["missing_count"], row["unique_values"]) == (1, 3)
