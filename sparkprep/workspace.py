@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import warnings
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,12 +39,15 @@ def shared_folder(spark: SparkSession) -> str | None:
     if folder:
         return folder.rstrip("/")
     if spark.conf.get("spark.master", "").startswith("local"):
-        folder = tempfile.mkdtemp(prefix="sparkprep-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return _local_folder()
     return None
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="sparkprep-")
+
+
 def run_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     folder = shared_folder(spark)
