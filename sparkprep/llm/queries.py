@@ -7,18 +7,75 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.llm.common import read
+from sparkprep.llm import oracles
+from sparkprep.llm.chat import format_conversations, read_turns, text_content, trained_text
+from sparkprep.llm.common import Scratch, read
+from sparkprep.llm.mixing import n_words, with_copies
 from sparkprep.llm.near_documents import near_documents
+from sparkprep.llm.packing import pack_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = read(spark, sf_dir, "documents").select("doc_id", "source", n_words("text").alias("size"))
+    sized = Scratch(spark, "mix-sources").keep(sized, "sizes")
+    counted = with_copies(sized, F.col("size"))
+    return counted.select(
+        "doc_id",
+        "size",
+        F.col("__source_size").alias("source_size"),
+        F.col("__target").alias("target"),
+        (F.col("size") * F.col("__copies")).alias("taken"),
+    )
+
+
 def near_document_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents(read(spark, sf_dir, "documents"))
 
 
+def chat_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formats every conversation and one that holds the markers of a common template."""
+    marked = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        marked.alias("text"),
+    )
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    done = format_conversations(rows.withColumn("content", text_content(F.col("text"))))
+    turns = read_turns(F.col("formatted"))
+    lines = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    back = done.withColumn("turns", lines).withColumn("trained", trained_text(F.col("formatted"), F.col("loss")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join("turns", ""), 256).alias("turns_sha256"),
+        F.length("trained").cast("long").alias("loss_chars"),
+        F.sha2("trained", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def pack_all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Query] = {
+    "op2_mix_sources": mix_sources,
     "op7_near_documents": near_document_groups,
+    "op8_chat_format": chat_read_back,
+    "op10_pack_documents": pack_all_documents,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_mix_sources": oracles.MIX_SOURCES,
+    "op8_chat_format": oracles.CHAT_FORMAT,
+}
