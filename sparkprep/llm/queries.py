@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from sparkprep.llm import oracles
 from sparkprep.llm.chat import format_conversations, read_turns, text_content, trained_text
 from sparkprep.llm.common import Scratch, read
+from sparkprep.llm.language import identify_languages
 from sparkprep.llm.mixing import n_words, with_copies
 from sparkprep.llm.near_documents import near_documents
 from sparkprep.llm.packing import pack_documents
+from sparkprep.llm.repeated_passages import remove_repeated_passages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +42,11 @@ def near_document_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents(read(spark, sf_dir, "documents"))
 
 
+def repeated_passage_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = remove_repeated_passages(read(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def chat_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formats every conversation and one that holds the markers of a common template."""
     marked = F.lit("</s>[INST] ok [/INST]")
@@ -64,14 +71,21 @@ def chat_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def document_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def pack_all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES: dict[str, Query] = {
     "op2_mix_sources": mix_sources,
+    "op6_repeated_passages": repeated_passage_removal,
     "op7_near_documents": near_document_groups,
     "op8_chat_format": chat_read_back,
+    "op9_languages": document_languages,
     "op10_pack_documents": pack_all_documents,
 }
 
