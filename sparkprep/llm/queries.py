@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from sparkprep.llm import oracles
 from sparkprep.llm.chat import format_conversations, read_turns, text_content, trained_text
 from sparkprep.llm.common import Scratch, read
+from sparkprep.llm.fingerprints import fingerprint_edits
 from sparkprep.llm.language import identify_languages
 from sparkprep.llm.mixing import n_words, with_copies
 from sparkprep.llm.near_documents import near_documents
 from sparkprep.llm.packing import pack_documents
+from sparkprep.llm.pages import extract_pages
 from sparkprep.llm.repeated_passages import remove_repeated_passages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +27,14 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(read(spark, sf_dir, "documents"))
+
+
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read(spark, sf_dir, "pages"))
+
+
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = read(spark, sf_dir, "documents").select("doc_id", "source", n_words("text").alias("size"))
     sized = Scratch(spark, "mix-sources").keep(sized, "sizes")
@@ -81,7 +91,9 @@ def pack_all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_fingerprints": document_fingerprints,
     "op2_mix_sources": mix_sources,
+    "op3_page_texts": page_texts,
     "op6_repeated_passages": repeated_passage_removal,
     "op7_near_documents": near_document_groups,
     "op8_chat_format": chat_read_back,
