@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparkprep.llm import oracles
 from sparkprep.llm.chat import format_conversations, read_turns, text_content, trained_text
 from sparkprep.llm.common import Scratch, read
+from sparkprep.llm.embeddings import near_embeddings
 from sparkprep.llm.fingerprints import fingerprint_edits
 from sparkprep.llm.language import identify_languages
 from sparkprep.llm.mixing import n_words, with_copies
@@ -35,6 +36,10 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(read(spark, sf_dir, "pages"))
 
 
+def near_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(read(spark, sf_dir, "embeddings"))
+
+
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = read(spark, sf_dir, "documents").select("doc_id", "source", n_words("text").alias("size"))
     sized = Scratch(spark, "mix-sources").keep(sized, "sizes")
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op1_fingerprints": document_fingerprints,
     "op2_mix_sources": mix_sources,
     "op3_page_texts": page_texts,
+    "op4_near_embeddings": near_embedding_groups,
     "op6_repeated_passages": repeated_passage_removal,
     "op7_near_documents": near_document_groups,
     "op8_chat_format": chat_read_back,
