@@ -13,6 +13,7 @@ from sparkprep.llm.common import Scratch, read
 from sparkprep.llm.embeddings import near_embeddings
 from sparkprep.llm.fingerprints import fingerprint_edits
 from sparkprep.llm.language import identify_languages
+from sparkprep.llm.lines import dedup_lines
 from sparkprep.llm.mixing import n_words, with_copies
 from sparkprep.llm.near_documents import near_documents
 from sparkprep.llm.packing import pack_documents
@@ -57,6 +58,16 @@ def near_document_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents(read(spark, sf_dir, "documents"))
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select(
+        "doc_id",
+        F.col("__lines").alias("n_lines"),
+        F.col("__removed").alias("n_removed"),
+        F.sha2(F.coalesce("__kept", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def repeated_passage_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeated_passages(read(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -100,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op2_mix_sources": mix_sources,
     "op3_page_texts": page_texts,
     "op4_near_embeddings": near_embedding_groups,
+    "op5_line_dedup": line_dedup,
     "op6_repeated_passages": repeated_passage_removal,
     "op7_near_documents": near_document_groups,
     "op8_chat_format": chat_read_back,
