@@ -20,22 +20,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkprep.llm.common import Scratch, by_group
-from sparkprep.llm.words import words
+from sparkprep.llm.words import blocks, joined_words, words_of
 
 LENGTH = 4096
 END_ID = 1
 GROUP = 40_000  #: pieces of one group
 KEEP_GAP = 0.01  #: a sequence with a larger share unfilled is packed again
-_CACHED = 400_000
+_CACHED = 2_000_000  #: words whose ids a worker keeps
+
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[ord(c) for c in ".,;:!?$%&#*()"]] = True
 
 _caches: dict[str, _Ids] = {}
 
 
+def _units(block_bytes: np.ndarray) -> np.ndarray:
+    """Places where a letter meets plain punctuation, which the tokenizer always parts.
+
+    Only ASCII letters and those of the bytes C3 80 to C3 BF count as letters, and only marks that
+    are in no contraction as punctuation, so every cut is one the tokenizer makes itself.
+    """
+    data = block_bytes
+    letter = _LETTER[data]
+    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    begins = _LETTER[data]
+    begins[:-1] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    mark = _MARK[data]
+    return 1 + np.flatnonzero(letter[:-1] & mark[1:] | mark[:-1] & begins[1:])
+
+
 class _Ids:
     """Token ids of words, found once per worker.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its
-    words one after another.
+    words one after another. New words are encoded together, parted by a special token.
     """
 
     def __init__(self, path: str):
@@ -43,55 +63,88 @@ class _Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        special = self.tokenizer.get_added_tokens_decoder().items()
+        self.mark = next(
+            ((i, t.content) for i, t in special if not (t.lstrip or t.rstrip or t.normalized or t.single_word)), None
+        )
         self.clear()
 
     def clear(self) -> None:
-        self.places: dict[int, int] = {}
-        self.starts = np.zeros(1024, dtype=np.int64)
-        self.lengths = np.zeros(1024, dtype=np.int64)
-        self.flat = np.zeros(4096, dtype=np.uint32)
+        self.hashes = np.empty(0, dtype=np.uint64)  # sorted
+        self.starts = np.empty(0, dtype=np.int64)
+        self.lengths = np.empty(0, dtype=np.int64)
+        self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
 
-    def _add(self, hashes: list[int], texts: list[str]) -> None:
+    def _encoded(self, block, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words ``at`` one after another, and the number of each."""
+        if self.mark:
+            number, mark = self.mark
+            glue = np.frombuffer(mark.encode(), dtype=np.uint8)
+            sizes = block.ends[at] - block.starts[at]
+            text = joined_words(block, at, glue)
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+            cuts = np.flatnonzero(ids == number)
+            if len(cuts) == len(sizes):
+                lengths = np.diff(cuts, prepend=-1) - 1
+                return ids[ids != number], lengths
+        # No special token to part the words by, or a word that holds its text.
+        texts = [block.data[s:e].tobytes().decode("utf-8") for s, e in zip(block.starts[at], block.ends[at])]
         found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        for h, ids in zip(hashes, found):
-            at = len(self.places)
-            if at == len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-                self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+        lengths = np.array([len(x) for x in found], dtype=np.int64)
+        return np.array([i for x in found for i in x], dtype=np.uint32), lengths
+
+    def _add(self, block, hashes: np.ndarray, at: np.ndarray) -> None:
+        starts, lengths = [], []
+        for i in range(0, len(at), 20_000):
+            ids, n = self._encoded(block, at[i : i + 20_000])
             while self.used + len(ids) > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.places[h] = at
-            self.starts[at], self.lengths[at] = self.used, len(ids)
             self.flat[self.used : self.used + len(ids)] = ids
+            starts.append(self.used + np.cumsum(n) - n)
+            lengths.append(n)
             self.used += len(ids)
+        place = np.searchsorted(self.hashes, hashes)
+        self.starts = np.insert(self.starts, place, np.concatenate(starts))
+        self.lengths = np.insert(self.lengths, place, np.concatenate(lengths))
+        self.hashes = np.insert(self.hashes, place, hashes)
 
     def of(self, block) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words of a block, and how many ids come before each of its texts."""
-        if len(self.places) > _CACHED:
+        if len(self.hashes) > _CACHED:
             self.clear()
         distinct, first, inverse = np.unique(block.hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        new = [i for i, h in enumerate(keys) if h not in self.places]
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
-            texts = [
-                block.data[block.starts[first[i]] : block.ends[first[i]]].tobytes().decode("utf-8") for i in part
-            ]
-            self._add([keys[i] for i in part], texts)
-        place = np.array([self.places[h] for h in keys], dtype=np.int64)[inverse]
+        place = np.searchsorted(self.hashes, distinct)
+        new = np.ones(len(distinct), dtype=bool)
+        inside = place < len(self.hashes)
+        new[inside] = self.hashes[place[inside]] != distinct[inside]
+        if new.any():
+            self._add(block, distinct[new], first[new])
+            place = np.searchsorted(self.hashes, distinct)
+        place = place[inverse]
         lengths = self.lengths[place]
         before = np.concatenate([[0], np.cumsum(lengths)])
         spread = np.repeat(self.starts[place] - before[:-1], lengths) + np.arange(before[-1])
         return self.flat[spread], before[block.offsets]
 
 
+def word_units(first: int, data: np.ndarray, texts: np.ndarray):
+    """The parts of a block of texts that the tokenizer encodes each on its own, lower-cased.
+
+    The tokenizer lowers letters itself; a block that may hold the text of a special token, where
+    case matters, is left as it is.
+    """
+    special = b"<|" in data.tobytes()
+    return words_of(data, texts, first, lower=not special, cuts=None if special else _units(data))
+
+
 def _tokenised(path: str, length: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _caches.get(path) or _caches.setdefault(path, _Ids(path))
         for batch in batches:
             ids_of = batch.column("doc_id").cast(pa.int64())
-            for block in words(batch.column("text")):
+            for first, data, texts in blocks(batch.column("text")):
+                block = word_units(first, data, texts)
                 ids, before = cache.of(block)
                 at, piece, start, size, crc, kept = [], [], [], [], [], []
                 for i in range(len(before) - 1):

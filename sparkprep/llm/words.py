@@ -89,14 +89,18 @@ def blocks(column: pa.Array, size: int = BLOCK) -> Iterator[tuple[int, np.ndarra
         first = last
 
 
-def words_of(data: np.ndarray, texts: np.ndarray, first: int = 0, lower: bool = False) -> Words:
-    """Words of a block of texts given as bytes and offsets."""
+def words_of(
+    data: np.ndarray, texts: np.ndarray, first: int = 0, lower: bool = False, cuts: np.ndarray | None = None
+) -> Words:
+    """Words of a block of texts given as bytes and offsets; ``cuts`` are further places where one begins."""
     if lower:
         data = _LOWER[data]
     n = len(data)
     inside = ~_SPACE[data]
     begins = np.zeros(n + 1, dtype=bool)
     begins[texts] = True
+    if cuts is not None:
+        begins[cuts] = True
     start = inside.copy()
     start[1:] &= ~inside[:-1] | begins[1:n]
     end = inside.copy()
@@ -134,3 +138,17 @@ def shingles(hashes: np.ndarray, k: int = 5) -> np.ndarray:
     if not len(hashes):
         return hashes
     return np.unique(windows(hashes, min(k, len(hashes))))
+
+
+def joined_words(block: Words, at: np.ndarray, glue: np.ndarray) -> str:
+    """The words ``at`` of a block in one text, each followed by ``glue``."""
+    lengths = block.ends[at] - block.starts[at]
+    sizes = lengths + len(glue)
+    before = np.cumsum(sizes) - sizes
+    place = np.arange(sizes.sum()) - np.repeat(before, sizes)
+    own = np.repeat(lengths, sizes)
+    inside = place < own
+    out = np.empty(len(place), dtype=np.uint8)
+    out[inside] = block.data[(np.repeat(block.starts[at], sizes) + place)[inside]]
+    out[~inside] = glue[(place - own)[~inside]]
+    return out.tobytes().decode("utf-8")
