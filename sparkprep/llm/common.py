@@ -128,6 +128,46 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     return labels
 
 
+MAP_BITS = 24  #: log2 of the bits of a map (2 MB)
+
+
+class BitMap:
+    """A set of well mixed 64-bit keys as a map of ``2 ** MAP_BITS`` bits.
+
+    Its size is fixed, whatever is in it, so it can be broadcast. It may hold too much, never too
+    little: for leaving out rows early that a later join would drop.
+    """
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    @classmethod
+    def of(cls, df: DataFrame, key: str) -> BitMap:
+        """Built from a grouping by 64-bit words of the map: 4 MB reach the driver at most."""
+        place = F.shiftrightunsigned(key, 64 - MAP_BITS)
+        word, bit = F.shiftright(place, 6), place.bitwiseAND(63).cast("int")
+        one = F.expr("shiftleft(1L, bit)")
+        rows = df.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or(one).alias("bits"))
+        found = rows.toPandas()
+        bits = np.zeros(1 << (MAP_BITS - 6), dtype=np.uint64)
+        bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+        return cls(bits)
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        place = keys.view(np.uint64) >> np.uint64(64 - MAP_BITS)
+        return (self.bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+    def sift(self, df: DataFrame, key: str) -> DataFrame:
+        """Rows of ``df`` whose ``key`` the map holds, found in the tasks that scan them."""
+        shared = df.sparkSession.sparkContext.broadcast(self)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(shared.value.holds(batch.column(key).to_numpy())))
+
+        return df.mapInArrow(run, df.schema)
+
+
 class Forest:
     """Union of a bounded set of numbered nodes within a task."""
 
@@ -153,14 +193,19 @@ def blocks_of(members: DataFrame, group: str, chunks: str, member: str) -> DataF
     """``members`` once for each block of the group that compares them with others.
 
     A group's members are dealt to ``chunks`` parts by hash; each pair of parts, and each
-    part with itself, is one block with the key ``block``. Columns ``part`` and ``block_low``
-    tell a member's own part and the block's first. A pair of members meets in one block.
+    part with itself, is one block with the key ``block``. A pair of members of different
+    parts meets in the one block whose ``low`` and ``high`` are their ``part``.
     """
     part = F.pmod(F.xxhash64(F.lit("part"), member), F.col(chunks)).cast("long")
     dealt = members.withColumn("part", part).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(chunks).cast("long") - 1))
     )
-    low, high = F.least("part", "other"), F.greatest("part", "other")
-    return dealt.withColumn("block_low", low).withColumn(
-        "block", F.xxhash64(group, low, high)
-    ).drop("other")
+    dealt = dealt.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
+    return dealt.withColumn("block", F.xxhash64(group, "low", "high")).drop("other")
+
+
+def block_pairs(parts: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Which pairs (i < j) of a block's members are this block's to compare."""
+    n = len(parts)
+    upper = np.triu(np.ones((n, n), dtype=bool), 1)
+    return upper if low == high else upper & (parts[:, None] != parts[None, :])

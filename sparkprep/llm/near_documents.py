@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkprep.llm.common import Forest, Scratch, blocks_of, by_group, components
+from sparkprep.llm.common import BitMap, Forest, Scratch, block_pairs, blocks_of, by_group, components
 from sparkprep.llm.words import mix, shingles, words
 
 #: Registers and registers per band: a pair at 0.85 is missed with probability 3e-7.
@@ -83,11 +83,12 @@ def _signatures(k: int, registers: int, rows: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
+                    batch.column("row"),
                     pa.array(sizes, pa.int64()),
                     pa.array(kinds, pa.int64()),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "kind", "bands"],
+                ["doc_id", "row", "n_shingles", "kind", "bands"],
             )
 
     return run
@@ -142,7 +143,7 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 def _verify(percent: int):
     def run(table: pa.Table, bounds: np.ndarray) -> dict[str, object]:
-        kinds = table.column("kind").to_numpy()
+        kinds, parts, low_part, high_part = (table.column(c).to_numpy() for c in ("kind", "part", "low", "high"))
         column = table.column("shingles").combine_chunks()
         values = column.values.to_numpy()
         offsets = column.offsets.to_numpy()
@@ -155,7 +156,8 @@ def _verify(percent: int):
             sizes = np.diag(both)
             linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
             forest = Forest(end - at)
-            for x, y in zip(*np.nonzero(np.triu(linked, 1))):
+            linked &= block_pairs(parts[at:end], low_part[at], high_part[at])
+            for x, y in zip(*np.nonzero(linked)):
                 if forest.join(int(x), int(y)):
                     low.append(kinds[at + x])
                     high.append(kinds[at + y])
@@ -178,11 +180,38 @@ def near_documents(
     group where their sets are near; a null doc_id counts only where its whole group has no
     other. Further columns of ``docs`` are ignored.
     """
+    return _grouped(docs, percent, k, registers, rows).drop("row", "root")
+
+
+def drop_near_documents(
+    docs: DataFrame, percent: int = 85, k: int = 5, registers: int = REGISTERS, rows: int = ROWS
+) -> DataFrame:
+    """``docs`` with one document of each group of near copies, the one with the smallest doc_id.
+
+    Columns and order of columns are kept. A document is told by doc_id and text: rows equal in both stay or
+    go together. Null and empty texts all stay.
+    """
+    found = _grouped(docs, percent, k, registers, rows).where("n_shingles > 0")
+    found = Scratch(docs.sparkSession, "near-documents").keep(found.select("doc_id", "row", "root"), "groups")
+    place = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
+    first = found.groupBy("root").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = first.where("first <> last").select("root", "first")
+    gone = found.join(first, "root").where(place != F.col("first")).select(
+        F.col("doc_id").alias("__doc_id"), F.col("row").alias("__row")
+    )
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc_id"))
+    return docs.join(
+        gone.hint("merge"), same & (F.xxhash64(F.col("text").cast("string")) == F.col("__row")), "left_anti"
+    )
+
+
+def _grouped(docs: DataFrame, percent: int, k: int, registers: int, rows: int) -> DataFrame:
+    """``near_documents`` with a hash of each text and the key of its group."""
     scratch = Scratch(docs.sparkSession, "near-documents")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = scratch.keep(
-        texts.mapInArrow(
-            _signatures(k, registers, rows), "doc_id long, n_shingles long, kind long, bands array<long>"
+        texts.withColumn("row", F.xxhash64("text")).mapInArrow(
+            _signatures(k, registers, rows), "doc_id long, row long, n_shingles long, kind long, bands array<long>"
         ),
         "signatures",
     )
@@ -202,10 +231,15 @@ def near_documents(
     members = scratch.keep(members, "members")
     chunks = members.groupBy("grp").agg(F.ceil(F.sum("size") / F.lit(PART)).cast("long").alias("chunks"))
     members = members.join(chunks, "grp").select(F.col("first_id").alias("doc_id"), "kind", "grp", "chunks")
-    wanted = members.withColumnRenamed("doc_id", "first_id")
-    sets = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id"))).drop("first_id", "doc_id")
+    # Only texts that stand for a candidate are moved; one plan at every size.
+    wanted = BitMap.of(members.select(F.xxhash64("doc_id").alias("key")), "key")
+    sets = wanted.sift(texts.withColumn("key", F.xxhash64("doc_id")), "key")
+    members = members.withColumnRenamed("doc_id", "first_id").hint("merge")
+    sets = sets.join(members, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("text", "kind", "grp", "chunks")
     sets = sets.mapInArrow(_sets(k), "kind long, grp long, chunks long, shingles array<long>")
-    blocks = blocks_of(sets, "grp", "chunks", "kind").select("block", "kind", "shingles")
+    blocks = blocks_of(sets, "grp", "chunks", "kind").select(
+        "block", "kind", "part", "low", "high", "shingles"
+    )
     links = by_group(blocks, "block", _verify(percent), "a long, b long")
     groups = components(scratch, links)
 
@@ -213,11 +247,13 @@ def near_documents(
         "kind", "first_id", F.coalesce("root", "kind").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = scratch.keep(rooted.join(smallest, "root").select("kind", "component_id"), "components")
-    out = signed.select("doc_id", "n_shingles", "kind").join(named, "kind", "left")
+    named = scratch.keep(rooted.join(smallest, "root").select("kind", "root", "component_id"), "components")
+    out = signed.select("doc_id", "row", "n_shingles", "kind").join(named, "kind", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select(
         "doc_id",
+        "row",
+        "root",
         "n_shingles",
         component.alias("component_id"),
         component.eqNullSafe(F.col("doc_id")).alias("kept"),

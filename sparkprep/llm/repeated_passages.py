@@ -28,12 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkprep.llm.common import Scratch, by_group
+from sparkprep.llm.common import BitMap, Scratch, by_group
 from sparkprep.llm.words import mix, windows, words
 
 LENGTH = 35
 ANCHOR = 12
-MAP_BITS = 24  #: log2 of the bits of a map (2 MB)
 _SEEN = 50_000  #: passages a task holds back, to send equal ones once
 _PLACE = np.uint64(24)
 _PLACES = np.uint64((1 << 24) - 1)
@@ -89,29 +88,6 @@ def _window_keys(hashes: np.ndarray) -> np.ndarray:
     return mix(hashes + np.uint64(0x51ED270B)).view(np.int64)
 
 
-class BitMap:
-    """A set of 64-bit keys as a map of ``2 ** MAP_BITS`` bits, which may hold too much, never too little."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
-
-    @classmethod
-    def of(cls, df: DataFrame, key: str) -> BitMap:
-        """Built from a grouping by 64-bit words of the map: 4 MB reach the driver at most."""
-        place = F.shiftrightunsigned(key, 64 - MAP_BITS)
-        word, bit = F.shiftright(place, 6), place.bitwiseAND(63).cast("int")
-        one = F.expr("shiftleft(1L, bit)")
-        rows = df.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or(one).alias("bits"))
-        found = rows.toPandas()
-        bits = np.zeros(1 << (MAP_BITS - 6), dtype=np.uint64)
-        bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-        return cls(bits)
-
-    def holds(self, keys: np.ndarray) -> np.ndarray:
-        place = keys.view(np.uint64) >> np.uint64(64 - MAP_BITS)
-        return (self.bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-
-
 def _kinds(length: int):
     """Anchors of each block with the passages below them, summed by anchor."""
 
