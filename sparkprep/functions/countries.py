@@ -5,20 +5,27 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from sparkprep.functions.text import normal_text
-from sparkprep.presets import COUNTRY_OVERRIDES, ISO_SHORT_NAMES
+from sparkprep.presets import (
+    COUNTRY_OVERRIDES,
+    ISO_NUMERIC_CODES,
+    ISO_SHORT_NAMES,
+    OFFICIAL_NAMES,
+)
 
 
 def country_aliases(spark: SparkSession, extra: dict[str, str] | None = None) -> dict[str, str]:
     """Alias -> canonical country name, keys in normal form.
 
-    ISO codes and English names come from the locale data of the JVM; ``extra`` adds
-    or replaces aliases. A resolved name that is itself an override key takes the
+    Letter codes and English names come from the locale data of the JVM, numeric codes and official
+    names from the presets. ``extra`` adds or replaces aliases, and fixes names where the JVM may
+    change. A resolved name that is itself an override key takes the
     override, so every alias of a country ends in one name.
     """
     overrides = {normal_text(k): v for k, v in COUNTRY_OVERRIDES.items()}
     standard = {v.lower(): v for v in COUNTRY_OVERRIDES.values()}
     locale = spark._jvm.java.util.Locale
     aliases: dict[str, str] = {}
+    official: dict[str, str] = {}
     for code in locale.getISOCountries():
         place = locale("", code)
         common = place.getDisplayCountry(locale.ENGLISH)
@@ -26,6 +33,12 @@ def country_aliases(spark: SparkSession, extra: dict[str, str] | None = None) ->
         name = overrides.get(normal_text(name), standard.get(name.lower(), name))
         for alias in (code, place.getISO3Country(), common, name):
             aliases.setdefault(normal_text(alias), name)
+        official[code] = name
+    for alias, code in OFFICIAL_NAMES.items():
+        aliases.setdefault(normal_text(alias), official[code])
+    for code, number in zip(ISO_NUMERIC_CODES[::2], ISO_NUMERIC_CODES[1::2]):
+        aliases.setdefault(number, official[code])
+        aliases.setdefault(f"{int(number):03d}", official[code])
     aliases.update(overrides)
     aliases.update({normal_text(k): v for k, v in (extra or {}).items()})
     return aliases

@@ -68,8 +68,9 @@ def presence(df: DataFrame, columns: Sequence[str], chosen: Column | None = None
 def distinct_counts(df: DataFrame) -> DataFrame:
     """Per column position: rows, missing cells and exact distinct non-null values.
 
-    Every cell becomes a narrow typed record; equal ones are merged in each task before
-    the single shuffle, so a frequent value costs no more than a rare one.
+    Every cell becomes a narrow typed record, a text its 128-bit hash; equal ones are merged in
+    each task before the single shuffle, so a frequent value costs no more than a rare one and no
+    text is moved.
     """
     records = []
     for i, field in enumerate(df.schema.fields):
@@ -83,7 +84,7 @@ def distinct_counts(df: DataFrame) -> DataFrame:
                 F.lit(i).alias("position"),
                 (c.cast("long") if whole else F.lit(None).cast("long")).alias("w"),
                 (c.cast("double") if real else F.lit(None).cast("double")).alias("r"),
-                (text if text is not None else F.lit(None).cast("string")).alias("t"),
+                (F.unhex(F.md5(text)) if text is not None else F.lit(None).cast("binary")).alias("t"),
             )
         )
     cells = df.select(F.inline(F.array(*records)))

@@ -7,15 +7,23 @@ from collections import defaultdict
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkprep.presets import OFFICIAL_FORMS
+
 UNKNOWN = "unknown"
 
-# An alias dimension becomes part of the expression, so its size is checked.
-MAX_ALIASES = 20_000
+
+# White space as ``str.strip`` takes it, for both halves of the lookup.
+SPACE = r"[\p{Z}\x09-\x0D\x1C-\x1F\x85]+"
+
+
+def stripped(token: Column) -> Column:
+    """The token without white space of any kind at its ends."""
+    return F.regexp_replace(token, f"^{SPACE}|{SPACE}$", "")
 
 
 def normal_form(token: Column) -> Column:
-    """Lower case, outer blanks removed, every ``en:`` removed, ``-`` read as a blank."""
-    bare = F.replace(F.trim(F.lower(token)), F.lit("en:"), F.lit(""))
+    """Lower case, outer white space removed, every ``en:`` removed, ``-`` read as a blank."""
+    bare = F.replace(stripped(F.lower(token)), F.lit("en:"), F.lit(""))
     return F.replace(bare, F.lit("-"), F.lit(" "))
 
 
@@ -24,13 +32,14 @@ def normal_text(token: str) -> str:
     return token.lower().strip().replace("en:", "").replace("-", " ")
 
 
-def alias_map(aliases: dict[str, str]) -> Column:
+def alias_map(aliases: dict[str, str], max_aliases: int = 20_000) -> Column:
     """First character -> (alias -> canonical name), as a literal.
 
-    A map literal is searched linearly, so the aliases are divided by first character.
+    A map literal is searched linearly, so the aliases are divided by first character. It becomes
+    part of the expression, so more than ``max_aliases`` are an error.
     """
-    if len(aliases) > MAX_ALIASES:
-        raise ValueError(f"alias dimension has {len(aliases)} entries, more than {MAX_ALIASES}")
+    if len(aliases) > max_aliases:
+        raise ValueError(f"alias dimension has {len(aliases)} entries, more than {max_aliases}")
     groups: dict[str, dict[str, str]] = defaultdict(dict)
     for alias, name in aliases.items():
         key = normal_text(alias)
@@ -46,9 +55,17 @@ def alias_map(aliases: dict[str, str]) -> Column:
 
 
 def canonical_name(token: Column, lookup: Column) -> Column:
-    """Canonical name of one raw token, NULL when the dimension does not know it."""
+    """Canonical name of one raw token, NULL when the dimension does not know it.
+
+    A token it does not know as it stands is looked up without its form of state ("Kingdom of").
+    """
+
+    def found(key: Column) -> Column:
+        return F.try_element_at(F.try_element_at(lookup, F.left(key, F.lit(1))), key)
+
     key = normal_form(token)
-    return F.try_element_at(F.try_element_at(lookup, F.left(key, F.lit(1))), key)
+    forms = "|".join(sorted(map(normal_text, OFFICIAL_FORMS), key=len, reverse=True))
+    return F.coalesce(found(key), found(F.regexp_replace(key, f"^(?:{forms}) ", "")))
 
 
 def clean_list(cell: Column, lookup: Column) -> Column:
@@ -67,7 +84,7 @@ def clean_list(cell: Column, lookup: Column) -> Column:
 
 
 def tokens(cell: Column) -> Column:
-    """Trimmed tokens of a comma-joined cell without empty and ``unknown`` ones."""
-    parts = F.transform(F.split(cell, ","), lambda t: F.trim(t))
+    """Tokens of a comma-joined cell, white space at their ends removed, without empty and ``unknown`` ones."""
+    parts = F.transform(F.split(cell, ","), stripped)
     kept = F.filter(parts, lambda t: (t != "") & (t != UNKNOWN))
     return F.coalesce(kept, F.array().cast("array<string>"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark import keyword_only
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame
@@ -11,18 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkprep import presets
-from sparkprep.functions.columns import col, number, small_frame, value
+from sparkprep.functions.columns import col, number, value
 from sparkprep.functions.text import tokens
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
 from sparkprep.workspace import land
 
-# A category table within both bounds is held by the model and broadcast; a larger one
-# is landed as a table and joined by shuffle.
-BROADCAST_ROWS = 50_000
-CATEGORY_BYTES = 256
-# One category above this share of the fitted rows is hot; there are at most 1/share.
+# One category above this share of the fitted rows is hot; there are at most 1/share of them.
 HOT_SHARE = 0.001
-SPREAD = 4096
+# Parts that the rows of one category are dealt to in a shuffle join.
+SALTS = 8
 
 
 def top_tokens(df: DataFrame, column: str, n: int) -> DataFrame:
@@ -78,18 +73,42 @@ def label_target(df: DataFrame, label: str) -> Column:
 
 def target_statistics(df: DataFrame, column: str, target: Column) -> DataFrame:
     """Rows, mean and population variance of the target per category (NULL included)."""
-    rows = df.select(value(df, column).cast("string").alias("category"), target.alias("y"))
-    return (
-        rows.where("y IS NOT NULL")
-        .groupBy("category")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg("y").alias("mean"),
-            F.var_pop("y").alias("variance"),
-        )
+    found = target_tables(df, [column], target).where("NOT whole")
+    return found.select("category", "n", "mean", "variance")
+
+
+def target_tables(df: DataFrame, columns: list[str], target: Column) -> DataFrame:
+    """:func:`target_statistics` of several columns in one pass, by ``position``.
+
+    The rows marked ``whole`` hold a column's statistics over all categories.
+    """
+    cells = [F.struct(F.lit(i).alias("position"), value(df, c).cast("string").alias("category")) for i, c in enumerate(columns)]
+    rows = df.select(target.alias("y"), F.inline(F.array(*cells))).where("y IS NOT NULL")
+    keys = [F.col("position"), F.col("category")]
+    sets = rows.groupingSets([keys, keys[:1]], *keys)
+    return sets.agg(
+        F.grouping("category").cast("boolean").alias("whole"),
+        F.count(F.lit(1)).alias("n"),
+        F.avg("y").alias("mean"),
+        F.var_pop("y").alias("variance"),
     )
 
 
+def cell_counts(df: DataFrame, lists: list[str], singles: list[str]) -> DataFrame:
+    """(position, token, n) of the tokens of list columns and the values of single ones, in one pass.
+
+    Positions go through ``lists``, then ``singles``.
+    """
+
+    def placed(i: int, parts: Column) -> Column:
+        return F.transform(parts, lambda t: F.struct(F.lit(i).alias("position"), t.alias("token")))
+
+    cells = [placed(i, tokens(col(c))) for i, c in enumerate(lists)]
+    cells += [placed(len(lists) + i, F.array(value(df, c).cast("string"))) for i, c in enumerate(singles)]
+    rows = df.select(F.inline(F.concat(*cells))).where("token IS NOT NULL")
+    return rows.groupBy("position", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
 def shrunk(n, mean, variance, whole_mean: float, whole_variance: float):
     """Empirical-Bayes mean of a category, shrunk towards the global mean.
 
@@ -100,103 +119,74 @@ def shrunk(n, mean, variance, whole_mean: float, whole_variance: float):
     return weight * mean + (1.0 - weight) * whole_mean
 
 
-def learn_target(df: DataFrame, column: str, target: Column) -> tuple[dict, DataFrame]:
-    """Fitted values and the table (category, n, encoding) for one column.
+ENCODING_SCHEMA = "category string, n long, encoding double"
 
-    One pass over the rows gives the category table; the global mean and variance follow
-    from it. A table within the bounds is finished on the driver, a larger one is landed.
-    """
-    spark = df.sparkSession
-    statistics = target_statistics(df, column, target)
-    rows = statistics.select(
-        F.left("category", F.lit(CATEGORY_BYTES)).alias("category"),
-        F.octet_length("category").alias("bytes"),
-        "n",
-        "mean",
-        "variance",
-    ).limit(BROADCAST_ROWS + 1).collect()
-    if len(rows) > BROADCAST_ROWS or any((r["bytes"] or 0) > CATEGORY_BYTES for r in rows):
-        return _learn_large(spark, land(statistics, "categories"))
-    total = sum(r["n"] for r in rows)
-    if not total:
-        state = {"mean": 0.0, "missing": 0.0, "rows": 0, "small": True}
-        return state, small_frame(spark, [], ENCODING_SCHEMA)
-    mean = math.fsum(r["n"] * r["mean"] for r in rows) / total
-    variance = math.fsum(r["n"] * (r["variance"] + (r["mean"] - mean) ** 2) for r in rows) / total
-
-    def encoding(r) -> float:
-        if variance * r["n"] + r["variance"] == 0:
-            return mean
-        return shrunk(r["n"], r["mean"], r["variance"], mean, variance)
-
-    known = sorted((r["category"], r["n"], encoding(r)) for r in rows if r["category"] is not None)
-    missing = [encoding(r) for r in rows if r["category"] is None]
-    state = {
-        "mean": mean, "missing": missing[0] if missing else mean, "rows": total, "small": True,
-    }
-    return state, small_frame(spark, known, ENCODING_SCHEMA)
-
-
-def _learn_large(spark, statistics: DataFrame) -> tuple[dict, DataFrame]:
-    n, mean, variance = F.col("n"), F.col("mean"), F.col("variance")
-    whole = statistics.agg(F.sum(n).alias("n"), (F.sum(n * mean) / F.sum(n)).alias("mean")).first()
-    total, centre = whole["n"], whole["mean"]
-    around = variance + F.pow(mean - F.lit(centre), F.lit(2.0))
-    spread = statistics.agg((F.sum(n * around) / total).alias("v")).first()["v"]
-    guarded = F.when(
-        spread * n + variance != 0, shrunk(n, mean, variance, centre, spread)
-    ).otherwise(F.lit(centre))
-    encoded = statistics.select("category", "n", guarded.alias("encoding"))
-    missing = encoded.where("category IS NULL").first()
-    state = {
-        "mean": centre,
-        "missing": missing["encoding"] if missing else centre,
-        "rows": total,
-        "small": False,
-    }
-    return state, encoded.where("category IS NOT NULL")
 
+def learn_targets(df: DataFrame, columns: list[str], target: Column) -> tuple[dict, dict]:
+    """Fitted values and the table (category, n, encoding) of each column, from one pass.
 
-ENCODING_SCHEMA = "category string, n long, encoding double"
+    The statistics are landed; the driver gets two rows for each column.
+    """
+    landed = land(target_tables(df, columns, target), "categories")
+    few = landed.where("whole OR category IS NULL").collect()
+    states, tables = {}, {}
+    for i, c in enumerate(columns):
+        own = {r["whole"]: r for r in few if r["position"] == i}
+        whole, missing = own.get(True), own.get(False)
+        mean, variance = (whole["mean"], whole["variance"]) if whole else (0.0, 0.0)
+
+        def encoding(r, mean=mean, variance=variance) -> float:
+            if variance * r["n"] + r["variance"] == 0:
+                return mean
+            return shrunk(r["n"], r["mean"], r["variance"], mean, variance)
+
+        states[c] = {
+            "mean": mean,
+            "missing": encoding(missing) if missing else mean,
+            "rows": whole["n"] if whole else 0,
+        }
+        n, own_mean, own_variance = F.col("n"), F.col("mean"), F.col("variance")
+        guarded = F.when(
+            F.lit(variance) * n + own_variance != 0, shrunk(n, own_mean, own_variance, F.lit(mean), F.lit(variance))
+        ).otherwise(F.lit(mean))
+        known = landed.where((F.col("position") == i) & ~F.col("whole") & F.col("category").isNotNull())
+        tables[c] = known.select("category", "n", guarded.alias("encoding"))
+    return states, tables
 
 
 def attach_encoding(df: DataFrame, column: str, state: dict, table: DataFrame) -> DataFrame:
     """Replace ``column`` by its encoding; unseen categories take the global mean.
 
-    A small table is broadcast. Otherwise the few hot categories, whose number is bounded
-    by their share, are broadcast and the rest joined by shuffle; rows already answered
-    are spread over keys that match nothing, so no task receives a hot category.
+    Categories are joined by a 128-bit hash. The hot ones, whose number and so whose bytes are bounded
+    by their share, are broadcast. Spark joins the others by shuffle or, where it knows them to be small,
+    by broadcast. Rows already answered are spread over keys that match nothing, and the rows of any other key,
+    known or not, over several parts, so a category that is hot in ``df`` alone does not meet in one task.
     """
-    keyed = df.withColumn("__key", value(df, column).cast("string"))
-    if state["small"]:
-        known = table.select(F.col("category").alias("__key"), F.col("encoding").alias("__hot"))
-        joined = keyed.join(F.broadcast(known), "__key", "left")
-        found = F.col("__hot")
-    else:
-        bound = F.lit(state["rows"] * HOT_SHARE)
-        hot = table.where(F.col("n") > bound).select(
-            F.col("category").alias("__key"), F.col("encoding").alias("__hot")
-        )
-        cold = table.where(F.col("n") <= bound).select(
-            F.col("category").alias("__cold_key"), F.col("encoding").alias("__cold")
-        )
-        spread = F.concat(
-            F.lit("\0"),
-            F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(SPREAD)).cast("string"),
-        )
-        joined = (
-            keyed.join(F.broadcast(hot), "__key", "left")
-            .withColumn(
-                "__cold_key",
-                F.when(F.col("__hot").isNull() & F.col("__key").isNotNull(), F.col("__key"))
-                .otherwise(spread),
-            )
-            .join(cold, "__cold_key", "left")
-        )
-        found = F.coalesce("__hot", "__cold")
+
+    def hashed(c: Column) -> Column:
+        return F.unhex(F.md5(c))
+
+    bound = F.lit(state["rows"] * HOT_SHARE)
+    hot = table.where(F.col("n") > bound).select(
+        hashed(F.col("category")).alias("__key"), F.col("encoding").alias("__hot")
+    )
+    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
+    cold = table.where(F.col("n") <= bound).select(
+        hashed(F.col("category")).alias("__cold_key"), F.col("encoding").alias("__cold"), salts.alias("__salt")
+    )
+    text = value(df, column).cast("string")
+    row = F.xxhash64(*[col(c) for c in df.columns])
+    open_key = F.col("__hot").isNull() & F.col("__key").isNotNull()
+    joined = (
+        df.withColumn("__key", hashed(text))
+        .join(F.broadcast(hot), "__key", "left")
+        .withColumn("__cold_key", F.when(open_key, F.col("__key")).otherwise(F.unhex(F.hex(row))))
+        .withColumn("__salt", F.pmod(row, F.lit(SALTS)).cast("int"))
+        .join(cold, ["__cold_key", "__salt"], "left")
+    )
     encoding = (
         F.when(F.col("__key").isNull(), F.lit(state["missing"]))
-        .otherwise(F.coalesce(found, F.lit(state["mean"])))
+        .otherwise(F.coalesce("__hot", "__cold", F.lit(state["mean"])))
         .alias(column)
     )
     return joined.select(*[encoding if c == column else col(c) for c in df.columns])
@@ -241,24 +231,28 @@ class FeatureEncoder(FittingStage, _EncoderParams):
         label = self.value("label")
         state: dict = {"multilabel": {}, "onehot": {}, "target": {}}
         tables: dict[str, DataFrame] = {}
-        for c in self.value("multilabel_cols"):
-            if c in dataset.columns:
-                found = top_tokens(dataset, c, self.value("top_n_countries")).collect()
-                state["multilabel"][c] = [r["token"] for r in found]
-        for c in self.value("onehot_cols"):
-            if c in dataset.columns:
-                limit = self.value("max_categories")
-                found = categories(dataset, c).limit(limit + 1).collect()
-                if len(found) > limit:
-                    raise ValueError(f"{c} has more than {limit} categories for one-hot")
-                state["onehot"][c] = [r["category"] for r in found]
+        lists = [c for c in self.value("multilabel_cols") if c in dataset.columns]
+        singles = [c for c in self.value("onehot_cols") if c in dataset.columns]
+        if lists or singles:
+            counted = land(cell_counts(dataset, lists, singles), "tokens")
+        for i, c in enumerate(lists):
+            own = counted.where(F.col("position") == i).orderBy(F.desc("n"), "token")
+            found = own.limit(self.value("top_n_countries")).collect()
+            state["multilabel"][c] = [r["token"] for r in found]
+        for i, c in enumerate(singles):
+            limit = self.value("max_categories")
+            own = counted.where(F.col("position") == len(lists) + i)
+            kind = dataset.schema[c].dataType
+            found = own.select(F.col("token").cast(kind).alias("category")).limit(limit + 1).collect()
+            if len(found) > limit:
+                raise ValueError(f"{c} has more than {limit} categories for one-hot")
+            state["onehot"][c] = sorted(r["category"] for r in found)
         by_label = [c for c in self.value("target_cols") if c in dataset.columns]
         if by_label:
             if label not in dataset.columns:
                 raise ValueError(f"target encoding of {by_label} needs the label column {label}")
             target = label_target(dataset, label)
-            for c in by_label:
-                state["target"][c], tables[c] = learn_target(dataset, c, target)
+            state["target"], tables = learn_targets(dataset, by_label, target)
         model = self.fitted_model(FeatureEncoderModel, state)
         model.tables = tables
         return model
@@ -275,12 +269,8 @@ class _EncoderReader(DefaultParamsReader):
     def load(self, path: str):
         model = super().load(path)
         spark = self.sparkSession
-        for i, (c, state) in enumerate(model.fitted["target"].items()):
-            table = spark.read.schema(ENCODING_SCHEMA).parquet(f"{path}/target/{i}")
-            if state["small"]:
-                rows = [tuple(r) for r in table.orderBy("category").collect()]
-                table = small_frame(spark, rows, ENCODING_SCHEMA)
-            model.tables[c] = table
+        for i, c in enumerate(model.fitted["target"]):
+            model.tables[c] = spark.read.schema(ENCODING_SCHEMA).parquet(f"{path}/target/{i}")
         return model
 
 

@@ -1,13 +1,11 @@
-"""Exact quantiles of many columns, whatever their number of distinct values.
-
-Up to ``DIRECT_VALUES`` values in all, the built-in ``percentile`` answers every column in
-one aggregate; its state is a map of the distinct values, small at that size. Above it the
-wanted order statistics are searched: ``percentile_approx`` proposes values around each
-of them, one pass counts the rows between the proposals, and the gap a rank falls into is
-searched again until few enough rows lie in it to sort. Each round reads the columns
-twice and shuffles one sketch per task and a few counts per column; the counts, not the
-sketch, decide, so the result is exact. A gap shrinks more than a thousandfold per round,
-and a value that fills a large share of the column is found at once.
+"""Exact quantiles of many columns and groups, at every size by the same search.
+
+A cell is a column, or a column within a group. ``percentile_approx`` proposes values of the cell
+around each wanted rank, one pass counts the rows at and between the proposals, and the gap a
+rank falls into is searched again until few enough rows lie in it to sort. All cells share
+each round, which reads the columns twice and shuffles one sketch per task and gap and a few
+counts; the counts, not the sketch, decide, so the result is exact. A gap shrinks about a
+thousandfold per round, and a value that fills a large share of the cell is found at once.
 """
 
 from __future__ import annotations
@@ -15,124 +13,126 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sparkprep.functions.columns import col, number, small_frame
+from sparkprep.functions.columns import col, number
 
-DIRECT_VALUES = 2_000_000
+#: A gap with at most so many rows is sorted in one buffer; it bounds that buffer.
 INSIDE_ROWS = 20_000
 GRID = 2_000
 ACCURACY = 10_000
 
-# A gap is (column, low, high): the rows strictly between two values.
-Gap = tuple[str, float, float]
 
+class Gap(NamedTuple):
+    """Rows of a cell strictly between two values; None is no bound."""
 
-def _within(c: Column, gap: Gap) -> Column:
-    _, low, high = gap
-    test = c.isNotNull()
-    if low != -math.inf:
-        test = test & (c > F.lit(low))
-    if high != math.inf:
-        test = test & (c < F.lit(high))
-    return test
+    cell: int
+    low: float | None
+    high: float | None
 
 
-def _proposals(df: DataFrame, values: dict[str, Column], open_gaps: dict) -> dict[Gap, list[float]]:
-    """Per gap, values of the column that enclose the wanted ranks closely."""
+class Open(NamedTuple):
+    rows: int
+    ranks: dict[int, int]  #: rank within the gap -> rank in the cell
+
+
+def _gap_frame(spark: SparkSession, gaps: Sequence[Gap], extra: Sequence[tuple], fields: list) -> DataFrame:
+    """One row per open gap; their number is bounded by the wanted ranks."""
+    kinds = [("gap", pa.int32()), ("cell", pa.int64()), ("low", pa.float64()), ("high", pa.float64()), *fields]
+    columns = zip(*[(i, *g, *e) for i, (g, e) in enumerate(zip(gaps, extra))])
+    return spark.createDataFrame(pa.table({n: pa.array(list(v), t) for (n, t), v in zip(kinds, columns)}))
+
+
+def _inside(cells: DataFrame, frame: DataFrame) -> DataFrame:
+    """The rows of each open gap."""
+    above = F.col("low").isNull() | (F.col("v") > F.col("low"))
+    below = F.col("high").isNull() | (F.col("v") < F.col("high"))
+    return cells.join(F.broadcast(frame), "cell").where(above & below)
+
+
+def _sorted_answers(cells: DataFrame, gaps: dict[Gap, Open]) -> dict[Gap, dict[int, float]]:
+    """Order statistics of gaps with few rows, by sorting those rows."""
+    ranks = [sorted(o.ranks) for o in gaps.values()]
+    wanted = ("ranks", pa.list_(pa.int32()))
+    frame = _gap_frame(cells.sparkSession, list(gaps), [(r,) for r in ranks], [wanted])
+    ordered = _inside(cells, frame).groupBy("gap", "ranks").agg(F.sort_array(F.collect_list("v")).alias("vs"))
+    rows = ordered.select("gap", F.transform("ranks", lambda r: F.get(F.col("vs"), r)).alias("found")).collect()
+    names = list(gaps)
+    return {names[r["gap"]]: dict(zip(ranks[r["gap"]], r["found"])) for r in rows}
+
+
+def _proposals(cells: DataFrame, gaps: dict[Gap, Open]) -> dict[Gap, list[float]]:
+    """Per gap, values of the cell that enclose the wanted ranks closely."""
+    places = []
+    for o in gaps.values():
+        at = {r / max(o.rows - 1, 1) * GRID for r in o.ranks}
+        near = {max(0, math.floor(p) - 1) for p in at} | {min(GRID, math.ceil(p) + 1) for p in at}
+        places.append((sorted(near),))
+    wanted = ("places", pa.list_(pa.int32()))
+    frame = _gap_frame(cells.sparkSession, list(gaps), places, [wanted])
     grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
-    row = df.agg(
-        *[
-            F.percentile_approx(F.when(_within(values[g[0]], g), values[g[0]]), grid, ACCURACY).alias(
-                f"g{i}"
-            )
-            for i, g in enumerate(open_gaps)
-        ]
-    ).first()
-    chosen = {}
-    for i, (gap, (rows, ranks)) in enumerate(open_gaps.items()):
-        sketch = row[f"g{i}"]
-        picks = set()
-        for r in ranks:
-            place = r / max(rows - 1, 1) * GRID
-            picks.add(sketch[max(0, math.floor(place) - 1)])
-            picks.add(sketch[min(GRID, math.ceil(place) + 1)])
-        chosen[gap] = sorted(picks)
-    return chosen
-
-
-def _counts(df: DataFrame, values: dict[str, Column], proposals: dict[Gap, list[float]]) -> dict:
+    sketched = _inside(cells, frame).groupBy("gap", "places").agg(
+        F.percentile_approx("v", grid, ACCURACY).alias("sketch")
+    )
+    picked = F.transform("places", lambda p: F.get(F.col("sketch"), p))
+    names = list(gaps)
+    return {names[r["gap"]]: sorted(set(r["picked"])) for r in sketched.select("gap", picked.alias("picked")).collect()}
+
+
+def _counts(cells: DataFrame, proposals: dict[Gap, list[float]]) -> dict[Gap, dict[int, int]]:
     """Rows per gap at each proposal (odd places) and between them (even places)."""
     gaps = list(proposals)
     widest = max(len(p) for p in proposals.values())
-    exploded = df.select(
-        F.posexplode(
-            F.array(*[F.when(_within(values[g[0]], g), values[g[0]]) for g in gaps])
-        ).alias("gap", "v")
-    ).where("v IS NOT NULL")
+    bounds = [tuple(p) + (None,) * (widest - len(p)) for p in proposals.values()]
+    fields = [(f"b{k}", pa.float64()) for k in range(widest)]
+    frame = _gap_frame(cells.sparkSession, gaps, bounds, fields)
     place = F.lit(0)
     for k in range(widest):
-        bounds = F.array(
-            *[F.lit(float(p[k]) if k < len(p) else math.inf) for p in proposals.values()]
-        )
-        bound = F.get(bounds, F.col("gap"))
-        place = place + (F.col("v") >= bound).cast("int") + (F.col("v") > bound).cast("int")
-    rows = exploded.groupBy("gap", place.alias("place")).agg(F.count(F.lit(1)).alias("n")).collect()
+        at = F.coalesce((F.col("v") >= F.col(f"b{k}")).cast("int"), F.lit(0))
+        past = F.coalesce((F.col("v") > F.col(f"b{k}")).cast("int"), F.lit(0))
+        place = place + at + past
+    rows = _inside(cells, frame).groupBy("gap", place.alias("place")).agg(F.count(F.lit(1)).alias("n"))
     counts: dict[Gap, dict[int, int]] = defaultdict(dict)
-    for r in rows:
+    for r in rows.collect():
         counts[gaps[r["gap"]]][r["place"]] = r["n"]
     return counts
 
 
-def _sorted_answers(df: DataFrame, values: dict[str, Column], gaps: dict) -> dict:
-    """Order statistics of gaps with few rows, by sorting those rows."""
-    answers = []
-    for i, (gap, (_, ranks)) in enumerate(gaps.items()):
-        c = values[gap[0]]
-        ordered = F.sort_array(F.collect_list(F.when(_within(c, gap), c)))
-        answers.append(F.array(*[F.get(ordered, F.lit(r)) for r in sorted(ranks)]).alias(f"g{i}"))
-    row = df.agg(*answers).first()
-    return {
-        gap: dict(zip(sorted(ranks), row[f"g{i}"])) for i, (gap, (_, ranks)) in enumerate(gaps.items())
-    }
-
-
 def _order_statistics(
-    df: DataFrame, values: dict[str, Column], wanted: dict[str, set[int]], counts: dict[str, int]
-) -> dict[str, dict[int, float]]:
-    found: dict[str, dict[int, float]] = defaultdict(dict)
-    # gap -> (rows in it, rank within the gap -> rank in the column)
-    gaps: dict[Gap, tuple[int, dict[int, int]]] = {
-        (c, -math.inf, math.inf): (counts[c], {r: r for r in ranks}) for c, ranks in wanted.items()
-    }
+    cells: DataFrame, wanted: dict[int, set[int]], counts: dict[int, int]
+) -> dict[int, dict[int, float]]:
+    found: dict[int, dict[int, float]] = defaultdict(dict)
+    gaps = {Gap(c, None, None): Open(counts[c], {r: r for r in ranks}) for c, ranks in wanted.items()}
     while gaps:
-        few = {g: v for g, v in gaps.items() if v[0] <= INSIDE_ROWS}
-        many = {g: v for g, v in gaps.items() if v[0] > INSIDE_ROWS}
+        few = {g: o for g, o in gaps.items() if o.rows <= INSIDE_ROWS}
+        many = {g: o for g, o in gaps.items() if o.rows > INSIDE_ROWS}
         if few:
-            for gap, answers in _sorted_answers(df, values, few).items():
+            for gap, answers in _sorted_answers(cells, few).items():
                 for rank, answer in answers.items():
-                    found[gap[0]][few[gap][1][rank]] = answer
+                    found[gap.cell][few[gap].ranks[rank]] = answer
         gaps = {}
         if not many:
             break
-        proposals = _proposals(df, values, many)
-        placed = _counts(df, values, proposals)
-        for gap, (_, ranks) in many.items():
-            column, low, high = gap
-            edges = [low, *proposals[gap], high]
+        proposals = _proposals(cells, many)
+        placed = _counts(cells, proposals)
+        for gap, o in many.items():
+            edges = [gap.low, *proposals[gap], gap.high]
             passed = 0
             for place in sorted(placed[gap]):
                 n = placed[gap][place]
-                for rank, original in ranks.items():
+                for rank, original in o.ranks.items():
                     if not passed <= rank < passed + n:
                         continue
                     if place % 2:
-                        found[column][original] = edges[(place + 1) // 2]
+                        found[gap.cell][original] = edges[(place + 1) // 2]
                     else:
-                        inner = (column, edges[place // 2], edges[place // 2 + 1])
-                        gaps.setdefault(inner, (n, {}))[1][rank - passed] = original
+                        inner = Gap(gap.cell, edges[place // 2], edges[place // 2 + 1])
+                        gaps.setdefault(inner, Open(n, {})).ranks[rank - passed] = original
                 passed += n
     return found
 
@@ -144,42 +144,45 @@ def _between(position: float, low: float, high: float) -> float:
     return (floor + 1 - position) * low + (position - floor) * high
 
 
+def _quantiles_of_cells(
+    cells: DataFrame, counts: dict[int, int], probabilities: Sequence[float]
+) -> dict[int, list[float]]:
+    positions = {c: [p * (n - 1) for p in probabilities] for c, n in counts.items()}
+    ranks = {c: {r for x in xs for r in (math.floor(x), math.ceil(x))} for c, xs in positions.items()}
+    found = _order_statistics(cells, ranks, counts)
+    return {
+        c: [_between(x, found[c][math.floor(x)], found[c][math.ceil(x)]) for x in xs]
+        for c, xs in positions.items()
+    }
+
+
+def _values(df: DataFrame, columns: Sequence[str]) -> Column:
+    """The columns as doubles; adding 0 makes the two zeros one."""
+    return F.array(*[number(df, c) + F.lit(0.0) for c in columns])
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
     counts: dict[str, int] | None = None,
-    direct_values: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles per column over its non-null values.
 
     ``counts`` passes the non-null counts when the caller has them already.
     """
+    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
     if not columns:
-        return {}
-    limit = DIRECT_VALUES if direct_values is None else direct_values
-    values = {c: number(df, c) for c in columns}
+        return result
     if counts is None:
-        row = df.agg(*[F.count(v).alias(f"c{i}") for i, v in enumerate(values.values())]).first()
+        row = df.agg(*[F.count(number(df, c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
         counts = {c: row[f"c{i}"] for i, c in enumerate(columns)}
     filled = [c for c in columns if counts[c]]
-    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
-    if filled and sum(counts[c] for c in filled) <= limit:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = df.agg(
-            *[F.percentile(values[c], wanted).alias(f"q{i}") for i, c in enumerate(filled)]
-        ).first()
-        result.update({c: list(row[f"q{i}"]) for i, c in enumerate(filled)})
-    elif filled:
-        positions = {c: [p * (counts[c] - 1) for p in probabilities] for c in filled}
-        ranks = {
-            c: {r for x in positions[c] for r in (math.floor(x), math.ceil(x))} for c in filled
-        }
-        found = _order_statistics(df, values, ranks, counts)
-        for c in filled:
-            result[c] = [
-                _between(x, found[c][math.floor(x)], found[c][math.ceil(x)]) for x in positions[c]
-            ]
+    if filled:
+        cells = df.select(F.posexplode(_values(df, filled)).alias("cell", "v")).where("v IS NOT NULL")
+        cells = cells.select(F.col("cell").cast("long").alias("cell"), "v")
+        found = _quantiles_of_cells(cells, {i: counts[c] for i, c in enumerate(filled)}, probabilities)
+        result.update({filled[i]: q for i, q in found.items()})
     return result
 
 
@@ -188,45 +191,47 @@ def exact_quantiles_by(
     by: str,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    direct_values: int | None = None,
+    max_groups: int = 100_000,
 ) -> DataFrame:
     """Quantiles per group, one row per (group, column): ``by``, ``column``, ``quantiles``.
 
-    Groups of ordinary size share one grouped aggregate. A group with more values than
-    ``direct_values`` is too large for one buffer and goes through :func:`exact_quantiles`.
+    All groups share the rounds of one search, whatever their sizes. The driver holds a few numbers for each
+    group, so more than ``max_groups`` are an error.
     """
-    limit = DIRECT_VALUES if direct_values is None else direct_values
-    group = col(by)
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    large = [r[0] for r in sizes.where(F.col("n") * len(columns) > limit).collect()]
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-    ordinary = df
-    for key in large:
-        ordinary = ordinary.where(~group.eqNullSafe(F.lit(key)))
-    wide = ordinary.groupBy(group.alias("__group")).agg(
-        *[F.percentile(number(df, c), wanted).alias(f"q{i}") for i, c in enumerate(columns)]
+    spark, kind = df.sparkSession, df.schema[by].dataType
+    sizes = df.groupBy(col(by).alias("__group")).agg(
+        *[F.count(number(df, c)).alias(f"c{i}") for i, c in enumerate(columns)]
     )
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(f"q{i}").alias("quantiles"))
-            for i, c in enumerate(columns)
-        ]
+    rows = sizes.limit(max_groups + 1).collect()
+    if len(rows) > max_groups:
+        raise ValueError(f"{by} has more than {max_groups} groups")
+    width = len(columns)
+    numbered = spark.createDataFrame(
+        [(r["__group"], i) for i, r in enumerate(rows)],
+        T.StructType([T.StructField("__key", kind), T.StructField("__number", T.LongType())]),
     )
-    result = wide.select(F.col("__group").alias(by), F.inline(pairs))
-    for key in large:
-        part = df.where(group.eqNullSafe(F.lit(key)))
-        found = exact_quantiles(part, columns, probabilities, direct_values=limit)
-        names = [f"q{i}" for i in range(len(probabilities))]
-        rows = small_frame(
-            df.sparkSession,
-            [(c, *q) for c, q in found.items()],
-            "column string, " + ", ".join(f"{n} double" for n in names),
-        )
-        result = result.unionByName(
-            rows.select(
-                F.lit(key).cast(df.schema[by].dataType).alias(by),
-                "column",
-                F.array(*names).alias("quantiles"),
-            )
+    counts = {
+        i * width + j: r[f"c{j}"] for i, r in enumerate(rows) for j in range(width) if r[f"c{j}"]
+    }
+    found: dict[int, list[float]] = {}
+    if counts:
+        keyed = df.select(col(by).alias("__group"), F.posexplode(_values(df, columns)).alias("__place", "v"))
+        # At most ``max_groups`` rows.
+        keyed = keyed.where("v IS NOT NULL").join(
+            F.broadcast(numbered), F.col("__group").eqNullSafe(F.col("__key"))
         )
-    return result
+        cells = keyed.select((F.col("__number") * width + F.col("__place")).alias("cell"), "v")
+        found = _quantiles_of_cells(cells, counts, probabilities)
+    out = [
+        (r["__group"], c, found.get(i * width + j, [None] * len(probabilities)))
+        for i, r in enumerate(rows)
+        for j, c in enumerate(columns)
+    ]
+    schema = T.StructType(
+        [
+            T.StructField(by, kind),
+            T.StructField("column", T.StringType()),
+            T.StructField("quantiles", T.ArrayType(T.DoubleType())),
+        ]
+    )
+    return spark.createDataFrame(out, schema)

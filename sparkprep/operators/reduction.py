@@ -15,8 +15,6 @@ from sparkprep.functions.columns import col, number, numeric_columns, require, s
 from sparkprep.functions.statistics import column_statistics
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
 
-# The covariance matrix is columns x columns on the driver.
-MAX_COLUMNS = 5_000
 
 
 def select_components(
@@ -47,6 +45,7 @@ def centred_vectors(df: DataFrame, columns: list[str], means: list[float], out:
 class _ReducerParams:
     variance_threshold = parameter("variance_threshold", "cumulative share of variance to keep")
     n_components = parameter("n_components", "fixed number of components instead")
+    max_columns = parameter("max_columns", "columns of one covariance matrix allowed before it is an error")
 
 
 class FeatureReducer(FittingStage, _ReducerParams):
@@ -56,6 +55,7 @@ class FeatureReducer(FittingStage, _ReducerParams):
         *,
         variance_threshold=0.95,
         n_components=None,
+        max_columns=5_000,
         label=presets.LABEL,
         split_col=presets.SPLIT,
         preserve_cols=tuple(presets.PRESERVED),
@@ -64,6 +64,7 @@ class FeatureReducer(FittingStage, _ReducerParams):
         self._setDefault(
             variance_threshold=0.95,
             n_components=None,
+            max_columns=5_000,
             label=presets.LABEL,
             split_col=presets.SPLIT,
             preserve_cols=list(presets.PRESERVED),
@@ -74,8 +75,8 @@ class FeatureReducer(FittingStage, _ReducerParams):
         columns = numeric_columns(dataset, self.metadata())
         if not columns:
             raise ValueError("no numeric columns for principal components")
-        if len(columns) > MAX_COLUMNS:
-            raise ValueError(f"{len(columns)} columns exceed the {MAX_COLUMNS} of one covariance")
+        if len(columns) > self.value("max_columns"):
+            raise ValueError(f"{len(columns)} columns exceed the {self.value('max_columns')} of one covariance")
         found = column_statistics(dataset, columns, {"rows": lambda v: F.count(F.lit(1)), "mean": F.avg})
         rows = found[columns[0]]["rows"] or 0
         if rows < 2:

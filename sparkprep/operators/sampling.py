@@ -1,7 +1,7 @@
 """Exact random selection: a fixed number of rows per class, without sorting the table.
 
-Rows are ordered by a keyed hash, which depends on the row and the seed but not on
-partitioning. The hash that ends each part is found by counting hash prefixes (4096 per
+Rows are ordered by the hash of seed and key, rows that share a key by the hash of all their
+columns; the order does not depend on partitioning, and a tie is settled within its key. The hash that ends each part is found by counting hash prefixes (4096 per
 class and round, merged within each task) and narrowing the prefix the cut falls into, so
 choosing rows is a map-only comparison. The same comparison in any SQL engine picks the
 same rows.
@@ -21,7 +21,6 @@ from sparkprep.functions.columns import col, require, small_frame
 PREFIX_DIGITS = 3
 HASH_DIGITS = 32
 SLOT_ROWS = 1_000
-MAX_CLASSES = 100_000
 CHUNK_ROWS = 1_000_000
 
 
@@ -47,19 +46,22 @@ class Cut:
         return self.taken == self.ties
 
 
-def class_counts(hashed: DataFrame) -> dict:
+def class_counts(hashed: DataFrame, max_classes: int = 100_000) -> dict:
+    """Rows per class. The driver holds a few numbers for each, so more than ``max_classes`` are an error."""
     rows = (
-        hashed.groupBy("__class").agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+        hashed.groupBy("__class").agg(F.count(F.lit(1)).alias("n")).limit(max_classes + 1).collect()
     )
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"the label has more than {MAX_CLASSES} classes")
+    if len(rows) > max_classes:
+        raise ValueError(f"the label has more than {max_classes} classes")
     return {r["__class"]: r["n"] for r in rows}
 
 
-def find_cuts(hashed: DataFrame, positions: Mapping[object, Sequence[int]]) -> dict:
+def find_cuts(
+    hashed: DataFrame, positions: Mapping[object, Sequence[int]], whole_digits: int = HASH_DIGITS
+) -> dict:
     """For each class and number of leading rows, the hash that ends them.
 
-    ``hashed`` has the columns ``__class`` and ``__hash``. A round counts the next digits
+    ``hashed`` has the columns ``__class`` and ``__hash`` of ``whole_digits`` digits. A round counts the next digits
     within the slots that hold a cut; a slot with few rows is resolved to whole hashes.
     """
     # (class, position) -> (hash prefix the cut lies in, rows of the class before it)
@@ -68,17 +70,17 @@ def find_cuts(hashed: DataFrame, positions: Mapping[object, Sequence[int]]) -> d
     found: dict = {}
     digits = 0
     while wide:
-        upto = min(digits + PREFIX_DIGITS, HASH_DIGITS)
+        upto = min(digits + PREFIX_DIGITS, whole_digits)
         following: dict = {}
         for cut, (slot, before, n) in _refine(hashed, wide, digits, upto).items():
-            if upto == HASH_DIGITS:
+            if upto == whole_digits:
                 found[cut] = Cut(slot, cut[1] - before, n)
             elif n <= SLOT_ROWS:
                 narrow[cut] = (slot, before)
             else:
                 following[cut] = (slot, before)
         if narrow:
-            whole = _refine(hashed, narrow, upto, HASH_DIGITS)
+            whole = _refine(hashed, narrow, upto, whole_digits)
             found.update({c: Cut(h, c[1] - before, n) for c, (h, before, n) in whole.items()})
             narrow = {}
         wide, digits = following, upto
@@ -122,10 +124,18 @@ def _cut_frame(hashed: DataFrame, cuts: Mapping) -> DataFrame:
 
 
 def with_hash(df: DataFrame, key: Sequence[str] | None, seed: int, label: str | None) -> DataFrame:
+    """``df`` with ``__class`` and ``__hash``: 32 digits of the key, then 32 of the whole row.
+
+    Without a key the row's hash alone is taken. Columns of the whole row go by name, so their order
+    in the table does not matter.
+    """
     names = list(key) if key else df.columns
     require(df, [*names, *([label] if label else [])])
     stratum = col(label) if label else F.lit("all")
-    return df.withColumns({"__class": stratum, "__hash": row_hash(names, seed)})
+    order = row_hash(names, seed)
+    if key:
+        order = F.concat(order, row_hash(sorted(df.columns), seed))
+    return df.withColumns({"__class": stratum, "__hash": order})
 
 
 def assign_parts(
@@ -144,10 +154,7 @@ def assign_parts(
     """
     positions = {k: _cumulative(q)[:-1] for k, q in quotas.items()}
     hashed = with_hash(df, key, seed, label)
-    cuts = find_cuts(hashed.select("__class", "__hash"), positions)
-    if key and not all(c.clean for c in cuts.values()):
-        hashed = with_hash(df, None, seed, label)
-        cuts = find_cuts(hashed.select("__class", "__hash"), positions)
+    cuts = find_cuts(hashed.select("__class", "__hash"), positions, HASH_DIGITS * (2 if key else 1))
 
     # One row per class with the last hash of each part; the classes are bounded.
     rows = []

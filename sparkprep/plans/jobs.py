@@ -15,9 +15,11 @@ from sparkprep.functions.columns import col, require, value
 from sparkprep.functions.countries import country_aliases
 from sparkprep.functions.text import alias_map, clean_list
 from sparkprep.operators.missing import MissingValueModel, MissingValueTransformer
+from sparkprep.operators.outliers import OutlierRemovalTransformer
 from sparkprep.operators.profile import class_distribution
 from sparkprep.operators.sampling import exact_sample
 from sparkprep.operators.splitting import split_data, verify_stratification
+from sparkprep.plans.preparation import PreprocessingPipeline
 from sparkprep.sources.reports import write_report
 from sparkprep.sources.splits import save_split_metadata, save_splits
 from sparkprep.sources.tables import header_names, missing_names, read_delimited, write_table
@@ -46,7 +48,7 @@ def acquire(
     sample_size: int | None = None,
     key: Sequence[str] | None = ("code",),
     seed: int = 42,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     spread: int | None = None,
 ) -> Acquired:
     """Read a tab-separated dump, keep known columns and valid labels, sample exactly.
@@ -158,6 +160,15 @@ def preprocess(
     return drop_wide_text(filled.drop(*redundant), wide_text, wide_text_bound), model
 
 
+def read_table(
+    spark: SparkSession, path: str, numeric: Sequence[str] = tuple(presets.NUMERIC_COLUMNS)
+) -> DataFrame:
+    """A table written by an earlier stage, as CSV or Parquet."""
+    if path.endswith((".csv", ".csv.gz")):
+        return read_delimited(spark, path, sep=",", numeric=numeric)
+    return spark.read.parquet(path)
+
+
 def preprocess_dataset(
     spark: SparkSession,
     input_path: str,
@@ -168,10 +179,7 @@ def preprocess_dataset(
     **settings,
 ) -> tuple[DataFrame, MissingValueModel]:
     """Read a table written by an earlier stage, :func:`preprocess` it, write it and a report."""
-    if input_path.endswith((".csv", ".csv.gz")):
-        df = read_delimited(spark, input_path, sep=",", numeric=numeric)
-    else:
-        df = spark.read.parquet(input_path)
+    df = read_table(spark, input_path, numeric)
     done, model = preprocess(df, **settings)
     write_table(done, output_path, format)
     if report_path:
@@ -207,3 +215,42 @@ def split_dataset(
     if metadata_path:
         save_split_metadata(saved, config, metadata_path, label)
     return verify_stratification(saved, label)
+
+
+def remove_outliers(
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    report_path: str | None = None,
+    numeric: Sequence[str] = tuple(presets.NUMERIC_COLUMNS),
+    format: str = "parquet",
+    **settings,
+) -> DataFrame:
+    """Read a table, remove outliers, write it and, one folder for each part, the report."""
+    df = read_table(spark, input_path, numeric)
+    model = OutlierRemovalTransformer(**settings).fit(df)
+    write_table(model.transform(df), output_path, format)
+    if report_path:
+        for name, part in model.outlier_report(df).items():
+            write_report(part, f"{report_path}/{name}")
+    return spark.read.parquet(output_path) if format == "parquet" else read_table(spark, output_path, numeric)
+
+
+def prepare_dataset(
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    chain_path: str | None = None,
+    numeric: Sequence[str] = tuple(presets.NUMERIC_COLUMNS),
+    **settings,
+) -> PreprocessingPipeline:
+    """From a split table to the model-ready one: read, fit on train, transform, write table and chain.
+
+    ``settings`` go to :class:`PreprocessingPipeline`.
+    """
+    df = read_table(spark, input_path, numeric)
+    chain = PreprocessingPipeline(**settings).fit(df)
+    write_table(chain.transform(df), output_path)
+    if chain_path:
+        chain.save(chain_path)
+    return chain

@@ -15,6 +15,7 @@ from sparkprep.plans.registry import (
     registered,
     rounded,
     split_ctes,
+    split_labelled,
     tagged,
     with_pf,
 )
@@ -163,7 +164,24 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     "split_rows", with_pf("SELECT code, grade, split_group FROM sp", LAB, split_ctes())
 )
 def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tagged(spark, sf_dir).select("code", "grade", "split_group")
+    return split_labelled(spark, sf_dir).select("code", "grade", "split_group")
+
+
+@registered(
+    "split_repeated_keys",
+    "WITH ord AS (SELECT o_custkey, o_orderkey, o_orderpriority FROM orders),"
+    + split_ctes(
+        "ord",
+        "o_orderpriority",
+        "o_custkey",
+        tie="md5('42|' || o_custkey || '|' || o_orderkey || '|' || o_orderpriority)",
+    )
+    + " SELECT * FROM sp",
+)
+def split_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders split by customer: rows that share a key are told apart within it."""
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    return splitting.split_data(rows, "o_orderpriority", key=["o_custkey"])
 
 
 @registered(

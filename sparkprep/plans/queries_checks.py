@@ -10,6 +10,7 @@ from sparkprep.operators import forest, outliers, validation
 from sparkprep.operators.encoding import FeatureEncoder
 from sparkprep.operators.reduction import FeatureReducer
 from sparkprep.operators.scaling import FeatureScaler, FeatureScalerModel
+from sparkprep.plans import jobs
 from sparkprep.plans.preparation import PreprocessingPipeline
 from sparkprep.plans.product_features import DERIVED, KEY, LABEL, RANGES
 from sparkprep.plans.queries_transform import (
@@ -319,21 +320,23 @@ FIXED_SCALED = [
 ]
 
 
+CHAIN = {
+    "target_col": LABEL,
+    "preserve_cols": [KEY],
+    "feature_engineering_kwargs": ENGINEER,
+    "valid_ranges": RANGES,
+    "multilabel_cols": ["countries"],
+    "onehot_cols": ["seg"],
+    "target_encoded_cols": ["nation"],
+}
+
+
 def prepared(include_pca: bool, **settings) -> PreprocessingPipeline:
-    roles = {
-        "target_col": LABEL,
-        "preserve_cols": [KEY],
-        "feature_engineering_kwargs": ENGINEER,
-        "valid_ranges": RANGES,
-        "multilabel_cols": ["countries"],
-        "onehot_cols": ["seg"],
-        "target_encoded_cols": ["nation"],
-    }
-    return PreprocessingPipeline(include_pca=include_pca, **{**roles, **settings})
+    return PreprocessingPipeline(include_pca=include_pca, **{**CHAIN, **settings})
 
 
 def split_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return land(tagged(spark, sf_dir), "split")
+    return tagged(spark, sf_dir)
 
 
 TRAIN = "(SELECT * FROM sp WHERE split_group = 'train')"
@@ -479,16 +482,30 @@ def model_ready_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("model_ready_stream", model_ready_sql())
 def model_ready_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fitted chain applied to the table as a stream of files."""
-    path, target = run_path(spark, "split"), run_path(spark, "scored")
-    tagged(spark, sf_dir).write.parquet(path)
-    df = spark.read.parquet(path)
+    """The fitted chain applied to a stream of files in two runs into one output."""
+    path, target, checkpoint = (run_path(spark, n) for n in ("split", "scored", "stream"))
+    df = split_landed(spark, sf_dir)
     chain = prepared(include_pca=False).fit(df)
-    prepare_stream(chain.model, read_stream(spark, path, df.schema), target).awaitTermination()
+    for part in ("code % 2 = 0", "code % 2 = 1"):
+        df.where(part).write.mode("append").parquet(path)
+        rows = read_stream(spark, path, df.schema)
+        prepare_stream(chain.model, rows, target, checkpoint).awaitTermination()
     done = spark.read.parquet(target)
     return rounded(done.select("code", LABEL, "split_group", *[col(c) for c in FIXED_SCALED]))
 
 
+@registered("model_ready_job", model_ready_sql())
+def model_ready_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The end-to-end job: the table it writes, and the chain it saves applied to the rest of the rows."""
+    path, target, saved = (run_path(spark, n) for n in ("split", "ready", "chain"))
+    split_landed(spark, sf_dir).write.parquet(path)
+    jobs.prepare_dataset(spark, path, target, saved, **CHAIN, include_pca=False)
+    written = spark.read.parquet(target).where("code % 2 = 0")
+    again = PreprocessingPipeline.load(saved).transform(spark.read.parquet(path).where("code % 2 = 1"))
+    done = written.unionByName(again)
+    return rounded(done.select("code", LABEL, "split_group", *[col(c) for c in FIXED_SCALED]))
+
+
 @registered(
     "outlier_report_totals",
     with_pf(

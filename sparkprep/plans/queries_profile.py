@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkprep.functions.columns import nan_to_null
 from sparkprep.operators import outliers, profile
+from sparkprep.operators.quantiles import exact_quantiles, exact_quantiles_by
 from sparkprep.plans.product_features import (
     DERIVED,
     LABEL,
@@ -347,3 +348,57 @@ def prepared_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = outliers.domain_filter(derived(spark, sf_dir), RANGES)
     means = [r6(F.avg(c)).alias(c) for c in MEANS]
     return done.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"), *means)
+
+
+PLACES = [0.0, 0.05, 0.25, 0.5, 0.75, 0.99, 1.0]
+
+
+def _order_statistics_sql(cells: str, group: str) -> str:
+    """Linear-interpolated quantiles by row number, one row per ``group`` and place."""
+    return f"""
+r AS (SELECT {group}, v, row_number() OVER (PARTITION BY {group} ORDER BY v) - 1 AS k,
+             COUNT(*) OVER (PARTITION BY {group}) AS n FROM {cells} WHERE v IS NOT NULL),
+p AS (SELECT CAST(UNNEST({PLACES}) AS DOUBLE) AS p),
+w AS (SELECT DISTINCT {group}, p, p * (n - 1) AS x FROM r, p),
+q AS (SELECT {group}, p, x, max(v) FILTER (WHERE k = floor(x)) AS low, max(v) FILTER (WHERE k = ceil(x)) AS high
+      FROM w JOIN r USING ({group}) WHERE k = floor(x) OR k = ceil(x) GROUP BY ALL)
+SELECT {group}, p, round(CASE WHEN low = high THEN low
+                              ELSE (floor(x) + 1 - x) * low + (x - floor(x)) * high END, 6) AS quantile
+FROM q"""
+
+
+@registered(
+    "quantiles_with_infinities",
+    """WITH d AS (
+  SELECT CASE WHEN l_tax = 0 THEN CAST('Infinity' AS DOUBLE) ELSE l_extendedprice / l_tax END AS gain,
+         CASE WHEN l_discount = 0 THEN CAST('-Infinity' AS DOUBLE) ELSE -l_quantity / l_discount END AS loss,
+         CASE WHEN l_quantity > 10 THEN l_quantity END AS quantity
+  FROM lineitem),
+c AS (UNPIVOT d ON gain, loss, quantity INTO NAME "column" VALUE v),"""
+    + _order_statistics_sql("c", '"column"'),
+)
+def quantiles_with_infinities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratios that divide by zero, and a column with missing values."""
+    inf = F.lit(float("inf"))
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_tax") == 0, inf).otherwise(F.try_divide("l_extendedprice", "l_tax")).alias("gain"),
+        F.when(F.col("l_discount") == 0, -inf).otherwise(F.try_divide(-F.col("l_quantity"), "l_discount")).alias("loss"),
+        F.when(F.col("l_quantity") > 10, F.col("l_quantity")).alias("quantity"),
+    )
+    found = exact_quantiles(rows, rows.columns, PLACES)
+    flat = [(c, p, v) for c, vs in found.items() for p, v in zip(PLACES, vs)]
+    return rounded(spark.createDataFrame(flat, "column string, p double, quantile double"))
+
+
+@registered(
+    "quantiles_by_supplier",
+    """WITH c AS (SELECT l_suppkey, l_extendedprice AS v FROM lineitem),"""
+    + _order_statistics_sql("c", "l_suppkey"),
+)
+def quantiles_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All groups by the rounds of one search."""
+    found = exact_quantiles_by(table(spark, sf_dir, "lineitem"), "l_suppkey", ["l_extendedprice"], PLACES)
+    places = F.array(*[F.lit(p) for p in PLACES])
+    return rounded(
+        found.select("l_suppkey", F.inline(F.arrays_zip(places.alias("p"), F.col("quantiles").alias("quantile"))))
+    )

@@ -270,14 +270,14 @@ def removal_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Spellings a raw cell may hold for each nation key, and the names they resolve to.
 SPELLINGS = {
-    0: ("en:france", "France"), 1: ("Deutschland", "Germany"), 2: (" USA ", "United States"),
-    3: ("en:united-kingdom", "United Kingdom"), 4: ("España", "Spain"), 5: ("it", "Italy"),
-    6: ("Nederland", "Netherlands"), 7: ("en:belgium", "Belgium"), 8: ("suisse", "Switzerland"),
-    9: ("CZE", "Czechia"), 10: ("polska", "Poland"), 11: ("Sverige", "Sweden"),
+    0: ("\ten:france\n", "France"), 1: ("Deutschland", "Germany"), 2: (" USA ", "United States"),
+    3: ("en:united-kingdom", "United Kingdom"), 4: ("Kingdom of Spain", "Spain"), 5: ("it", "Italy"),
+    6: ("Nederland", "Netherlands"), 7: ("056", "Belgium"), 8: ("suisse", "Switzerland"),
+    9: ("CZE", "Czechia"), 10: ("Republic of Poland\n", "Poland"), 11: ("Sverige", "Sweden"),
     12: ("norge", "Norway"), 13: ("russia", "Russian Federation"), 14: ("JP", "Japan"),
-    15: ("en:china", "China"), 16: ("brasil", "Brazil"), 17: ("en:fr", "France"),
-    18: ("fra", "France"), 19: ("états-unis", "United States"), 20: ("vietnam", "Viet Nam"),
-    21: ("narnia", None), 22: ("unknown", None), 23: ("", None), 24: ("en:en:south-africa", "South Africa"),
+    15: ("\n en:china", "China"), 16: ("brasil", "Brazil"), 17: ("French Republic", "France"),
+    18: ("250", "France"), 19: ("United States of America", "United States"), 20: ("vietnam", "Viet Nam"),
+    21: ("narnia", None), 22: ("\tunknown", None), 23: ("", None), 24: ("en:en:south-africa", "South Africa"),
 }
 
 
@@ -332,7 +332,7 @@ def country_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     "normal_form",
     f"""WITH {SPELLED}
-SELECT s_suppkey, replace(replace(trim(lower(raw)), 'en:', ''), '-', ' ') AS name
+SELECT s_suppkey, replace(replace(trim(lower(raw), ' ' || chr(9) || chr(10)), 'en:', ''), '-', ' ') AS name
 FROM supplier JOIN spelled ON k = s_nationkey""",
 )
 def normal_form(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,6 +354,66 @@ def top_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.top_tokens(product_features(spark, sf_dir), "countries", 15)
 
 
+@registered(
+    "token_cells",
+    """WITH cells AS (
+  SELECT chr(9) || n_name || ', unknown,' || n_name || chr(10) || ',,' || r_name AS cell
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+t AS (SELECT trim(UNNEST(string_split(cell, ',')), ' ' || chr(9) || chr(10)) AS token FROM cells)
+SELECT token, COUNT(*) AS n FROM t WHERE token NOT IN ('', 'unknown') GROUP BY token
+ORDER BY n DESC, token LIMIT 20""",
+)
+def token_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that repeat a token and hold tabs, line breaks, empty and unknown tokens."""
+    nation = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    rows = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    cell = F.concat(F.lit("\t"), "n_name", F.lit(", unknown,"), "n_name", F.lit("\n,,"), "r_name")
+    return encoding.top_tokens(rows.select(cell.alias("cell")), "cell", 20)
+
+
+def _encoded_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(F.col("l_partkey") % 4 == 0, F.col("p_type"))
+        .when(F.col("l_partkey") % 97 != 1, F.concat(F.lit("part"), F.col("l_partkey") % 1000))
+        .alias("part"),
+        "l_returnflag",
+    )
+
+
+@registered(
+    "target_encode_skewed",
+    """WITH d AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag,
+         CASE WHEN l_partkey % 4 = 0 THEN p_type
+              WHEN l_partkey % 97 <> 1 THEN 'part' || (l_partkey % 1000) END AS part
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+f AS (SELECT part, CASE WHEN l_returnflag = (SELECT min(l_returnflag) FROM d) THEN 1.0 ELSE 0.0 END AS y
+      FROM d WHERE l_orderkey % 3 <> 0 AND (part IS NULL OR part NOT LIKE 'part1%')),
+g AS (SELECT avg(y) AS m, var_pop(y) AS v FROM f),
+e AS (SELECT part, COUNT(*) AS n, avg(y) AS m, var_pop(y) AS v FROM f GROUP BY part)
+SELECT l_orderkey, l_linenumber,
+       round(CASE WHEN e.n IS NULL THEN g.m
+                  ELSE g.v * e.n / (g.v * e.n + e.v) * e.m + (1 - g.v * e.n / (g.v * e.n + e.v)) * g.m END, 6) AS part
+FROM d CROSS JOIN g LEFT JOIN e ON d.part IS NOT DISTINCT FROM e.part""",
+)
+def target_encode_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hot, rare, missing and unseen categories by shuffle joins, fitted on some of the rows."""
+    rows = _encoded_parts(spark, sf_dir)
+    seen = F.coalesce(~F.col("part").startswith("part1"), F.lit(True))
+    stage = FeatureEncoder(
+        multilabel_cols=[], onehot_cols=[], target_cols=["part"], label="l_returnflag", preserve_cols=[]
+    )
+    model = stage.fit(rows.where((F.col("l_orderkey") % 3 != 0) & seen))
+    model.tables = {c: t.hint("merge") for c, t in model.tables.items()}
+    return rounded(model.transform(rows).select("l_orderkey", "l_linenumber", "part"))
+
+
 @registered(
     "categories", with_pf("SELECT DISTINCT seg AS category FROM pf WHERE seg IS NOT NULL")
 )

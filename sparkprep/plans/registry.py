@@ -42,18 +42,33 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[r6(col(c)).alias(c) if c in doubles else col(c) for c in df.columns])
 
 
+_landed: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def landed_once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table that several queries start from, landed once for each session and input."""
+    place = (spark.sparkContext.applicationId, sf_dir, name)
+    if place not in _landed:
+        _landed[place] = land(make(), name)
+    return _landed[place]
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived table, landed once for queries that pass over it several times."""
-    return land(product_features(spark, sf_dir), "product-features")
+    """The derived table."""
+    return landed_once(spark, sf_dir, "product-features", lambda: product_features(spark, sf_dir))
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(spark, sf_dir).where(col(LABEL).isNotNull())
 
 
+def split_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_data(labelled(spark, sf_dir), LABEL, key=[KEY])
+
+
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled rows with their split tag."""
-    return split_data(labelled(spark, sf_dir), LABEL, key=[KEY])
+    return landed_once(spark, sf_dir, "split", lambda: split_labelled(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- SQL building blocks
@@ -86,8 +101,10 @@ PF = """pf AS (
 LAB = "lab AS (SELECT * FROM pf WHERE grade IS NOT NULL)"
 
 
-def split_ctes(source: str = "lab", label: str = "grade", key: str = "code", out: str = "sp") -> str:
-    """CTEs that tag ``source`` with split_group: exact sizes, quotas, hash order."""
+def split_ctes(
+    source: str = "lab", label: str = "grade", key: str = "code", out: str = "sp", tie: str = "0"
+) -> str:
+    """CTEs that tag ``source`` with split_group: exact sizes, quotas, hash order, ties by ``tie``."""
     return f"""
 {out}_counts AS (SELECT {label} AS cls, COUNT(*) AS n FROM {source} GROUP BY {label}),
 {out}_sizes AS (
@@ -115,7 +132,7 @@ def split_ctes(source: str = "lab", label: str = "grade", key: str = "code", out
   SELECT r.* EXCLUDE (rn), CASE WHEN rn <= q_train THEN 'train'
               WHEN rn <= q_train + q_val THEN 'val' ELSE 'test' END AS split_group
   FROM (SELECT *, row_number() OVER (PARTITION BY {label}
-                  ORDER BY md5('42|' || CAST({key} AS VARCHAR))) AS rn FROM {source}) r
+                  ORDER BY md5('42|' || CAST({key} AS VARCHAR)), {tie}) AS rn FROM {source}) r
   JOIN {out}_quota q ON q.cls = r.{label})"""
 
 

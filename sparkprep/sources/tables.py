@@ -37,15 +37,20 @@ def read_delimited(
     columns: Sequence[str] | None = None,
     numeric: Sequence[str] = (),
     null_tokens: Sequence[str] = tuple(presets.NULL_TOKENS),
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Header-led delimited text as strings, with ``numeric`` columns as doubles.
 
     Lines with more fields than the header are skipped, shorter ones padded with nulls;
     null tokens and unreadable numbers become NULL. ``columns`` keeps the listed ones that
-    exist. Line breaks inside quotes belong to the field, for which each file is read by one
-    task; where no field holds any, ``multi_line=False`` lets large plain files be split.
+    exist. Every file's header must name the same columns in the same order; another one is an error.
+
+    With ``multi_line`` line breaks inside quotes belong to the field, for which each file is read by
+    one task. By default that holds for compressed files, which one task reads anyway, and plain
+    files are split; a plain file whose fields hold line breaks needs ``multi_line=True``.
     """
+    if multi_line is None:
+        multi_line = path.endswith((".gz", ".bz2", ".zst"))
     names = header_names(spark, path, sep)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
     raw = (
@@ -56,6 +61,7 @@ def read_delimited(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", False)
+        .option("enforceSchema", False)
         .option("multiLine", multi_line)
         .csv(path)
     )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import warnings
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,12 +60,10 @@ def land(df: DataFrame, name: str) -> DataFrame:
 
     For plans that several fitting passes would otherwise recompute (a join, a gzip
     scan). The written table survives lost executors and keeps column pruning and
-    filter pushdown, which a cached or checkpointed row store does not.
+    filter pushdown, which a cached or checkpointed row store does not. A cluster without
+    ``spark.checkpoint.dir`` is an error, as it is for every other landed table.
     """
     spark = df.sparkSession
-    if shared_folder(spark) is None:
-        warnings.warn("spark.checkpoint.dir is not set; the plan is recomputed per pass")
-        return df
     path = run_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

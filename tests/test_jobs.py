@@ -17,7 +17,7 @@ from sparkprep.plans.product_features import KEY, LABEL
 from sparkprep.plans.queries_checks import prepared, split_landed
 from sparkprep.plans.queries_transform import ROLES
 from sparkprep.sources import reports, splits, tables
-from sparkprep.streaming.scoring import prepare_stream
+from sparkprep.streaming.scoring import prepare_stream, read_stream
 
 LINES = [
     "grade\tcode\tx\textra",
@@ -88,7 +88,7 @@ def test_acquire(spark, dump, tmp_path):
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("1", 'a,"b"\nc', 1.5), ("2", None, None)], "k string, t string, x double")
     tables.write_table(df, str(tmp_path / "t"), "csv")
-    back = tables.read_csv(spark, str(tmp_path / "t"), numeric=["x"])
+    back = tables.read_csv(spark, str(tmp_path / "t"), numeric=["x"], multi_line=True)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
@@ -231,7 +231,24 @@ def test_stream_needs_fitted_statistics(spark, small):
     df = split_landed(spark, small)
     model = MissingValueTransformer(stats_from="transform", **ROLES).fit(df)
     with pytest.raises(ValueError):
-        prepare_stream(model, df, "/nowhere")
+        prepare_stream(model, df, "/nowhere", "/nowhere-checkpoint")
+
+
+def test_stream_refuses_an_output_of_another_checkpoint(spark, small, tmp_path):
+    df = split_landed(spark, small).select("code", "fat").limit(10)
+    df.write.parquet(f"{tmp_path}/in")
+
+    class Same:
+        stages: list = []
+
+        def transform(self, rows):
+            return rows
+
+    rows = read_stream(spark, f"{tmp_path}/in", df.schema)
+    prepare_stream(Same(), rows, f"{tmp_path}/out", f"{tmp_path}/one").awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 10
+    with pytest.raises(ValueError, match="another checkpoint"):
+        prepare_stream(Same(), rows, f"{tmp_path}/out", f"{tmp_path}/two")
 
 
 def test_checks_find_what_is_wrong(spark):

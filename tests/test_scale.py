@@ -1,5 +1,6 @@
-"""The ways taken beyond a size bound give the same results as the plain ones."""
+"""Exactness, skew and numbers of passes of what is built for large tables."""
 
+import math
 import random
 
 import pytest
@@ -11,58 +12,72 @@ from sparkprep.operators import encoding, quantiles
 from sparkprep.operators.encoding import FeatureEncoder
 
 
-def test_searched_quantiles_equal_direct_ones(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "INSIDE_ROWS", 5)
-    rng = random.Random(5)
-    rows = [
-        (rng.gauss(0, 1), float(rng.choice([1, 1, 1, 2, 3])), rng.expovariate(1), rng.randint(0, 9))
-        for _ in range(20_000)
-    ]
-    df = spark.createDataFrame(rows, "a double, b double, c double, d int").repartition(4)
-    probabilities = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
-    columns = ["a", "b", "c", "d"]
-    direct = quantiles.exact_quantiles(df, columns, probabilities)
-    assert quantiles.exact_quantiles(df, columns, probabilities, direct_values=0) == direct
-
-
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(
-    st.lists(
-        st.one_of(st.none(), st.floats(-1e6, 1e6), st.sampled_from([0.0, 1.0])), min_size=1, max_size=60
-    ),
-    st.floats(0, 1),
+def by_sorting(values, probabilities):
+    ordered = sorted(v for v in values if v is not None)
+    if not ordered:
+        return [None] * len(probabilities)
+    places = [p * (len(ordered) - 1) for p in probabilities]
+    return [quantiles._between(x, ordered[math.floor(x)], ordered[math.ceil(x)]) for x in places]
+
+
+def same(a, b):
+    return all(x == y or (x != x and y != y) for x, y in zip(a, b, strict=True))
+
+
+FLOATS = st.one_of(
+    st.none(), st.floats(-1e6, 1e6), st.sampled_from([0.0, -0.0, 1.0, math.inf, -math.inf])
 )
-def test_searched_quantiles_of_any_values(spark, monkeypatch, xs, p):
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(FLOATS, FLOATS, st.integers(0, 2)), min_size=1, max_size=60), st.floats(0, 1))
+def test_searched_quantiles_of_any_values(spark, monkeypatch, rows, p):
+    """Several columns and groups, infinities and both zeros, by one search to single rows."""
     monkeypatch.setattr(quantiles, "INSIDE_ROWS", 1)
-    df = spark.createDataFrame([(x,) for x in xs], "x double")
-    direct = quantiles.exact_quantiles(df, ["x"], [p])
-    assert quantiles.exact_quantiles(df, ["x"], [p], direct_values=0) == direct
+    df = spark.createDataFrame(rows, "x double, y double, g int")
+    places = [0.0, p, 1.0]
+    found = quantiles.exact_quantiles(df, ["x", "y"], places)
+    assert same(found["x"], by_sorting([r[0] for r in rows], places))
+    assert same(found["y"], by_sorting([r[1] for r in rows], places))
+    for r in quantiles.exact_quantiles_by(df, "g", ["x", "y"], places).collect():
+        own = [x["xy".index(r["column"])] for x in rows if x[2] == r["g"]]
+        assert same(r["quantiles"], by_sorting(own, places))
 
 
 def test_column_filled_by_one_value(spark):
     df = spark.range(50_000).select(F.lit(7.0).alias("x"), F.lit(None).cast("double").alias("z"))
-    assert quantiles.exact_quantiles(df, ["x", "z"], [0.5], direct_values=0) == {
-        "x": [7.0], "z": [None],
-    }
+    assert quantiles.exact_quantiles(df, ["x", "z"], [0.5]) == {"x": [7.0], "z": [None]}
 
 
-def test_large_groups_leave_the_shared_aggregate(spark):
-    df = spark.range(3000).select(
-        F.when(F.col("id") < 2000, "hot").when(F.col("id") < 2900, "cool").alias("g"),
-        (F.col("id") * 7 % 1000).cast("double").alias("x"),
-    )
-    plain = quantiles.exact_quantiles_by(df, "g", ["x"], [0.25, 0.5])
-    split = quantiles.exact_quantiles_by(df, "g", ["x"], [0.25, 0.5], direct_values=950)
+def jobs_of(spark, action):
+    """Spark jobs that ``action`` starts."""
+    sc = spark.sparkContext
+    group = f"count-{random.random()}"
+    sc.setJobGroup(group, group)
+    try:
+        action()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(sc.statusTracker().getJobIdsForGroup(group))
 
-    def key(r):
-        return (str(r["g"]), r["column"])
 
-    assert sorted(plain.collect(), key=key) == sorted(split.collect(), key=key)
+def test_many_large_groups_share_the_rounds(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "INSIDE_ROWS", 10)
 
+    def table(groups):
+        return spark.range(groups * 40).select(
+            (F.col("id") % groups).alias("g"), (F.col("id") * 7 % 1009).cast("double").alias("x")
+        )
 
-@pytest.mark.parametrize("rows", [0, 10])
-def test_large_category_table(spark, monkeypatch, rows):
-    """Joined by shuffle with hot categories apart: same encodings, every row kept."""
+    counts = [
+        jobs_of(spark, lambda g=g: quantiles.exact_quantiles_by(table(g), "g", ["x"], [0.5])) for g in (10, 1000)
+    ]
+    assert counts[1] <= counts[0] + 8
+
+
+def test_skewed_categories(spark, monkeypatch):
+    """Hot, rare, missing and unseen categories; the hot unseen one is dealt to several parts."""
+    monkeypatch.setattr(encoding, "HOT_SHARE", 0.1)
     df = spark.range(5000).select(
         F.when(F.col("id") < 2000, "hot")
         .when(F.col("id") < 4900, F.concat(F.lit("c"), F.col("id") % 300))
@@ -70,18 +85,61 @@ def test_large_category_table(spark, monkeypatch, rows):
         (F.col("id") % 3).cast("double").alias("x"),
         F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("y"),
     )
-    stage = FeatureEncoder(
-        multilabel_cols=[], onehot_cols=[], target_cols=["g"], label="y", preserve_cols=[]
-    )
-    small = stage.fit(df).transform(df)
-    monkeypatch.setattr(encoding, "BROADCAST_ROWS", rows)
-    monkeypatch.setattr(encoding, "HOT_SHARE", 0.1)
+    stage = FeatureEncoder(multilabel_cols=[], onehot_cols=[], target_cols=["g"], label="y", preserve_cols=[])
     model = stage.fit(df)
-    assert model.fitted["target"]["g"]["small"] is False
-    large = model.transform(df)
-    assert large.count() == 5000
-    rounded = [d.select(F.round("g", 9).alias("g"), "x", "y") for d in (small, large)]
-    assert rounded[0].exceptAll(rounded[1]).count() == 0
+    rows = df.collect()
+    y = {k: [r["y"] == "b" for r in rows if r["g"] == k] for k in {r["g"] for r in rows}}
+    mean = sum(map(sum, y.values())) / 5000
+
+    def expected(k):
+        if k not in y:
+            return mean
+        n, own = len(y[k]), sum(y[k]) / len(y[k])
+        weight = n * mean * (1 - mean) / (n * mean * (1 - mean) + own * (1 - own))
+        return weight * own + (1 - weight) * mean
+
+    unseen = spark.range(3000).select(F.lit("new").alias("g"), F.col("id").cast("double").alias("x"), F.lit("a").alias("y"))
+    model.tables = {c: t.hint("merge") for c, t in model.tables.items()}
+    both = df.withColumn("k", F.col("g")).unionByName(unseen.withColumn("k", F.col("g")))
+    for r in model.transform(both).collect():
+        assert r["g"] == pytest.approx(expected(r["k"]), abs=1e-9)
+    cold = model.transform(unseen).select("g", F.spark_partition_id().alias("part"))
+    with_parts = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert cold.groupBy("part").count().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", with_parts)
+
+
+def test_fit_passes_do_not_grow_with_the_columns(spark):
+    df = spark.range(500).select(
+        *[F.concat(F.lit("a,b"), F.col("id") % (i + 2)).alias(f"l{i}") for i in range(4)],
+        *[(F.col("id") % (i + 2)).cast("string").alias(f"s{i}") for i in range(4)],
+        *[(F.col("id") % (i + 5)).cast("string").alias(f"t{i}") for i in range(4)],
+        F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("y"),
+    )
+    scanned = []
+    original = encoding.land
+
+    def counted(frame, name):
+        scanned.append(name)
+        return original(frame, name)
+
+    def fit(n):
+        scanned.clear()
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(encoding, "land", counted)
+            FeatureEncoder(
+                multilabel_cols=[f"l{i}" for i in range(n)],
+                onehot_cols=[f"s{i}" for i in range(n)],
+                target_cols=[f"t{i}" for i in range(n)],
+                label="y",
+                preserve_cols=[],
+            ).fit(df)
+        return list(scanned)
+
+    assert fit(1) == fit(4) == ["tokens", "categories"]
 
 
 def test_transform_of_a_fitted_chain_shuffles_nothing(spark, small):

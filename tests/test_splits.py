@@ -123,3 +123,21 @@ def test_balance(spark):
     assert stats["val_counts"] == {"a": 1}
     row = splitting.split_balance(df, "y").first()
     assert (row["max_deviation"], row["is_balanced"]) == (0.5, False)
+
+
+def test_one_more_row_on_a_cut_moves_no_other_key(spark):
+    """Rows that share a key are told apart within it, whatever key the cut falls on."""
+    rows = [(f"k{i % 50}", i, "ab"[i % 2]) for i in range(400)]
+    schema = "key string, n int, label string"
+
+    def parts(given):
+        tagged = splitting.split_data(spark.createDataFrame(given, schema), "label", key=["key"])
+        return {(r["key"], r["n"]): r["split_group"] for r in tagged.collect()}
+
+    before = parts(rows)
+    on_cut = {k for k, _ in before if len({before[x] for x in before if x[0] == k}) > 1}
+    assert on_cut
+    after = parts([*rows, (sorted(on_cut)[0], 1000, "a")])
+    moved = {k for k in before if before[k] != after[k]}
+    # The sizes of the parts grow by a row at most, so one row per class and cut may change.
+    assert len(moved) <= 4
