@@ -38,11 +38,11 @@ ALIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td
 
 # Words of class names and ids that mark what is not the article.
 _MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner\w*|breadcrumb\w*|byline-share|comment\w*|consent|cookie\w*|copyright|"
+    r"(?:^|(?<=[\s_-]))(ad|ads|advert\w*|banner\w*|breadcrumb\w*|byline-share|comment\w*|consent|cookie\w*|copyright|"
     r"disqus\w*|discussion|feedback|foot|footer\w*|gdpr|head|header|login|masthead|menu\w*|modal|nav|navbar|navigation|"
     r"newsletter|notice\w*|overlay|pager|pagination|popup|promo\w*|recommend\w*|related|replies|reply|responses|search|"
     r"share|sharing|side|sidebar\w*|signup|skip|social\w*|sponsor\w*|subscribe|subscription|tags|teaser|toolbar|"
-    r"topbar|warning|widget\w*)(?:$|[\s_-])",
+    r"topbar|warning|widget\w*)(?=$|[\s_-])",
     re.I,
 )
 _ARTICLE = re.compile(r"(?:^|[\s_-])(?:article\w*|body-text|content|entry|main|post|story|text)(?:$|[\s_-])", re.I)
@@ -51,7 +51,7 @@ _ROLES = frozenset("banner complementary contentinfo dialog form menu menubar na
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 SMOOTH = 0.6  #: weight of an edge between neighbours under one parent
@@ -75,7 +75,9 @@ class _Node:
             names = f"{found.get('class', '')} {found.get('id', '')}"
             if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
                 self.hidden = True
-            elif name not in ("html", "body") and (_MARKED.search(names) or found.get("role") in _ROLES):
+            elif name not in ("html", "body") and (
+                any(not (self.inside and m[1].lower() in ("head", "header")) for m in _MARKED.finditer(names)) or found.get("role") in _ROLES
+            ):
                 self.outside = True
             elif _ARTICLE.search(names) or found.get("role") in ("main", "article"):
                 self.inside = True
