@@ -12,7 +12,7 @@ from sparkprep.operators.reduction import FeatureReducer
 from sparkprep.operators.scaling import FeatureScaler, FeatureScalerModel
 from sparkprep.plans import jobs
 from sparkprep.plans.preparation import PreprocessingPipeline
-from sparkprep.plans.product_features import DERIVED, KEY, LABEL, RANGES
+from sparkprep.plans.product_features import DERIVED, KEY, LABEL, RANGES, table
 from sparkprep.plans.queries_transform import (
     CATEGORIES,
     DERIVED_CTE,
@@ -75,8 +75,16 @@ def check_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 TYPES_AFTER = {"carb": "double", "additives_n": "bigint", "seg": "string", "high_fat": "int"}
 
 
+def _type_sql(column: str, kind: str) -> str:
+    """Whether every cell that SQL derives for the column is of the type."""
+    name = {"double": "DOUBLE", "bigint": "BIGINT", "string": "VARCHAR", "int": "INTEGER"}[kind]
+    right = f"(SELECT bool_and(typeof({column}) = '{name}') FROM eng)"
+    return check("data type", column, f"CASE WHEN {right} THEN 1 ELSE 0 END", right)
+
+
 @registered(
-    "check_types", union_all([check("data type", c, "1", "true") for c in TYPES_AFTER])
+    "check_types",
+    with_pf(union_all([_type_sql(c, kind) for c, kind in TYPES_AFTER.items()]), IMPUTED, DERIVED_CTE),
 )
 def check_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.check_types(derived(spark, sf_dir), TYPES_AFTER)
@@ -244,6 +252,9 @@ STANDARD_CTES = ", ".join(
 ) + " FROM sp, " + ", ".join(f"s_{c}" for c in SCALED) + ")"
 
 
+TRAIN_ROWS = "FROM scl WHERE split_group = 'train'"
+
+
 @registered(
     "check_scaled_train",
     with_pf(
@@ -252,11 +263,16 @@ STANDARD_CTES = ", ".join(
                 part
                 for c in SCALED
                 for part in (
-                    check("train mean", c, "0", "true"),
-                    check("train deviation", c, "1", "true"),
+                    check("train mean", c, f"(SELECT CASE WHEN abs(avg({c})) < 5e-7 THEN 0 ELSE avg({c}) END {TRAIN_ROWS})",
+                          f"(SELECT abs(avg({c})) < 1e-6 {TRAIN_ROWS})"),
+                    check("train deviation", c, f"(SELECT stddev_pop({c}) {TRAIN_ROWS})",
+                          f"(SELECT abs(stddev_pop({c}) - 1) < 1e-6 {TRAIN_ROWS})"),
                 )
             ]
-        )
+        ),
+        LAB,
+        split_ctes(),
+        STANDARD_CTES,
     ),
 )
 def check_scaled_train(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,6 +305,68 @@ def check_scaler_leak(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.check_scaler_leak(done.where("split_group = 'test'"), model.scalers)
 
 
+def _scaled_lineitem(spark: SparkSession, sf_dir: str, method: str) -> tuple[FeatureScalerModel, DataFrame]:
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice")
+    stage = FeatureScaler(method=method, label="none", split_col="none", preserve_cols=["l_orderkey"])
+    model = stage.fit(rows.where("l_orderkey % 2 = 0"))
+    return model, model.transform(rows)
+
+
+SCALED_LINEITEM = {
+    "minmax": ("min({0})", "max({0}) - min({0})"),
+    "robust": ("quantile_cont({0}, 0.5)", "quantile_cont({0}, 0.75) - quantile_cont({0}, 0.25)"),
+}
+
+
+def _lineitem_sql(method: str, *checks: tuple[str, str, str]) -> str:
+    """``checks`` (name, value, passed) of both columns, scaled with what the even orders hold."""
+    columns = ["l_extendedprice", "l_quantity"]
+    centre, scale = SCALED_LINEITEM[method]
+    fitted = ", ".join(f"{centre.format(c)} AS c_{c}, {scale.format(c)} AS s_{c}" for c in columns)
+    scaled_columns = ", ".join(f"({c} - c_{c}) / s_{c} AS {c}" for c in columns)
+    return (
+        f"WITH f AS (SELECT {fitted} FROM lineitem WHERE l_orderkey % 2 = 0), "
+        f"scl AS (SELECT l_orderkey, {scaled_columns} FROM lineitem, f)\n"
+        + union_all([check(n, c, v.format(c), p.format(c)) for c in columns for n, v, p in checks])
+    )
+
+
+EVEN, ODD = "FROM scl WHERE l_orderkey % 2 = 0", "FROM scl WHERE l_orderkey % 2 = 1"
+
+
+@registered(
+    "check_scaled_minmax",
+    _lineitem_sql(
+        "minmax",
+        ("train minimum", f"(SELECT min({{0}}) {EVEN})", f"(SELECT abs(min({{0}})) < 1e-6 {EVEN})"),
+        ("train maximum", f"(SELECT max({{0}}) {EVEN})", f"(SELECT abs(max({{0}}) - 1) < 1e-6 {EVEN})"),
+        ("scaler leak hint",
+         f"(SELECT CASE WHEN abs(min({{0}})) <= 0.01 AND abs(max({{0}}) - 1) <= 0.01001 THEN 1 ELSE 0 END {ODD})",
+         f"(SELECT NOT (abs(min({{0}})) <= 0.01 AND abs(max({{0}}) - 1) <= 0.01001) {ODD})"),
+    ),
+)
+def check_scaled_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both checks of columns scaled by their range."""
+    model, done = _scaled_lineitem(spark, sf_dir, "minmax")
+    train = validation.check_scaled_train(done.where("l_orderkey % 2 = 0"), model.scalers)
+    test = validation.check_scaler_leak(done.where("l_orderkey % 2 = 1"), model.scalers)
+    return rounded(train.unionByName(test)).withColumn("value", F.col("value") + F.lit(0.0))
+
+
+@registered(
+    "check_scaled_robust",
+    _lineitem_sql(
+        "robust",
+        ("train median", f"(SELECT quantile_cont({{0}}, 0.5) {EVEN})",
+         f"(SELECT abs(quantile_cont({{0}}, 0.5)) < 1e-6 {EVEN})"),
+    ),
+)
+def check_scaled_robust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, done = _scaled_lineitem(spark, sf_dir, "robust")
+    found = rounded(validation.check_scaled_train(done.where("l_orderkey % 2 = 0"), model.scalers))
+    return found.withColumn("value", F.col("value") + F.lit(0.0))
+
+
 @registered(
     "check_same_bounds",
     with_pf(
@@ -538,7 +616,17 @@ def check_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     "check_columns",
-    union_all([check("column present", c, "1", "true") for c in (LABEL, "split_group", KEY)]),
+    with_pf(
+        union_all(
+            [
+                check("column present", c, f"CASE WHEN {some} THEN 1 ELSE 0 END", some)
+                for c in (LABEL, "split_group", KEY)
+                for some in [f"(SELECT COUNT({c}) > 0 FROM sp)"]
+            ]
+        ),
+        LAB,
+        split_ctes(),
+    ),
 )
 def check_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = prepared(include_pca=True).fit_transform(split_landed(spark, sf_dir))

@@ -40,6 +40,7 @@ from sparkprep.plans.registry import (
     union_all,
     with_pf,
 )
+from sparkprep.sources.reports import read_report
 from sparkprep.workspace import run_path
 
 ROLES = {"label": LABEL, "split_col": "split_group", "preserve_cols": [KEY]}
@@ -247,17 +248,17 @@ def outlier_reasons_iqr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.removal_reasons(df, RANGES, fences)
 
 
-@registered(
-    "removal_totals",
-    with_pf(
-        f"""SELECT n AS rows_before, k AS rows_after, n - k AS rows_removed,
+REMOVAL_TOTALS = with_pf(
+    f"""SELECT n AS rows_before, k AS rows_after, n - k AS rows_removed,
   CAST(round_even((n - k) / CAST(n AS DOUBLE) * 100.0 * 100.0, 0) AS DOUBLE) / 100.0 AS removal_percentage
 FROM (SELECT COUNT(*) AS n FROM pf) a,
      (SELECT COUNT(*) AS k FROM kept, fences WHERE NOT ({' OR '.join(ABOVE.values())})) b""",
-        KEPT,
-        FENCES,
-    ),
+    KEPT,
+    FENCES,
 )
+
+
+@registered("removal_totals", REMOVAL_TOTALS)
 def removal_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = features(spark, sf_dir)
     stage = OutlierRemovalTransformer(
@@ -266,6 +267,20 @@ def removal_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage.fit(df).outlier_report(df)["totals"]
 
 
+@registered("outlier_report_files", REMOVAL_TOTALS)
+def outlier_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's written report, and the rows of its written table."""
+    path, target, report = (run_path(spark, n) for n in ("features", "cleaned", "outliers"))
+    features(spark, sf_dir).write.parquet(path)
+    kept = jobs.remove_outliers(
+        spark, path, target, report, valid_ranges=RANGES, remove_statistical_outliers=True, **ROLES
+    )
+    totals = read_report(spark, f"{report}/totals")
+    return totals.select(
+        "rows_before", F.lit(kept.count()).alias("rows_after"), "rows_removed", "removal_percentage"
+    )
+
+
 # ------------------------------------------------------------------ multi-valued text
 
 # Spellings a raw cell may hold for each nation key, and the names they resolve to.
