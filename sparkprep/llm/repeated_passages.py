@@ -11,7 +11,8 @@ every passage is streamed through it.
    anchor are equal, all their windows repeat. Only the rest needs its words.
 3. These passages are dealt to shards by anchor. A state of the automaton counts how often its
    substrings occur, so the longest repeated match that ends at each word is known; windows it covers repeat.
-   An anchor with very many different passages is dealt by window instead.
+   An anchor with very many different passages is dealt by window instead, of which only those go on that
+   have been counted more than once.
 4. Repeated windows are told to their documents, which drop the covered words.
 
 Which anchors repeat is told to the scanning tasks by bit maps of a fixed size. A bit that
@@ -115,7 +116,25 @@ def _kinds(length: int):
     return run
 
 
-def _to_shards(length: int, several, many):
+def _hot_windows(length: int, several, many):
+    """(key, n) of the windows of passages under anchors with very many kinds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in words(batch.column("text")):
+                found = passages(block, length)
+                hot = np.flatnonzero(several.value.holds(found.anchor) & many.value.holds(found.anchor))
+                if len(hot):
+                    count = found.windows[hot]
+                    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                    start = np.repeat(found.start[hot], count) + step
+                    key, n = np.unique(_window_keys(found.window_hashes[start]), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+
+    return run
+
+
+def _to_shards(length: int, several, many, again):
     """Passages under anchors with several kinds: shard, key, times seen here, words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,11 +160,18 @@ def _to_shards(length: int, several, many):
                 wanted = np.flatnonzero(several.value.holds(found.anchor))
                 hot = many.value.holds(found.anchor[wanted])
                 own = block.hashes.view(np.int64)
+                hot_keys = [
+                    _window_keys(found.window_hashes[found.start[i] : found.start[i] + found.windows[i]])
+                    for i in wanted[hot]
+                ]
+                wanted_windows = again.value.holds(np.concatenate([*hot_keys, np.empty(0, np.int64)]))
+                at_window = 0
                 for i, by_window in zip(wanted.tolist(), hot.tolist()):
                     start, count = int(found.start[i]), int(found.windows[i])
                     if by_window:
                         keys = _window_keys(found.window_hashes[start : start + count]).tolist()
-                        rows = [(k, k, start + j, length) for j, k in enumerate(keys)]
+                        rows = [(k, k, start + j, length) for j, k in enumerate(keys) if wanted_windows[at_window + j]]
+                        at_window += count
                     else:
                         rows = [(int(found.key[i]), int(found.anchor[i]), start, count + length - 1)]
                     for key, shard, at, size in rows:
@@ -257,7 +283,7 @@ def _judge(length: int):
     return run
 
 
-def _places(length: int, repeated, several, many):
+def _places(length: int, repeated, several, many, again):
     """(key, doc_id, row, start, windows) of the passages, or single windows, that may repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,9 +301,11 @@ def _places(length: int, repeated, several, many):
                 hot = np.flatnonzero(hot)
                 count = found.windows[hot]
                 step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                start = np.concatenate([found.start[plain], np.repeat(found.start[hot], count) + step])
-                text = np.concatenate([found.text[plain], np.repeat(found.text[hot], count)])
-                own = _window_keys(found.window_hashes[start[len(plain) :]])
+                single, of = np.repeat(found.start[hot], count) + step, np.repeat(found.text[hot], count)
+                own = _window_keys(found.window_hashes[single])
+                kept = again.value.holds(own)
+                single, of, own = single[kept], of[kept], own[kept]
+                start, text = np.concatenate([found.start[plain], single]), np.concatenate([found.text[plain], of])
                 at = block.first + text
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -368,8 +396,12 @@ def remove_repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame
     many = spark.sparkContext.broadcast(BitMap.of(kinds.where("several and many"), "anchor"))
     repeated = spark.sparkContext.broadcast(BitMap.of(kinds, "anchor"))
 
+    hot = texts.select("text").mapInArrow(_hot_windows(length, several, many), "key long, n long")
+    hot = hot.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
+    again = spark.sparkContext.broadcast(BitMap.of(hot, "key"))
+
     shards = texts.select("text").mapInArrow(
-        _to_shards(length, several, many), "shard long, key long, n long, words array<long>"
+        _to_shards(length, several, many, again), "shard long, key long, n long, words array<long>"
     )
     judged = by_group(shards, "shard", _judge(length), "key long, bits long")
     # All windows of the only kind under an anchor repeat. The maps may have sent it to a shard as well.
@@ -378,7 +410,7 @@ def remove_repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame
 
     keyed = texts.withColumn("row", F.xxhash64("text"))
     places = keyed.mapInArrow(
-        _places(length, repeated, several, many), "key long, doc_id long, row long, start int, windows int"
+        _places(length, repeated, several, many, again), "key long, doc_id long, row long, start int, windows int"
     )
     spans = places.join(found, "key").groupBy("doc_id", "row")
     spans = spans.agg(F.collect_list(F.struct("start", "windows", "bits")).alias("spans"))
