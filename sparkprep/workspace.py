@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -44,15 +46,29 @@ def shared_folder(spark: SparkSession) -> str | None:
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="sparkprep-")
+    """A folder of this process, which is gone when it ends."""
+    folder = tempfile.mkdtemp(prefix="sparkprep-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
-def run_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
+def application_folder(spark: SparkSession) -> str:
+    """Where this application lands its tables."""
     folder = shared_folder(spark)
     if folder is None:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return f"{folder}/sparkprep/{name}-{uuid.uuid4().hex}"
+    return f"{folder}/sparkprep-{spark.sparkContext.applicationId}"
+
+
+def run_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared folder."""
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_landed(spark: SparkSession) -> None:
+    """Delete every table this application has landed; for the end of a job."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def land(df: DataFrame, name: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 import gzip
 import warnings
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from sparkprep import PreprocessingPipeline, create_preprocessing_pipeline
+from sparkprep import PreprocessingPipeline, create_preprocessing_pipeline, workspace
 from sparkprep.operators import validation
 from sparkprep.operators.derived import FeatureEngineer
 from sparkprep.operators.encoding import FeatureEncoder, FeatureEncoderModel
@@ -92,6 +93,21 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_landed_tables_lie_in_one_folder_of_the_application(spark):
+    class Elsewhere:
+        """The session with another application's folder."""
+
+        sparkContext = type("Context", (), {"applicationId": "gone"})()
+        conf, _jvm, _jsc = spark.conf, spark._jvm, spark._jsc
+
+    path = workspace.run_path(Elsewhere, "table")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3 and "sparkprep-gone" in path
+    workspace.drop_landed(Elsewhere)
+    assert not Path(path).exists()
+    assert spark.sparkContext.applicationId in workspace.run_path(spark, "table")
+
+
 def test_saved_splits(spark, small, tmp_path):
     df = split_landed(spark, small)
     paths = splits.save_splits(df, str(tmp_path / "s"))
