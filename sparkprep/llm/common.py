@@ -157,13 +157,13 @@ class BitMap:
         place = keys.view(np.uint64) >> np.uint64(64 - MAP_BITS)
         return (self.bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
-    def sift(self, df: DataFrame, key: str) -> DataFrame:
-        """Rows of ``df`` whose ``key`` the map holds, found in the tasks that scan them."""
+    def sift(self, df: DataFrame, key: str, holds: bool = True) -> DataFrame:
+        """Rows of ``df`` whose ``key`` the map holds (or the others), found in the tasks that scan them."""
         shared = df.sparkSession.sparkContext.broadcast(self)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.filter(pa.array(shared.value.holds(batch.column(key).to_numpy())))
+                yield batch.filter(pa.array(shared.value.holds(batch.column(key).to_numpy()) == holds))
 
         return df.mapInArrow(run, df.schema)
 

@@ -34,7 +34,7 @@ from sparkprep.llm.words import mix, windows, words
 
 LENGTH = 35
 ANCHOR = 12
-_SEEN = 50_000  #: passages a task holds back, to send equal ones once
+_SEEN = 120_000  #: passages a task holds back, to send equal ones once
 _PLACE = np.uint64(24)
 _PLACES = np.uint64((1 << 24) - 1)
 
@@ -413,9 +413,19 @@ def remove_repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame
         _places(length, repeated, several, many, again), "key long, doc_id long, row long, start int, windows int"
     )
     spans = places.join(found, "key").groupBy("doc_id", "row")
-    spans = spans.agg(F.collect_list(F.struct("start", "windows", "bits")).alias("spans"))
-    spans = spans.withColumnsRenamed({"doc_id": "__doc_id", "row": "__row"})
-    joined = keyed.join(
-        spans, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("row").eqNullSafe(F.col("__row")), "left"
-    ).select("doc_id", "text", "spans")
-    return joined.mapInArrow(_cut(length), "doc_id long, n_words long, n_removed long, kept string")
+    spans = scratch.keep(
+        spans.agg(F.collect_list(F.struct("start", "windows", "bits")).alias("spans")).withColumnsRenamed(
+            {"doc_id": "__doc_id", "row": "__row"}
+        ),
+        "spans",
+    )
+    # Texts without a repeated window stay where they are; only the others are moved to their spans.
+    place = F.xxhash64("doc_id", "row")
+    touched = BitMap.of(spans.select(F.xxhash64("__doc_id", "__row").alias("key")), "key")
+    keyed = keyed.withColumn("key", place)
+    whole = touched.sift(keyed, "key", holds=False).withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("row").eqNullSafe(F.col("__row"))
+    joined = touched.sift(keyed, "key").join(spans.hint("merge"), same, "left")
+    schema = "doc_id long, n_words long, n_removed long, kept string"
+    done = [df.select("doc_id", "text", "spans").mapInArrow(_cut(length), schema) for df in (whole, joined)]
+    return done[0].unionByName(done[1])
