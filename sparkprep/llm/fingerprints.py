@@ -18,6 +18,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkprep.llm.common import BitMap
 from sparkprep.llm.words import BLOCK, mix, words
 
 SUBSETS, HALVINGS = 32, 12
@@ -34,23 +35,49 @@ def _distinct(block) -> Iterator[np.ndarray]:
         yield np.unique(block.hashes[block.offsets[i] : block.offsets[i + 1]])
 
 
-def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [t for block in words(batch.column("text"), lower=True) for t in _distinct(block)]
-        if found:
-            term, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n)], ["term", "n"])
+def _counted(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of a batch of texts and how many of them hold each."""
+    found = [t for block in words(batch.column("text"), lower=True) for t in _distinct(block)]
+    return np.unique(np.concatenate([*found, np.empty(0, np.uint64)]), return_counts=True)
+
+
+def _candidates(least: float):
+    """Terms that at least the share ``least`` of a batch holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            term, n = _counted(batch)
+            yield pa.RecordBatch.from_arrays([pa.array(term[n >= least * batch.num_rows].view(np.int64))], ["term"])
+
+    return run
+
+
+def _term_counts(wanted):
+    """(term, n) of the terms that the map holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            term, n = _counted(batch)
+            kept = wanted.value.holds(term)
+            yield pa.RecordBatch.from_arrays([pa.array(term[kept].view(np.int64)), pa.array(n[kept])], ["term", "n"])
+
+    return run
 
 
 def lexicon(docs: DataFrame, most: float = MOST, least: float = LEAST, max_terms: int = MAX_TERMS) -> np.ndarray:
     """Sorted hashes of the terms that between ``least`` and ``most`` of all rows hold.
 
+    A term that the share ``least`` of all rows holds is held by as large a share of the rows of some batch, so
+    terms that no batch holds that often need no counting. The others are counted over all rows.
+
     At most (mean distinct terms of a row) / ``least`` terms can be that frequent, however many rows
     there are; more than ``max_terms`` (32 MB) are an error, for which ``least`` can be raised.
     """
+    texts = docs.select(F.col("text").cast("string").alias("text"))
     rows = docs.count()
-    counts = docs.select(F.col("text").cast("string")).mapInArrow(_term_counts, "term long, n long")
-    counts = counts.groupBy("term").agg(F.sum("n").alias("n"))
+    frequent = BitMap.of(texts.mapInArrow(_candidates(least), "term long"), "term")
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    counts = texts.mapInArrow(_term_counts(shared), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     band = counts.where((F.col("n") >= least * rows) & (F.col("n") <= most * rows)).select("term")
     found = band.limit(max_terms + 1).toPandas()["term"].to_numpy(np.int64)
     if len(found) > max_terms:
