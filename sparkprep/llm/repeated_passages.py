@@ -321,12 +321,16 @@ def _places(length: int, repeated, several, many, again):
     return run
 
 
-def _cut(length: int):
-    """Words and text without the covered words."""
+def _cut(length: int, touched=None):
+    """Words and text without the covered words; given a map, of the texts it does not hold, which lose none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = batch.column("spans").to_pylist()
+            if touched is None:
+                spans = batch.column("spans").to_pylist()
+            else:
+                batch = batch.filter(pa.array(~touched.value.holds(batch.column("key").to_numpy())))
+                spans = [None] * batch.num_rows
             total, removed, kept = [], [], []
             for block in words(batch.column("text")):
                 cover = np.zeros(len(block.hashes) + 1, dtype=np.int64)
@@ -423,9 +427,9 @@ def remove_repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame
     place = F.xxhash64("doc_id", "row")
     touched = BitMap.of(spans.select(F.xxhash64("__doc_id", "__row").alias("key")), "key")
     keyed = keyed.withColumn("key", place)
-    whole = touched.sift(keyed, "key", holds=False).withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
     same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("row").eqNullSafe(F.col("__row"))
     joined = touched.sift(keyed, "key").join(spans.hint("merge"), same, "left")
     schema = "doc_id long, n_words long, n_removed long, kept string"
-    done = [df.select("doc_id", "text", "spans").mapInArrow(_cut(length), schema) for df in (whole, joined)]
-    return done[0].unionByName(done[1])
+    shared = spark.sparkContext.broadcast(touched)
+    whole = keyed.select("doc_id", "text", "key").mapInArrow(_cut(length, shared), schema)
+    return whole.unionByName(joined.select("doc_id", "text", "spans").mapInArrow(_cut(length), schema))
