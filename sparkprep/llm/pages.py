@@ -38,13 +38,22 @@ ALIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td
 
 # Words of class names and ids that mark what is not the article.
 _MARKED = re.compile(
-    r"(?:^|(?<=[\s_-]))(ad|ads|advert\w*|banner\w*|breadcrumb\w*|byline-share|comment\w*|consent|cookie\w*|copyright|"
+    r"(ad|ads|advert\w*|banner\w*|breadcrumb\w*|comment\w*|consent|cookie\w*|copyright|"
     r"disqus\w*|discussion|feedback|foot|footer\w*|gdpr|head|header|login|masthead|menu\w*|modal|nav|navbar|navigation|"
     r"newsletter|notice\w*|overlay|pager|pagination|popup|promo\w*|recommend\w*|related|replies|reply|responses|search|"
     r"share|sharing|side|sidebar\w*|signup|skip|social\w*|sponsor\w*|subscribe|subscription|tags|teaser|toolbar|"
-    r"topbar|warning|widget\w*)(?=$|[\s_-])",
+    r"topbar|warning|widget\w*)",
     re.I,
 )
+#: Words that leave a marked one beside them its meaning: comment-list, sidebar-left, ad-slot.
+_NEUTRAL = re.compile(
+    r"(area|bar|block|body|bottom|box|button\w*|column|content|form|inner|item\w*|left|link\w*|list\w*|panel|posts|right|section|"
+    r"site|slot|text|title|top|unit|\d*)",
+    re.I,
+)
+#: Wrappers that say what they hold or lack: has-sidebar, no-ads, content-sidebar-wrap.
+_HOLDS = re.compile(r"(has|have|with|without|no|hide|show|is)[_-]", re.I)
+_WRAPS = re.compile(r".*[_-](wrap|wrapper|container|layout|grid|row)", re.I)
 _ARTICLE = re.compile(r"(?:^|[\s_-])(?:article\w*|body-text|content|entry|main|post|story|text)(?:$|[\s_-])", re.I)
 _ROLES = frozenset("banner complementary contentinfo dialog form menu menubar navigation search".split())
 
@@ -54,13 +63,32 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 
+#: Cost of a name that is marked as a whole, what it costs more inside an article, and of one where a part is marked.
+MARK, WITHIN, PART = 7.0, 7.0, 3.0
 SMOOTH = 0.6  #: weight of an edge between neighbours under one parent
 
 
+def _mark(names: str, inside: bool) -> float:
+    """Cost of class names and ids; those that only say what a wrapper holds have none."""
+    cost = 0.0
+    for name in names.split():
+        parts = [p for p in re.split("[_-]+", name) if p]
+        marked = [bool(_MARKED.fullmatch(p)) and not (inside and p.lower() in ("head", "header")) for p in parts]
+        if not any(marked) or _HOLDS.match(name):
+            continue
+        if _WRAPS.fullmatch(name):
+            cost = max(cost, 0.0 if _ARTICLE.search(name) else PART)
+        elif marked[-1] or all(m or _NEUTRAL.fullmatch(p) for m, p in zip(marked, parts)):
+            cost = max(cost, MARK + WITHIN * inside)
+        else:
+            cost = max(cost, PART)
+    return cost
+
+
 class _Node:
     """An open block element."""
 
-    __slots__ = ("name", "up", "depth", "outside", "hidden", "inside")
+    __slots__ = ("name", "up", "depth", "outside", "hidden", "inside", "mark")
 
     def __init__(self, name: str, up: _Node | None, attributes: str):
         self.name, self.up = name, up
@@ -68,6 +96,7 @@ class _Node:
         self.outside = bool(up and up.outside) or name in OUTSIDE
         self.hidden = bool(up and up.hidden) or name in HIDDEN
         self.inside = bool(up and up.inside) or name in ("article", "main")
+        self.mark = up.mark if up else 0.0
         if name == "header" and not self.inside:
             self.outside = True
         if attributes and not (self.outside or self.hidden):
@@ -75,12 +104,22 @@ class _Node:
             names = f"{found.get('class', '')} {found.get('id', '')}"
             if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
                 self.hidden = True
-            elif name not in ("html", "body") and (
-                any(not (self.inside and m[1].lower() in ("head", "header")) for m in _MARKED.finditer(names)) or found.get("role") in _ROLES
-            ):
+            elif name not in ("html", "body") and found.get("role") in _ROLES:
                 self.outside = True
-            elif _ARTICLE.search(names) or found.get("role") in ("main", "article"):
+            elif name in ("article", "main") or found.get("role") in ("main", "article"):
                 self.inside = True
+                if not (up and up.inside) and _mark(names, False) < MARK:
+                    self.mark /= 3  # a marked wrapper that holds the article
+            else:
+                own = 0.0 if name in ("html", "body") else _mark(names, self.inside)
+                if found.get("id", "").lower() in ("article", "content", "main"):
+                    own = min(own, PART)
+                    self.inside = True
+                elif not own and _ARTICLE.search(names):
+                    self.inside = True
+                self.mark = max(self.mark, own)
+        elif name in ("article", "main") and not (up and up.inside):
+            self.mark /= 3
 
 
 class Block:
@@ -172,6 +211,8 @@ def score(block: Block) -> float:
     n = text.count(" ") + 1
     density = min(block.linked / max(len(text), 1), 1.0)
     value = -1.2 + 0.12 * min(n, 40) - 4.0 * density
+    if node.mark:
+        value += 0.02 * max(min(n, 150) - 40, 0) - 4.0 * density - node.mark
     if node.inside:
         value += 6.0
     if node.name in ("p", "blockquote", "pre"):

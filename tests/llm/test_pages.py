@@ -80,3 +80,25 @@ def test_pages_of_the_table(spark, small):
             parts = parts.replace(tag, "\0")
         want[r["page_id"]] = "\n".join(x for x in (" ".join(html.unescape(p).split()) for p in parts.split("\0")) if x)
     assert {r["page_id"]: r["text"] for r in extract_pages(pages).collect()} == want
+
+
+WRAPPED = [
+    (f"<div class='content-sidebar-wrap'><p>{PROSE}</p></div>", PROSE),
+    (f"<main class='has-sidebar'><p>{PROSE}</p></main>", PROSE),
+    (f"<main class='search'><p>{PROSE}</p></main>", PROSE),
+    (f"<div id='content' class='with-sidebar'><p>{PROSE}</p></div>", PROSE),
+    (f"<article class='share-price-report'><p>{PROSE}</p></article>", PROSE),
+    (f"<div class='share-price-report'><p>{PROSE} {PROSE} {PROSE}</p></div>", f"{PROSE} {PROSE} {PROSE}"),
+    (f"<div class='sidebar-container'><main><p>{PROSE}</p></main></div>", PROSE),
+    (f"<div class='sidebar'><article><p>{PROSE}</p></article></div>", PROSE),
+    (f"<div class='notice'><p>{' '.join([PROSE] * 9)}</p></div>", " ".join([PROSE] * 9)),
+    (f"<article><p>{PROSE}</p><div class='comment-list'><p>{PROSE} {PROSE} {PROSE}</p></div></article>", PROSE),
+    (f"<main><p>{PROSE}</p><div id=comments><article class='comment'><p>{PROSE}</p></article></div></main>", PROSE),
+    (f"<article><p>{PROSE}</p></article><div class='site-footer'><p>{PROSE}</p></div><div class='main-nav'>{PROSE}</div>", PROSE),
+    (f"<div class='related-posts'><article><a href=x>{PROSE}</a></article></div><article><p>{PROSE}</p></article>", PROSE),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), WRAPPED)
+def test_marked_wrappers(page, text):
+    assert main_text(page) == text
