@@ -26,6 +26,8 @@ LENGTH = 4096
 END_ID = 1
 GROUP = 40_000  #: pieces of one group
 KEEP_GAP = 0.01  #: a sequence with a larger share unfilled is packed again
+#: Share of sequences that a further round must save, and the rounds that sequence_id has room for.
+LEAST_GAIN, MOST_ROUNDS = 0.02, 60
 _CACHED = 2_000_000  #: words whose ids a worker keeps
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -245,7 +247,8 @@ def _packed(length: int):
 def packed(parts: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """``parts`` (columns of ``pieces``) with sequence_id and offset.
 
-    Whole sequences need no packing. Rows that repeat a piece are placed each on its own. A sequence
+    Pieces are packed in groups of about ``group``. Those of poorly filled sequences are dealt anew, until they fit one
+    group or a round no longer saves ``LEAST_GAIN`` of their sequences; no group grows with the corpus. Whole sequences need no packing. Rows that repeat a piece are placed each on its own. A sequence
     is numbered by round, group and place in the group, a whole one by its row.
     """
     scratch = Scratch(parts.sparkSession, "packing")
@@ -259,20 +262,30 @@ def packed(parts: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFr
         "doc_id long, piece int, start long, length long, ids_crc32 long, grp long, bin long, offset long, gap long"
     )
     left, turn = parts.where(F.col("length") < length), 0
-    groups = -(-left.count() // group)
+    again = F.col("gap") > int(length * KEEP_GAP)
+    sequences = F.coalesce(F.sum((F.col("offset") == 0).cast("long")), F.lit(0))
+
+    def numbered(rows: DataFrame, turn: int) -> DataFrame:
+        sequence = F.lit(turn << 56) + F.shiftleft("grp", 24) + F.col("bin")
+        return rows.select(*kept, sequence.alias("sequence_id"), "offset")
+
+    groups, before = -(-left.count() // group), None
     while groups:
         salt = F.xxhash64(F.lit(turn), "doc_id", "piece", "ids_crc32", F.monotonically_increasing_id())
         dealt = left.select(*kept, F.pmod(salt, F.lit(groups)).alias("grp"))
         # Written before it is read twice, so that both readings see one dealing.
         done = scratch.keep(by_group(dealt, "grp", _packed(length), schema), f"round-{turn}")
-        again = F.col("gap") > int(length * KEEP_GAP)
-        good = done if groups == 1 else done.where(~again)
-        sequence = F.lit(turn << 56) + F.shiftleft("grp", 24) + F.col("bin")
-        out = out.unionByName(good.select(*kept, sequence.alias("sequence_id"), "offset"))
-        if groups == 1:
+        now = done.agg(sequences).first()[0]
+        if before is not None and now >= before:
+            out = out.unionByName(numbered(left, turn - 1))
+            break
+        if groups == 1 or turn == MOST_ROUNDS or before is not None and now > (1 - LEAST_GAIN) * before:
+            out = out.unionByName(numbered(done, turn))
             break
+        out = out.unionByName(numbered(done.where(~again), turn))
         left, turn = done.where(again), turn + 1
-        groups = min(-(-left.count() // group), groups // 2)
+        count, before = left.agg(F.count("*"), sequences).first()
+        groups = -(-count // group)
     return out
 
 
