@@ -38,3 +38,22 @@ SELECT conv_id, COUNT(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(SUM(chars) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id"""
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+RANKED_SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+i AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS terms FROM benchmark),
+c AS (SELECT COUNT(*) AS n_docs, CAST(SUM(len(terms)) AS HUGEINT) AS n_terms FROM d WHERE len(terms) > 0),
+e AS (SELECT r, unnest(terms) AS term FROM d),
+t AS (SELECT r, term, COUNT(*) AS tf FROM e GROUP BY r, term),
+v AS (SELECT q, term, COUNT(*) AS times FROM (SELECT q, unnest(terms) AS term FROM i) GROUP BY q, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * COUNT(*) + 1)::DOUBLE)) AS BIGINT) AS w
+      FROM t, c GROUP BY term, n_docs),
+s AS (SELECT q, t.r, SUM(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(d.terms) * n_docs) // n_terms)))) AS score
+      FROM v JOIN t USING (term) JOIN w USING (term) JOIN d ON d.r = t.r CROSS JOIN c GROUP BY q, t.r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT q, r, score, d.doc_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, d.doc_id NULLS LAST) AS rank
+      FROM s JOIN d USING (r) WHERE score > 0) JOIN i USING (q)
+WHERE rank <= 10"""

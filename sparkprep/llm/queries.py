@@ -18,6 +18,7 @@ from sparkprep.llm.mixing import n_words, with_copies
 from sparkprep.llm.near_documents import near_documents
 from sparkprep.llm.packing import pack_documents
 from sparkprep.llm.pages import extract_pages
+from sparkprep.llm.ranked_search import search
 from sparkprep.llm.repeated_passages import remove_repeated_passages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +107,10 @@ def pack_all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": document_fingerprints,
     "op2_mix_sources": mix_sources,
@@ -117,9 +122,11 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": chat_read_back,
     "op9_languages": document_languages,
     "op10_pack_documents": pack_all_documents,
+    "op13_ranked_search": ranked_search,
 }
 
 ORACLES: dict[str, str] = {
     "op2_mix_sources": oracles.MIX_SOURCES,
     "op8_chat_format": oracles.CHAT_FORMAT,
+    "op13_ranked_search": oracles.RANKED_SEARCH,
 }

@@ -18,6 +18,9 @@ BLOCK = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Every ASCII character but letters and digits; parts words into terms.
+MARKS = np.ones(256, dtype=bool)
+MARKS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
@@ -90,13 +93,21 @@ def blocks(column: pa.Array, size: int = BLOCK) -> Iterator[tuple[int, np.ndarra
 
 
 def words_of(
-    data: np.ndarray, texts: np.ndarray, first: int = 0, lower: bool = False, cuts: np.ndarray | None = None
+    data: np.ndarray,
+    texts: np.ndarray,
+    first: int = 0,
+    lower: bool = False,
+    cuts: np.ndarray | None = None,
+    space: np.ndarray = _SPACE,
 ) -> Words:
-    """Words of a block of texts given as bytes and offsets; ``cuts`` are further places where one begins."""
+    """Words of a block of texts given as bytes and offsets; ``cuts`` are further places where one begins.
+
+    ``space`` marks the bytes that part words.
+    """
     if lower:
         data = _LOWER[data]
     n = len(data)
-    inside = ~_SPACE[data]
+    inside = ~space[data]
     begins = np.zeros(n + 1, dtype=bool)
     begins[texts] = True
     if cuts is not None:
@@ -115,10 +126,12 @@ def words_of(
     return Words(first, data, texts, starts, ends, hashes, np.searchsorted(starts, texts))
 
 
-def words(column: pa.Array, lower: bool = False, size: int = BLOCK) -> Iterator[Words]:
+def words(
+    column: pa.Array, lower: bool = False, size: int = BLOCK, space: np.ndarray = _SPACE
+) -> Iterator[Words]:
     """Words of a column of texts, block by block."""
     for first, data, texts in blocks(column, size):
-        yield words_of(data, texts, first, lower)
+        yield words_of(data, texts, first, lower, space=space)
 
 
 def windows(hashes: np.ndarray, k: int) -> np.ndarray:
