@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkprep.llm import oracles
+from sparkprep.llm.alignment import aligned, with_link_counts
 from sparkprep.llm.chat import format_conversations, read_turns, text_content, trained_text
 from sparkprep.llm.common import Scratch, read
 from sparkprep.llm.embeddings import near_embeddings
@@ -107,6 +108,21 @@ def pack_all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    done = with_link_counts(aligned(read(spark, sf_dir, "documents"), a, b, digest=True), a, b)
+    return done.select(
+        "doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        "n_best",
+        "count_sum",
+        F.col("groups").alias("groups_sha256"),
+    )
+
+
 def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -122,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": chat_read_back,
     "op9_languages": document_languages,
     "op10_pack_documents": pack_all_documents,
+    "op12_token_alignment": token_alignment,
     "op13_ranked_search": ranked_search,
 }
 

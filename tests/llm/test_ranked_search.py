@@ -52,7 +52,7 @@ def test_odd_rows(spark, odd):
     docs = [(r["doc_id"], r["text"]) for r in odd.collect()]
     wanted = brute(docs, [(r["item_id"], r["text"]) for r in items.collect()])
     assert found(search(odd.repartition(3), items)) == wanted
-    assert found(search(odd, items, block_terms=3)) == wanted  # several blocks of items
+    assert found(search(odd, items, block_terms=8)) == wanted  # several blocks of items
     assert search(odd.limit(0), items).count() == 0 and search(odd, items.limit(0)).count() == 0
 
 
