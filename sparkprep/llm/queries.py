@@ -21,6 +21,7 @@ from sparkprep.llm.packing import pack_documents
 from sparkprep.llm.pages import extract_pages
 from sparkprep.llm.ranked_search import search
 from sparkprep.llm.repeated_passages import remove_repeated_passages
+from sparkprep.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +109,10 @@ def pack_all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def document_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
     done = with_link_counts(aligned(read(spark, sf_dir, "documents"), a, b, digest=True), a, b)
@@ -138,6 +143,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": chat_read_back,
     "op9_languages": document_languages,
     "op10_pack_documents": pack_all_documents,
+    "op11_toxicity": document_toxicity,
     "op12_token_alignment": token_alignment,
     "op13_ranked_search": ranked_search,
 }

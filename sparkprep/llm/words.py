@@ -118,12 +118,18 @@ def words_of(
     end[:-1] &= ~inside[1:] | begins[1:n]
     starts = np.flatnonzero(start)
     ends = np.flatnonzero(end) + 1
+    hashes = span_hashes(data, starts, ends)
+    return Words(first, data, texts, starts, ends, hashes, np.searchsorted(starts, texts))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span; that of a whole word is the word's."""
+    n = len(data)
     up, down = _Powers.of(n + 1)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_BYTES[data] * up[:n], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * down[starts]
-    hashes = mix(hashes ^ (ends - starts).astype(np.uint64))
-    return Words(first, data, texts, starts, ends, hashes, np.searchsorted(starts, texts))
+    return mix(hashes ^ (ends - starts).astype(np.uint64))
 
 
 def words(
