@@ -160,6 +160,33 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(tables.read_csv(spark, path, numeric=NUMERIC))
 
 
+@registered(
+    "dump_with_line_breaks",
+    """SELECT doc_id, lang, source, n_chars, md5(text) AS text_md5,
+  length(text) - length(replace(text, chr(10), '')) AS n_breaks FROM documents""",
+)
+def dump_with_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a plain dump whose quoted texts hold line breaks, read back by many tasks."""
+    path = run_path(spark, "line-breaks")
+    quoted = F.concat(F.lit('"'), F.replace(F.col("text"), F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws("\t", "doc_id", quoted, "lang", "source", "n_chars")
+    header = "doc_id\ttext\tlang\tsource\tn_chars"
+    # The lower 33 bits of this id number the rows of one task, so each file gets a header.
+    first = F.monotonically_increasing_id() % F.lit(1 << 33) == 0
+    rows = table(spark, sf_dir, "documents").select(line.alias("line"), first.alias("first"))
+    texts = F.when(F.col("first"), F.array(F.lit(header), F.col("line"))).otherwise(F.array("line"))
+    rows.select(F.explode(texts).alias("value")).write.text(path)
+    read = tables.read_delimited(spark, path, null_tokens=[""])
+    return read.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "lang",
+        "source",
+        F.col("n_chars").cast("long").alias("n_chars"),
+        F.md5("text").alias("text_md5"),
+        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("long").alias("n_breaks"),
+    )
+
+
 @registered(
     "split_rows", with_pf("SELECT code, grade, split_group FROM sp", LAB, split_ctes())
 )

@@ -10,8 +10,10 @@ from pyspark.sql import types as T
 
 from sparkprep import presets
 from sparkprep.functions.columns import col
+from sparkprep.sources.records import records
 
 CORRUPT = "_corrupt_line"
+COMPRESSED = (".gz", ".bz2", ".zst")
 
 
 def header_names(spark: SparkSession, path: str, sep: str) -> list[str]:
@@ -45,26 +47,29 @@ def read_delimited(
     null tokens and unreadable numbers become NULL. ``columns`` keeps the listed ones that
     exist. Every file's header must name the same columns in the same order; another one is an error.
 
-    With ``multi_line`` line breaks inside quotes belong to the field, for which each file is read by
-    one task. By default that holds for compressed files, which one task reads anyway, and plain
-    files are split; a plain file whose fields hold line breaks needs ``multi_line=True``.
+    Line breaks inside quotes belong to the field. Plain files are split and read by many tasks all the
+    same (see :mod:`sparkprep.sources.records`); ``multi_line=True`` reads each file by one task, which is the
+    default where all files are compressed and one task reads each anyway, and ``multi_line=False`` takes every line as a record.
     """
-    if multi_line is None:
-        multi_line = path.endswith((".gz", ".bz2", ".zst"))
+    if multi_line is None and all(f.endswith(COMPRESSED) for f in spark.read.text(path).inputFiles()):
+        multi_line = True
     names = header_names(spark, path, sep)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    raw = (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("header", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("columnPruning", False)
-        .option("enforceSchema", False)
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    if multi_line is None:
+        raw = _from_records(spark, path, sep, names)
+    else:
+        raw = (
+            spark.read.schema(schema)
+            .option("sep", sep)
+            .option("header", True)
+            .option("escape", '"')
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("columnPruning", False)
+            .option("enforceSchema", False)
+            .option("multiLine", multi_line)
+            .csv(path)
+        )
     line = col(CORRUPT)
     # Spark refuses to scan the corrupt line alone, as a plain count would; this reads a field.
     first = F.length(F.concat_ws("", col(names[0]))) >= 0
@@ -81,6 +86,28 @@ def read_delimited(
     return whole.select(*out)
 
 
+def _from_records(spark: SparkSession, path: str, sep: str, names: Sequence[str]) -> DataFrame:
+    """The records of plain files as strings, without the header of each."""
+    quoted = ["`" + n.replace("`", "``") + "` string" for n in [*names, CORRUPT]]
+    options = {
+        "sep": sep,
+        "escape": '"',
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT,
+        "multiLine": "true",
+    }
+    read = records(spark, path, sep).where(F.trim("record") != "")
+    cells = read.select("first", F.from_csv("record", ", ".join(quoted), options).alias("cells"))
+    told = F.array(*[F.lower(F.trim(F.coalesce(F.col("cells")[n], F.lit("")))) for n in names])
+    same = told == F.array(*[F.lit(n.strip().lower()) for n in names])
+    data = (
+        F.when(~F.col("first"), True)
+        .when(same, False)
+        .otherwise(F.raise_error(F.lit(f"a file under {path} has another header")).cast("boolean"))
+    )
+    return cells.where(data).select("cells.*")
+
+
 def missing_names(available: Sequence[str], wanted: Sequence[str]) -> list[str]:
     return [n for n in wanted if n not in available]
 
