@@ -12,7 +12,7 @@ from sparkprep import presets
 from sparkprep.functions.columns import col, number, value
 from sparkprep.functions.text import tokens
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
-from sparkprep.workspace import land
+from sparkprep.operators.tally import ROWS, Tally, cell, indicator_statistics, weighted_statistics
 
 # One category above this share of the fitted rows is hot; there are at most 1/share of them.
 HOT_SHARE = 0.001
@@ -94,21 +94,6 @@ def target_tables(df: DataFrame, columns: list[str], target: Column) -> DataFram
     )
 
 
-def cell_counts(df: DataFrame, lists: list[str], singles: list[str]) -> DataFrame:
-    """(position, token, n) of the tokens of list columns and the values of single ones, in one pass.
-
-    Positions go through ``lists``, then ``singles``.
-    """
-
-    def placed(i: int, parts: Column) -> Column:
-        return F.transform(parts, lambda t: F.struct(F.lit(i).alias("position"), t.alias("token")))
-
-    cells = [placed(i, tokens(col(c))) for i, c in enumerate(lists)]
-    cells += [placed(len(lists) + i, F.array(value(df, c).cast("string"))) for i, c in enumerate(singles)]
-    rows = df.select(F.inline(F.concat(*cells))).where("token IS NOT NULL")
-    return rows.groupBy("position", "token").agg(F.count(F.lit(1)).alias("n"))
-
-
 def shrunk(n, mean, variance, whole_mean: float, whole_variance: float):
     """Empirical-Bayes mean of a category, shrunk towards the global mean.
 
@@ -122,36 +107,28 @@ def shrunk(n, mean, variance, whole_mean: float, whole_variance: float):
 ENCODING_SCHEMA = "category string, n long, encoding double"
 
 
-def learn_targets(df: DataFrame, columns: list[str], target: Column) -> tuple[dict, dict]:
-    """Fitted values and the table (category, n, encoding) of each column, from one pass.
+def _fitted_target(whole, missing) -> dict:
+    """Fitted values of one column, from the rows of all categories and of the missing one (None: no such rows)."""
+    mean, variance = (whole["mean"], whole["variance"]) if whole and whole["filled"] else (0.0, 0.0)
+    own = mean
+    if missing and missing["filled"] and variance * missing["filled"] + missing["variance"]:
+        own = shrunk(missing["filled"], missing["mean"], missing["variance"], mean, variance)
+    return {"mean": mean, "variance": variance, "missing": own, "rows": whole["filled"] if whole else 0}
+
 
-    The statistics are landed; the driver gets two rows for each column.
+def _encodings(categories: DataFrame, state: dict) -> DataFrame:
+    """(category, n, rows, encoding) of the categories (token, n, filled, mean, variance) of one column.
+
+    ``n`` counts the labelled rows that decide, ``rows`` all; a category without labelled rows has the global mean.
     """
-    landed = land(target_tables(df, columns, target), "categories")
-    few = landed.where("whole OR category IS NULL").collect()
-    states, tables = {}, {}
-    for i, c in enumerate(columns):
-        own = {r["whole"]: r for r in few if r["position"] == i}
-        whole, missing = own.get(True), own.get(False)
-        mean, variance = (whole["mean"], whole["variance"]) if whole else (0.0, 0.0)
-
-        def encoding(r, mean=mean, variance=variance) -> float:
-            if variance * r["n"] + r["variance"] == 0:
-                return mean
-            return shrunk(r["n"], r["mean"], r["variance"], mean, variance)
-
-        states[c] = {
-            "mean": mean,
-            "missing": encoding(missing) if missing else mean,
-            "rows": whole["n"] if whole else 0,
-        }
-        n, own_mean, own_variance = F.col("n"), F.col("mean"), F.col("variance")
-        guarded = F.when(
-            F.lit(variance) * n + own_variance != 0, shrunk(n, own_mean, own_variance, F.lit(mean), F.lit(variance))
-        ).otherwise(F.lit(mean))
-        known = landed.where((F.col("position") == i) & ~F.col("whole") & F.col("category").isNotNull())
-        tables[c] = known.select("category", "n", guarded.alias("encoding"))
-    return states, tables
+    n, mean, variance = F.col("filled"), F.col("mean"), F.col("variance")
+    whole_mean, whole_variance = F.lit(state["mean"]), F.lit(state["variance"])
+    guarded = F.when(
+        (n > 0) & (whole_variance * n + variance != 0), shrunk(n, mean, variance, whole_mean, whole_variance)
+    ).otherwise(whole_mean)
+    return categories.select(
+        F.col("token").alias("category"), n.alias("n"), F.col("n").alias("rows"), guarded.alias("encoding")
+    )
 
 
 def attach_encoding(df: DataFrame, column: str, state: dict, table: DataFrame) -> DataFrame:
@@ -227,36 +204,94 @@ class FeatureEncoder(FittingStage, _EncoderParams):
         )
         self._set(**listed(self._input_kwargs))
 
-    def _fit(self, dataset: DataFrame) -> "FeatureEncoderModel":
-        label = self.value("label")
+    def present(self, df: DataFrame, role: str) -> list[str]:
+        return [c for c in self.value(role) if c in df.columns]
+
+    def asks(self, df: DataFrame) -> dict[str, Column]:
+        """The cells that fitting needs to know of ``df``."""
+        asks = {}
+        for c in self.present(df, "multilabel_cols"):
+            parts = tokens(col(c))
+            # A token that a cell repeats counts each time, but fills its column once.
+            once = F.transform(
+                parts, lambda t, i: cell(t, F.when(F.array_position(parts, t) == i + 1, F.lit(1.0)))
+            )
+            asks[f"list {c}"] = once
+        for c in self.present(df, "onehot_cols"):
+            asks[f"single {c}"] = F.filter(F.array(cell(value(df, c))), lambda x: x["token"].isNotNull())
+        by_label = self.present(df, "target_cols")
+        if by_label:
+            label = self.value("label")
+            if label not in df.columns:
+                raise ValueError(f"target encoding of {by_label} needs the label column {label}")
+            y = label_target(df, label)
+            asks["label"] = F.array(cell(None, y))
+            for c in by_label:
+                asks[f"target {c}"] = F.array(cell(value(df, c), y))
+        return asks
+
+    def bounds(self, df: DataFrame) -> dict[str, int]:
+        """How many tokens of each place come to the driver."""
+        out = {f"list {c}": self.value("top_n_countries") for c in self.present(df, "multilabel_cols")}
+        out |= {f"single {c}": self.value("max_categories") + 1 for c in self.present(df, "onehot_cols")}
+        by_label = self.present(df, "target_cols")
+        return out | {f"target {c}": 1 for c in by_label} | ({"label": 1} if by_label else {})
+
+    def model_of(self, df: DataFrame, tally: Tally, few: dict[str, list]) -> "FeatureEncoderModel":
+        """The model for ``df``, whose :meth:`asks` are tallied; ``few`` are the rows of :meth:`bounds`."""
         state: dict = {"multilabel": {}, "onehot": {}, "target": {}}
         tables: dict[str, DataFrame] = {}
-        lists = [c for c in self.value("multilabel_cols") if c in dataset.columns]
-        singles = [c for c in self.value("onehot_cols") if c in dataset.columns]
-        if lists or singles:
-            counted = land(cell_counts(dataset, lists, singles), "tokens")
-        for i, c in enumerate(lists):
-            own = counted.where(F.col("position") == i).orderBy(F.desc("n"), "token")
-            found = own.limit(self.value("top_n_countries")).collect()
-            state["multilabel"][c] = [r["token"] for r in found]
-        for i, c in enumerate(singles):
+        for c in self.present(df, "multilabel_cols"):
+            state["multilabel"][c] = [r["token"] for r in few[f"list {c}"]]
+        for c in self.present(df, "onehot_cols"):
             limit = self.value("max_categories")
-            own = counted.where(F.col("position") == len(lists) + i)
-            kind = dataset.schema[c].dataType
-            found = own.select(F.col("token").cast(kind).alias("category")).limit(limit + 1).collect()
+            found = [r["token"] for r in few[f"single {c}"]]
             if len(found) > limit:
                 raise ValueError(f"{c} has more than {limit} categories for one-hot")
-            state["onehot"][c] = sorted(r["category"] for r in found)
-        by_label = [c for c in self.value("target_cols") if c in dataset.columns]
-        if by_label:
-            if label not in dataset.columns:
-                raise ValueError(f"target encoding of {by_label} needs the label column {label}")
-            target = label_target(dataset, label)
-            state["target"], tables = learn_targets(dataset, by_label, target)
+            state["onehot"][c] = _as_values(found, df.schema[c].dataType)
+        for c in self.present(df, "target_cols"):
+            whole = few["label"][0] if few["label"] else None
+            missing = [r for r in few[f"target {c}"] if r["token"] is None]
+            state["target"][c] = _fitted_target(whole, missing[0] if missing else None)
+            known = tally.of(f"target {c}").where(F.col("token").isNotNull())
+            tables[c] = _encodings(known, state["target"][c]).where("n > 0").select("category", "n", "encoding")
         model = self.fitted_model(FeatureEncoderModel, state)
         model.tables = tables
         return model
 
+    def column_statistics(self, df: DataFrame, tally: Tally, few: dict[str, list], model: FeatureEncoderModel) -> dict:
+        """Statistics of the columns that ``model`` makes of ``df``, from what was tallied; no further pass over rows."""
+        rows = few[ROWS][0]["n"] if few[ROWS] else 0
+        out: dict[str, dict] = {}
+        for c, names in model.fitted["multilabel"].items():
+            counts = {r["token"]: r["filled"] for r in few[f"list {c}"]}
+            out |= {f"{c}_{t}": indicator_statistics(counts[t], rows) for t in names}
+        for c, names in model.fitted["onehot"].items():
+            counts = {r["token"]: r["n"] for r in few[f"single {c}"]}
+            texts = _as_values(sorted(counts), df.schema[c].dataType, keep=True)
+            out |= {f"{c}_{v}": indicator_statistics(counts[texts[v]], rows) for v in names}
+        tables, centres = {}, {}
+        for c, state in model.fitted["target"].items():
+            coded = _encodings(tally.of(f"target {c}"), state)
+            own = F.when(F.col("category").isNull(), F.lit(state["missing"])).otherwise(F.col("encoding"))
+            tables[c], centres[c] = coded.select(own.alias("value"), F.col("rows").alias("n")), state["mean"]
+        return out | weighted_statistics(tables, centres)
+
+    def _fit(self, dataset: DataFrame) -> "FeatureEncoderModel":
+        tally = Tally(dataset, self.asks(dataset))
+        return self.model_of(dataset, tally, tally.most(self.bounds(dataset)))
+
+
+def _as_values(texts: list[str], kind: T.DataType, keep: bool = False):
+    """Sorted values of ``kind`` from their texts; with ``keep`` a dictionary from value to text."""
+    read = {
+        T.BooleanType: lambda x: x == "true",
+        T.ByteType: int, T.ShortType: int, T.IntegerType: int, T.LongType: int,
+        T.FloatType: float, T.DoubleType: float,
+    }.get(type(kind), str)
+    found = {read(x): x for x in texts}
+    return found if keep else sorted(found)
+
 
 class _EncoderWriter(DefaultParamsWriter):
     def saveImpl(self, path: str) -> None:

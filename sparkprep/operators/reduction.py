@@ -71,17 +71,24 @@ class FeatureReducer(FittingStage, _ReducerParams):
         )
         self._set(**listed(self._input_kwargs))
 
-    def _fit(self, dataset: DataFrame) -> "FeatureReducerModel":
+    def columns_of(self, dataset: DataFrame) -> list[str]:
         columns = numeric_columns(dataset, self.metadata())
         if not columns:
             raise ValueError("no numeric columns for principal components")
         if len(columns) > self.value("max_columns"):
             raise ValueError(f"{len(columns)} columns exceed the {self.value('max_columns')} of one covariance")
+        return columns
+
+    def _fit(self, dataset: DataFrame) -> "FeatureReducerModel":
+        columns = self.columns_of(dataset)
         found = column_statistics(dataset, columns, {"rows": lambda v: F.count(F.lit(1)), "mean": F.avg})
-        rows = found[columns[0]]["rows"] or 0
+        means = [found[c]["mean"] if found[c]["mean"] is not None else 0.0 for c in columns]
+        return self.fit_centred(dataset, columns, means, found[columns[0]]["rows"] or 0)
+
+    def fit_centred(self, dataset: DataFrame, columns: list[str], means: list[float], rows: int) -> "FeatureReducerModel":
+        """The model of ``columns`` whose means and number of rows are known."""
         if rows < 2:
             raise ValueError("principal components need at least two rows")
-        means = [found[c]["mean"] if found[c]["mean"] is not None else 0.0 for c in columns]
         vectors = centred_vectors(dataset, columns, means, "__x").select("__x")
         pca = PCA(k=len(columns), inputCol="__x", outputCol="__pc").fit(vectors)
         ratios = [float(r) for r in pca.explainedVariance.toArray()]

@@ -37,6 +37,13 @@ def learn_scaling(
             "skew": F.skewness,
         },
     )
+    return scaling_state(df, found, columns, method, skew_threshold)
+
+
+def scaling_state(
+    df: DataFrame, found: dict[str, dict], columns: list[str], method: str, skew_threshold: float
+) -> dict[str, dict]:
+    """:func:`learn_scaling` from known statistics of the columns of ``df``, which only quartiles are read from."""
     counts = {c: found[c]["n"] or 0 for c in columns}
     quartiles = {}
     if method == "robust":

@@ -17,6 +17,7 @@ from sparkprep.operators.missing import MissingValueTransformer
 from sparkprep.operators.outliers import OutlierRemovalTransformer
 from sparkprep.operators.reduction import FeatureReducer
 from sparkprep.operators.scaling import FeatureScaler
+from sparkprep.plans.fitting import fit_stages
 from sparkprep.sources.reports import read_report, write_report
 
 
@@ -87,8 +88,8 @@ class PreprocessingPipeline:
 
     Label, split column and preserved columns stay in their rows, so nothing has to be
     aligned afterwards. Every fitted transform is a projection or filter (target encoding
-    adds a broadcast join), so fitting passes read the source columns they need and no
-    intermediate table is kept.
+    adds joins), so fitting passes read the source columns they need and no intermediate table of rows is
+    kept. Stages share passes (:mod:`sparkprep.plans.fitting`).
     """
 
     def __init__(
@@ -120,7 +121,7 @@ class PreprocessingPipeline:
         return df
 
     def fit(self, df: DataFrame) -> "PreprocessingPipeline":
-        self.model = Pipeline(stages=list(self.stages.values())).fit(self.train_rows(df))
+        self.model = fit_stages(list(self.stages.values()), self.train_rows(df))
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
