@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,55 +30,10 @@ def normal_text(token: str) -> str:
     return token.lower().strip().replace("en:", "").replace("-", " ")
 
 
-def alias_map(aliases: dict[str, str], max_aliases: int = 20_000) -> Column:
-    """First character -> (alias -> canonical name), as a literal.
-
-    A map literal is searched linearly, so the aliases are divided by first character. It becomes
-    part of the expression, so more than ``max_aliases`` are an error.
-    """
-    if len(aliases) > max_aliases:
-        raise ValueError(f"alias dimension has {len(aliases)} entries, more than {max_aliases}")
-    groups: dict[str, dict[str, str]] = defaultdict(dict)
-    for alias, name in aliases.items():
-        key = normal_text(alias)
-        if key:
-            groups[key[0]][key] = name
-    if not groups:
-        raise ValueError("alias dimension is empty")
-    pairs: list[Column] = []
-    for first, group in sorted(groups.items()):
-        inner = [F.lit(text) for pair in sorted(group.items()) for text in pair]
-        pairs += [F.lit(first), F.create_map(*inner)]
-    return F.create_map(*pairs)
-
-
-def canonical_name(token: Column, lookup: Column) -> Column:
-    """Canonical name of one raw token, NULL when the dimension does not know it.
-
-    A token it does not know as it stands is looked up without its form of state ("Kingdom of").
-    """
-
-    def found(key: Column) -> Column:
-        return F.try_element_at(F.try_element_at(lookup, F.left(key, F.lit(1))), key)
-
-    key = normal_form(token)
+def form_pattern() -> str:
+    """The form of state ("Kingdom of") that a name in normal form may begin with."""
     forms = "|".join(sorted(map(normal_text, OFFICIAL_FORMS), key=len, reverse=True))
-    return F.coalesce(found(key), found(F.regexp_replace(key, f"^(?:{forms}) ", "")))
-
-
-def clean_list(cell: Column, lookup: Column) -> Column:
-    """Normalise a comma-joined cell: resolve, drop unresolved, dedupe, sort, join.
-
-    NULL, ``unknown`` and cells without any resolved token give ``unknown``.
-    """
-    names = F.transform(F.split(cell, ","), lambda t: canonical_name(t, lookup))
-    kept = F.array_sort(F.array_distinct(F.filter(names, lambda n: n.isNotNull())))
-    joined = F.array_join(kept, ",")
-    return (
-        F.when(cell.isNull() | (cell == UNKNOWN), F.lit(UNKNOWN))
-        .when(joined == "", F.lit(UNKNOWN))
-        .otherwise(joined)
-    )
+    return f"^(?:{forms}) "
 
 
 def tokens(cell: Column) -> Column:

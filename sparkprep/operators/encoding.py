@@ -11,14 +11,10 @@ from pyspark.sql import types as T
 from sparkprep import presets
 from sparkprep.functions.columns import col, number, value
 from sparkprep.functions.text import tokens
+from sparkprep.operators.lookup import FOUND, attach
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
 from sparkprep.operators.tally import ROWS, Tally, cell, indicator_statistics, weighted_statistics
 
-# One category above this share of the fitted rows is hot; there are at most 1/share of them.
-HOT_SHARE = 0.001
-# Parts that the rows of one category are dealt to in a shuffle join.
-SALTS = 8
-
 
 def top_tokens(df: DataFrame, column: str, n: int) -> DataFrame:
     """The ``n`` most frequent tokens of a comma-joined column, equal counts by token."""
@@ -132,38 +128,13 @@ def _encodings(categories: DataFrame, state: dict) -> DataFrame:
 
 
 def attach_encoding(df: DataFrame, column: str, state: dict, table: DataFrame) -> DataFrame:
-    """Replace ``column`` by its encoding; unseen categories take the global mean.
-
-    Categories are joined by a 128-bit hash. The hot ones, whose number and so whose bytes are bounded
-    by their share, are broadcast. Spark joins the others by shuffle or, where it knows them to be small,
-    by broadcast. Rows already answered are spread over keys that match nothing, and the rows of any other key,
-    known or not, over several parts, so a category that is hot in ``df`` alone does not meet in one task.
-    """
-
-    def hashed(c: Column) -> Column:
-        return F.unhex(F.md5(c))
-
-    bound = F.lit(state["rows"] * HOT_SHARE)
-    hot = table.where(F.col("n") > bound).select(
-        hashed(F.col("category")).alias("__key"), F.col("encoding").alias("__hot")
-    )
-    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
-    cold = table.where(F.col("n") <= bound).select(
-        hashed(F.col("category")).alias("__cold_key"), F.col("encoding").alias("__cold"), salts.alias("__salt")
-    )
+    """Replace ``column`` by its encoding; unseen categories take the global mean."""
     text = value(df, column).cast("string")
-    row = F.xxhash64(*[col(c) for c in df.columns])
-    open_key = F.col("__hot").isNull() & F.col("__key").isNotNull()
-    joined = (
-        df.withColumn("__key", hashed(text))
-        .join(F.broadcast(hot), "__key", "left")
-        .withColumn("__cold_key", F.when(open_key, F.col("__key")).otherwise(F.unhex(F.hex(row))))
-        .withColumn("__salt", F.pmod(row, F.lit(SALTS)).cast("int"))
-        .join(cold, ["__cold_key", "__salt"], "left")
-    )
+    values = table.select(F.col("category").alias("key"), "n", F.col("encoding").alias("value"))
+    joined = attach(df, text, values, state["rows"])
     encoding = (
-        F.when(F.col("__key").isNull(), F.lit(state["missing"]))
-        .otherwise(F.coalesce("__hot", "__cold", F.lit(state["mean"])))
+        F.when(text.isNull(), F.lit(state["missing"]))
+        .otherwise(F.coalesce(FOUND, F.lit(state["mean"])))
         .alias(column)
     )
     return joined.select(*[encoding if c == column else col(c) for c in df.columns])

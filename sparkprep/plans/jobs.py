@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sparkprep import presets
 from sparkprep.functions.columns import col, require, value
 from sparkprep.functions.countries import country_aliases
-from sparkprep.functions.text import alias_map, clean_list
+from sparkprep.operators.dictionary import Aliases, clean_lists
 from sparkprep.operators.missing import MissingValueModel, MissingValueTransformer
 from sparkprep.operators.outliers import OutlierRemovalTransformer
 from sparkprep.operators.profile import class_distribution
@@ -105,12 +105,12 @@ def load_and_filter_data(
     return found.table
 
 
-def clean_countries(
-    df: DataFrame, column: str = "countries", aliases: dict[str, str] | None = None
-) -> DataFrame:
-    """Canonical, sorted, deduplicated country lists in place of the raw cells."""
-    known = aliases if aliases is not None else country_aliases(df.sparkSession)
-    return df.withColumn(column, clean_list(col(column), alias_map(known)))
+def clean_countries(df: DataFrame, column: str = "countries", aliases: Aliases | None = None) -> DataFrame:
+    """Canonical, sorted, deduplicated country lists in place of the raw cells.
+
+    ``aliases`` is a table (alias, name) or a dictionary; by default that of :func:`country_aliases`.
+    """
+    return clean_lists(df, column, country_aliases(df.sparkSession) if aliases is None else aliases)
 
 
 def drop_wide_text(df: DataFrame, columns: Sequence[str], bound: int = 10_000) -> DataFrame:
@@ -144,7 +144,7 @@ def preprocess(
     label: str = presets.LABEL,
     key: Sequence[str] = ("code",),
     countries: str | None = "countries",
-    aliases: dict[str, str] | None = None,
+    aliases: Aliases | None = None,
     redundant: Sequence[str] = tuple(presets.REDUNDANT),
     wide_text: Sequence[str] = tuple(presets.WIDE_TEXT),
     wide_text_bound: int = 10_000,

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from sparkprep.functions import text
 from sparkprep.functions.columns import col
-from sparkprep.functions.countries import country_aliases
+from sparkprep.functions.countries import country_aliases, country_table
 from sparkprep.operators import encoding, outliers, scaling
 from sparkprep.operators.derived import FeatureEngineer
+from sparkprep.operators.dictionary import resolve_tokens
 from sparkprep.operators.encoding import FeatureEncoder
 from sparkprep.operators.missing import MissingValueTransformer
 from sparkprep.operators.outliers import OutlierRemovalTransformer
@@ -338,10 +339,40 @@ def clean_multivalue(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT raw, any_value(name) AS name, COUNT(*) AS n FROM raw GROUP BY raw""",
 )
 def country_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lookup = text.alias_map(country_aliases(spark))
-    raw = raw_cells(spark, sf_dir).select(F.explode(F.split("cell", ",")).alias("raw"))
-    counted = raw.groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select("raw", text.canonical_name(F.col("raw"), lookup).alias("name"), "n")
+    raw = raw_cells(spark, sf_dir).select(F.explode(F.split("cell", ",")).alias("token"))
+    counted = raw.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    known = resolve_tokens(counted, country_aliases(spark)).select("token", "name")
+    return counted.join(known, "token", "left").select(F.col("token").alias("raw"), "name", "n")
+
+
+# Numeric codes that some cells hold, of states and of territories, and the names they resolve to.
+NUMERIC_CODES = {
+    "004": "Afghanistan", "010": "Antarctica", "016": "American Samoa", "020": "Andorra", "060": "Bermuda",
+    "090": "Solomon Islands", "136": "Cayman Islands", "162": "Christmas Island", "175": "Mayotte",
+    "184": "Cook Islands", "234": "Faroe Islands", "254": "French Guiana", "258": "French Polynesia",
+    "292": "Gibraltar", "304": "Greenland", "312": "Guadeloupe", "316": "Guam", "474": "Martinique",
+    "500": "Montserrat", "533": "Aruba", "540": "New Caledonia", "548": "Vanuatu", "570": "Niue",
+    "574": "Norfolk Island", "580": "Northern Mariana Islands", "584": "Marshall Islands", "585": "Palau",
+    "630": "Puerto Rico", "660": "Anguilla", "732": "Western Sahara", "772": "Tokelau", "798": "Tuvalu",
+    "831": "Guernsey", "832": "Jersey", "833": "Isle of Man", "894": "Zambia", "999": None, "000": None,
+}
+
+
+@registered(
+    "country_numeric_codes",
+    f"""WITH codes(raw, name) AS (VALUES {_values(list(NUMERIC_CODES.items()))}),
+cells AS (SELECT l_orderkey, lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') AS raw FROM lineitem)
+SELECT l_orderkey AS code, coalesce(string_agg(DISTINCT name, ',' ORDER BY name), 'unknown') AS countries
+FROM cells JOIN codes USING (raw) GROUP BY l_orderkey""",
+)
+def country_numeric_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of numeric codes, one per order line, resolved by the alias table as it is kept between runs."""
+    path = run_path(spark, "countries")
+    country_table(spark).write.parquet(path)
+    code = F.lpad((F.col("l_partkey") % 1000).cast("string"), 3, "0")
+    lines = table(spark, sf_dir, "lineitem").where(code.isin(list(NUMERIC_CODES)))
+    cells = lines.groupBy(F.col("l_orderkey").alias("code")).agg(F.array_join(F.collect_list(code), ",").alias("countries"))
+    return jobs.clean_countries(cells, aliases=spark.read.parquet(path))
 
 
 @registered(

@@ -220,20 +220,3 @@ OFFICIAL_FORMS = [
     "Union of",
     "United Republic of",
 ]
-
-# Numeric ISO 3166 codes of the larger states; others can be passed as aliases.
-ISO_NUMERIC_CODES = (
-    "AF 4 AL 8 DZ 12 AD 20 AO 24 AZ 31 AR 32 AU 36 AT 40 BS 44 BH 48 BD 50 AM 51 BB 52 BE 56 BT 64 BO 68 BA 70 "
-    "BW 72 BR 76 BZ 84 BN 96 BG 100 MM 104 BI 108 BY 112 KH 116 CM 120 CA 124 CV 132 CF 140 LK 144 TD 148 CL 152 "
-    "CN 156 TW 158 CO 170 KM 174 CG 178 CD 180 CR 188 HR 191 CU 192 CY 196 CZ 203 BJ 204 DK 208 DM 212 DO 214 "
-    "EC 218 SV 222 GQ 226 ET 231 ER 232 EE 233 FJ 242 FI 246 FR 250 DJ 262 GA 266 GE 268 GM 270 PS 275 DE 276 "
-    "GH 288 KI 296 GR 300 GD 308 GT 320 GN 324 GY 328 HT 332 VA 336 HN 340 HK 344 HU 348 IS 352 IN 356 ID 360 "
-    "IR 364 IQ 368 IE 372 IL 376 IT 380 CI 384 JM 388 JP 392 KZ 398 JO 400 KE 404 KP 408 KR 410 KW 414 KG 417 "
-    "LA 418 LB 422 LS 426 LV 428 LR 430 LY 434 LI 438 LT 440 LU 442 MO 446 MG 450 MW 454 MY 458 MV 462 ML 466 "
-    "MT 470 MR 478 MU 480 MX 484 MC 492 MN 496 MD 498 ME 499 MA 504 MZ 508 OM 512 NA 516 NR 520 NP 524 NL 528 "
-    "NZ 554 NI 558 NE 562 NG 566 NO 578 PK 586 PA 591 PG 598 PY 600 PE 604 PH 608 PL 616 PT 620 GW 624 TL 626 "
-    "PR 630 QA 634 RO 642 RU 643 RW 646 SM 674 ST 678 SA 682 SN 686 RS 688 SC 690 SL 694 SG 702 SK 703 VN 704 "
-    "SI 705 SO 706 ZA 710 ZW 716 ES 724 SS 728 SD 729 SR 740 SZ 748 SE 752 CH 756 SY 760 TJ 762 TH 764 TG 768 "
-    "TO 776 TT 780 AE 784 TN 788 TR 792 TM 795 UG 800 UA 804 MK 807 EG 818 GB 826 TZ 834 US 840 BF 854 UY 858 "
-    "UZ 860 VE 862 WS 882 YE 887 ZM 894"
-).split()

@@ -1,5 +1,6 @@
 """Hand-computed fixtures for missing values, filters, derived columns and scaling."""
 
+import collections
 import math
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sparkprep.functions import text
 from sparkprep.functions.countries import country_aliases
+from sparkprep.operators.dictionary import clean_lists
 from sparkprep.operators import outliers, profile, scaling
 from sparkprep.operators.derived import FeatureEngineer
 from sparkprep.operators.encoding import FeatureEncoder, top_tokens
@@ -241,19 +243,50 @@ def test_target_encoding_without_spread_or_label(spark):
 
 
 def test_country_cells(spark):
-    lookup = text.alias_map(country_aliases(spark))
     cells = [
         "France, en:us,germany,france", "atlantis", "", None, "unknown", " en:de ,DEU,Deutschland",
         "usa,republic of korea", "south korea",
     ]
-    df = spark.createDataFrame([(c,) for c in cells], "c string")
-    got = values(df.select(text.clean_list(F.col("c"), lookup).alias("c")), "c")
+    df = spark.createDataFrame(list(enumerate(cells)), "i long, c string")
+    got = values(clean_lists(df, "c", country_aliases(spark)).orderBy("i"), "c")
     assert got == [
         "France,Germany,United States", "unknown", "unknown", "unknown", "unknown", "Germany",
         "South Korea,United States", "South Korea",
     ]
 
 
+def test_every_code_of_a_country_gives_its_name(spark):
+    """Two letters, three letters and the number, with and without leading zeros, of all countries."""
+    locale, region = spark._jvm.java.util.Locale, spark._jvm.com.ibm.icu.util.Region
+    rows = []
+    for code in locale.getISOCountries():
+        number = region.getInstance(code).getNumericCode()
+        rows += [(code, t) for t in (code, locale("", code).getISO3Country(), str(number), f"{number:03d}")]
+    df = spark.createDataFrame(rows, "code string, cell string")
+    names = collections.defaultdict(set)
+    for r in clean_lists(df, "cell", country_aliases(spark)).collect():
+        names[r["code"]].add(r["cell"])
+    assert len(names) == 249 and all(len(n) == 1 and "unknown" not in n for n in names.values())
+    assert names["BM"] == {"Bermuda"} and names["MH"] == {"Marshall Islands"}
+
+
+def test_cells_with_a_large_alias_table_and_a_hot_cell(spark):
+    """More aliases than any literal could hold; a third of all rows hold one cell."""
+    aliases = spark.range(60_000).select(
+        F.concat(F.lit("Alias-"), "id").alias("alias"), F.concat(F.lit("name "), F.col("id") % 50).alias("name")
+    )
+    cell = F.when(F.col("id") % 3 == 0, "alias 7,en:alias 57, nothing").otherwise(
+        F.concat(F.lit("ALIAS "), F.col("id"), F.lit(",kingdom of alias "), F.col("id") + 1)
+    )
+    df = spark.range(3000).select("id", cell.alias("c"), F.lit(1).alias("n"), F.lit("x").alias("value"))
+    found = {r["id"]: r["c"] for r in clean_lists(df, "c", aliases).collect()}
+    for i in range(3000):
+        wanted = {"name 7"} if i % 3 == 0 else {f"name {i % 50}", f"name {(i + 1) % 50}"}
+        assert found[i] == ",".join(sorted(wanted))
+    assert clean_lists(df.limit(0), "c", aliases).count() == 0
+    assert clean_lists(df, "c", aliases).columns == df.columns
+
+
 def test_normal_form_order(spark):
     df = spark.createDataFrame([(" EN:Saint-Lucia ",), ("en: x",)], "c string")
     assert values(df.select(text.normal_form(F.col("c")).alias("c")), "c") == ["saint lucia", " x"]
