@@ -465,8 +465,12 @@ def fit(
     apart = last.select("label").distinct().count() == 2 and fewest >= least_to_calibrate
     learner = GBTClassifier(labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.2, minInstancesPerNode=5, seed=11)
     forest = learner.fit(rows.where(F.col("fold") < FOLDS - 1) if apart else rows)
-    raw = _margins(forest, last if apart else rows)
-    return Model(lexicons[-1], forest, IsotonicRegression(labelCol="label", featuresCol="margin").fit(raw))
+    # Equal margins, of which there are many, are one point with a weight.
+    raw = _margins(forest, last if apart else rows).groupBy("margin").agg(
+        F.avg("label").alias("label"), F.count("*").cast("double").alias("n")
+    )
+    calibration = IsotonicRegression(labelCol="label", featuresCol="margin", weightCol="n").fit(raw)
+    return Model(lexicons[-1], forest, calibration)
 
 
 def _margins(forest: GBTClassificationModel, rows: DataFrame) -> DataFrame:
