@@ -16,14 +16,16 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkprep.functions.columns import col, number
+from sparkprep.workspace import land
 
 #: A gap with at most so many rows is sorted in one buffer; it bounds that buffer.
 INSIDE_ROWS = 20_000
+#: Open gaps that are sent to every task; more are joined by hash, the values of a group in so many parts.
+BROADCAST_GAPS, PARTS = 20_000, 8
 GRID = 2_000
 ACCURACY = 10_000
 
@@ -186,52 +188,128 @@ def exact_quantiles(
     return result
 
 
+def _by_group(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
+    """(g, place, v) of every value."""
+    rows = df.select(col(by).alias("g"), F.posexplode(_values(df, columns)).alias("place", "v"))
+    return rows.where("v IS NOT NULL")
+
+
+def _in_gaps(values: DataFrame, gaps: DataFrame, *carried: str) -> DataFrame:
+    """(gap, v, carried columns) of the values strictly inside each gap.
+
+    A bounded number of gaps is sent to the tasks. More are joined by hash, with the values of one group
+    dealt to several parts, so that a group of any size does not meet in one task.
+    """
+    few = gaps.limit(BROADCAST_GAPS + 1).count() <= BROADCAST_GAPS
+    own = gaps.select(F.col("g").alias("gap_g"), F.col("place").alias("gap_place"), "gap", "low", "high", *carried)
+    same = F.col("g").eqNullSafe(F.col("gap_g")) & (F.col("place") == F.col("gap_place"))
+    if few:
+        met = values.join(F.broadcast(own), same)
+    else:
+        own = own.withColumn("gap_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        dealt = values.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(PARTS)).cast("int"))
+        met = dealt.join(own, same & (F.col("part") == F.col("gap_part")))
+    above = F.col("low").isNull() | (F.col("v") > F.col("low"))
+    below = F.col("high").isNull() | (F.col("v") < F.col("high"))
+    return met.where(above & below).select("gap", "v", *carried)
+
+
+def _few_rows(values: DataFrame, gaps: DataFrame) -> DataFrame:
+    """(g, place, rank, v) of gaps with few rows, by sorting these."""
+    ordered = _in_gaps(values, gaps).groupBy("gap").agg(F.sort_array(F.collect_list("v")).alias("vs"))
+    found = F.transform(
+        "ranks", lambda r: F.struct(r["of"].alias("rank"), F.get(F.col("vs"), r["at"].cast("int")).alias("v"))
+    )
+    return ordered.join(gaps, "gap").select("g", "place", F.inline(found))
+
+
+def _narrowed(values: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Where the ranks of gaps with many rows fall: at a value (``v``), or in a smaller gap.
+
+    (g, place, rank, v, at, low, high, rows): of a rank that is not found yet, its rank ``at`` within the gap.
+    """
+    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    sketched = _in_gaps(values, gaps).groupBy("gap").agg(F.percentile_approx("v", grid, ACCURACY).alias("sketch"))
+    place = F.transform("ranks", lambda r: r["at"] / F.greatest(F.col("rows") - 1, F.lit(1)) * GRID)
+    below = F.transform(place, lambda x: F.greatest(F.floor(x) - 1, F.lit(0)))
+    above = F.transform(place, lambda x: F.least(F.ceil(x) + 1, F.lit(GRID)))
+    picked = F.transform(F.concat(below, above), lambda i: F.get(F.col("sketch"), i.cast("int")))
+    bounded = gaps.join(sketched, "gap").withColumn("bounds", F.array_sort(F.array_distinct(picked))).drop("sketch")
+    bounded = land(bounded, "quantile-bounds")
+    # Even slots lie between bounds, odd ones at a bound.
+    slot = 2 * F.size(F.filter("bounds", lambda b: b < F.col("v"))) + F.array_contains("bounds", F.col("v")).cast("int")
+    counted = _in_gaps(values, bounded, "bounds").groupBy("gap", slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("gap").orderBy("slot")) - F.col("n")
+    slots = counted.withColumn("before", before)
+    ranks = bounded.select("gap", "g", "place", "low", "high", "bounds", F.inline("ranks"))
+    met = ranks.join(slots, "gap").where((F.col("at") >= F.col("before")) & (F.col("at") < F.col("before") + F.col("n")))
+    half = F.floor(F.col("slot") / 2).cast("int")
+    return met.select(
+        "g",
+        "place",
+        F.col("of").alias("rank"),
+        F.when(F.col("slot") % 2 == 1, F.get("bounds", half)).alias("v"),
+        (F.col("at") - F.col("before")).alias("at"),
+        F.when(half > 0, F.get("bounds", half - 1)).otherwise(F.col("low")).alias("low"),
+        F.coalesce(F.get("bounds", half), F.col("high")).alias("high"),
+        F.col("n").alias("rows"),
+    )
+
+
 def exact_quantiles_by(
-    df: DataFrame,
-    by: str,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    max_groups: int = 100_000,
+    df: DataFrame, by: str, columns: Sequence[str], probabilities: Sequence[float]
 ) -> DataFrame:
     """Quantiles per group, one row per (group, column): ``by``, ``column``, ``quantiles``.
 
-    All groups share the rounds of one search, whatever their sizes. The driver holds a few numbers for each
-    group, so more than ``max_groups`` are an error.
+    All groups share the rounds of one search, whatever their number and sizes: what is open is a table of gaps by
+    group and column, landed each round, and nothing about a group reaches the driver. A group or column
+    without values has null quantiles.
     """
-    spark, kind = df.sparkSession, df.schema[by].dataType
-    sizes = df.groupBy(col(by).alias("__group")).agg(
-        *[F.count(number(df, c)).alias(f"c{i}") for i, c in enumerate(columns)]
-    )
-    rows = sizes.limit(max_groups + 1).collect()
-    if len(rows) > max_groups:
-        raise ValueError(f"{by} has more than {max_groups} groups")
-    width = len(columns)
-    numbered = spark.createDataFrame(
-        [(r["__group"], i) for i, r in enumerate(rows)],
-        T.StructType([T.StructField("__key", kind), T.StructField("__number", T.LongType())]),
+    counts = [F.count(number(df, c)).alias(f"c{i}") for i, c in enumerate(columns)]
+    sizes = df.groupBy(col(by).alias("g")).agg(*counts)
+    sizes = sizes.select("g", F.posexplode(F.array(*[F.col(f"c{i}") for i in range(len(columns))])).alias("place", "n"))
+    sizes = land(sizes, "group-sizes")
+    values = _by_group(df, by, columns)
+
+    place = [F.lit(p) * (F.col("n") - 1) for p in probabilities]
+    wanted = F.array_distinct(F.array(*[f(x).cast("long") for x in place for f in (F.floor, F.ceil)]))
+    no_bound = F.lit(None).cast("double")
+    gaps = sizes.where("n > 0").select(
+        F.monotonically_increasing_id().alias("gap"),
+        "g",
+        "place",
+        no_bound.alias("low"),
+        no_bound.alias("high"),
+        F.col("n").alias("rows"),
+        F.transform(wanted, lambda r: F.struct(r.alias("at"), r.alias("of"))).alias("ranks"),
     )
-    counts = {
-        i * width + j: r[f"c{j}"] for i, r in enumerate(rows) for j in range(width) if r[f"c{j}"]
-    }
-    found: dict[int, list[float]] = {}
-    if counts:
-        keyed = df.select(col(by).alias("__group"), F.posexplode(_values(df, columns)).alias("__place", "v"))
-        # At most ``max_groups`` rows.
-        keyed = keyed.where("v IS NOT NULL").join(
-            F.broadcast(numbered), F.col("__group").eqNullSafe(F.col("__key"))
+    answers = None
+    while True:
+        gaps = land(gaps, "quantile-gaps")
+        few, many = (gaps.where(F.col("rows") <= INSIDE_ROWS), gaps.where(F.col("rows") > INSIDE_ROWS))
+        found = land(_few_rows(values, few), "quantile-answers")
+        answers = found if answers is None else answers.unionByName(found)
+        if many.isEmpty():
+            break
+        narrowed = land(_narrowed(values, many), "quantile-ranks")
+        answers = answers.unionByName(narrowed.where("v IS NOT NULL").select("g", "place", "rank", "v"))
+        left = narrowed.where("v IS NULL").groupBy("g", "place", "low", "high").agg(
+            F.max("rows").alias("rows"), F.collect_list(F.struct("at", F.col("rank").alias("of"))).alias("ranks")
         )
-        cells = keyed.select((F.col("__number") * width + F.col("__place")).alias("cell"), "v")
-        found = _quantiles_of_cells(cells, counts, probabilities)
-    out = [
-        (r["__group"], c, found.get(i * width + j, [None] * len(probabilities)))
-        for i, r in enumerate(rows)
-        for j, c in enumerate(columns)
-    ]
-    schema = T.StructType(
-        [
-            T.StructField(by, kind),
-            T.StructField("column", T.StringType()),
-            T.StructField("quantiles", T.ArrayType(T.DoubleType())),
-        ]
+        gaps = left.select(F.monotonically_increasing_id().alias("gap"), "g", "place", "low", "high", "rows", "ranks")
+
+    listed = F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at")
+    known = answers.groupBy(F.col("g").alias("own"), F.col("place").alias("own_place")).agg(listed)
+    same = F.col("g").eqNullSafe(F.col("own")) & (F.col("place") == F.col("own_place"))
+
+    def between(x: Column) -> Column:
+        low, high = (F.try_element_at("at", f(x).cast("long")) for f in (F.floor, F.ceil))
+        rest = x - F.floor(x)
+        return F.when(low == high, low).otherwise((F.lit(1.0) - rest) * low + rest * high)
+
+    names = F.array(*[F.lit(c) for c in columns])
+    return sizes.join(known, same, "left").select(
+        F.col("g").alias(by),
+        F.get(names, F.col("place")).alias("column"),
+        F.array(*[between(x) for x in place]).alias("quantiles"),
     )
-    return spark.createDataFrame(out, schema)

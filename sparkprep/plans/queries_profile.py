@@ -402,3 +402,16 @@ def quantiles_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
         found.select("l_suppkey", F.inline(F.arrays_zip(places.alias("p"), F.col("quantiles").alias("quantile"))))
     )
+
+
+@registered(
+    "quantiles_by_order",
+    """SELECT l_orderkey, round(quantile_cont(l_extendedprice, 0.25), 6) AS q1,
+  round(quantile_cont(l_extendedprice, 0.5), 6) AS median,
+  round(quantile_cont(l_extendedprice, 0.75), 6) AS q3 FROM lineitem GROUP BY l_orderkey""",
+)
+def quantiles_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many groups as orders."""
+    found = exact_quantiles_by(table(spark, sf_dir, "lineitem"), "l_orderkey", ["l_extendedprice"], [0.25, 0.5, 0.75])
+    names = ["q1", "median", "q3"]
+    return rounded(found.select("l_orderkey", *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(names)]))

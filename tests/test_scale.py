@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sparkprep.operators import encoding, quantiles
+from sparkprep.operators import lookup, quantiles, tally
 from sparkprep.operators.encoding import FeatureEncoder
 
 
@@ -75,9 +75,23 @@ def test_many_large_groups_share_the_rounds(spark, monkeypatch):
     assert counts[1] <= counts[0] + 8
 
 
+def test_two_hundred_thousand_groups(spark, monkeypatch):
+    """Many small groups and a few large ones, by hash joins; nothing of a group is collected."""
+    monkeypatch.setattr(quantiles, "BROADCAST_GAPS", 100)
+    monkeypatch.setattr(quantiles, "INSIDE_ROWS", 500)
+    g = F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 97 == 1, F.lit(None)).otherwise(F.col("id") % 200_000)
+    x = F.when(F.col("id") % 11 != 0, (F.col("id") * 7919 % 10_007).cast("double"))
+    df = spark.range(900_000).select(g.cast("long").alias("g"), x.alias("x"))
+    found = quantiles.exact_quantiles_by(df, "g", ["x"], [0.25, 0.5, 1.0])
+    wanted = df.groupBy("g").agg(*[F.percentile("x", p).alias(f"p{i}") for i, p in enumerate((0.25, 0.5, 1.0))])
+    rows = found.select("g", *[F.get("quantiles", F.lit(i)).alias(f"p{i}") for i in range(3)])
+    assert rows.count() == wanted.count() > 190_000
+    assert rows.exceptAll(wanted).isEmpty()
+
+
 def test_skewed_categories(spark, monkeypatch):
     """Hot, rare, missing and unseen categories; the hot unseen one is dealt to several parts."""
-    monkeypatch.setattr(encoding, "HOT_SHARE", 0.1)
+    monkeypatch.setattr(lookup, "HOT_SHARE", 0.1)
     df = spark.range(5000).select(
         F.when(F.col("id") < 2000, "hot")
         .when(F.col("id") < 4900, F.concat(F.lit("c"), F.col("id") % 300))
@@ -120,7 +134,7 @@ def test_fit_passes_do_not_grow_with_the_columns(spark):
         F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("y"),
     )
     scanned = []
-    original = encoding.land
+    original = tally.land
 
     def counted(frame, name):
         scanned.append(name)
@@ -129,7 +143,7 @@ def test_fit_passes_do_not_grow_with_the_columns(spark):
     def fit(n):
         scanned.clear()
         with pytest.MonkeyPatch.context() as patch:
-            patch.setattr(encoding, "land", counted)
+            patch.setattr(tally, "land", counted)
             FeatureEncoder(
                 multilabel_cols=[f"l{i}" for i in range(n)],
                 onehot_cols=[f"s{i}" for i in range(n)],
@@ -139,7 +153,7 @@ def test_fit_passes_do_not_grow_with_the_columns(spark):
             ).fit(df)
         return list(scanned)
 
-    assert fit(1) == fit(4) == ["tokens", "categories"]
+    assert fit(1) == fit(4) == ["tally"]
 
 
 def test_transform_of_a_fitted_chain_shuffles_nothing(spark, small):
