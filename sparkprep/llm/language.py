@@ -1,7 +1,7 @@
 """Language identification with a string kernel, Nystroem landmarks and kernel ridge regression.
 
-A text is the set of its distinct runs of one to three letters (blended spectrum, presence). The
-kernel of two texts is the size of the intersection over the geometric mean of the sizes. Landmark texts
+A text is the set of its distinct runs of one to three bytes of lower-cased letters, everything else being one space
+(blended spectrum, presence); runs are told apart by ``BUCKETS`` hash values. The kernel of two texts is the size of the intersection over the geometric mean of the sizes. Landmark texts
 span the kernel's space; ridge regression, one class against the rest, gives the weights of
 the landmarks. A block of texts is scored by two matrix products.
 """
@@ -22,6 +22,7 @@ from sparkprep.llm.words import BLOCK, blocks, mix
 
 GRAMS = (1, 2, 3)
 BUCKETS = 8192
+ROWS = 400  #: texts of one matrix, which bounds its memory to 13 MB
 UNKNOWN = "und"
 
 _SPACE = np.ones(256, dtype=bool)
@@ -35,7 +36,13 @@ class Model(NamedTuple):
 
 
 def presence(column: pa.Array, size: int = BLOCK) -> Iterator[tuple[int, np.ndarray]]:
-    """(first text, texts by buckets as 0 and 1) for each block of whole texts."""
+    """(first text, texts by buckets as 0 and 1) for each block of whole texts, ``ROWS`` at most."""
+    for begin in range(0, len(column), ROWS):
+        for first, x in _presence(column.slice(begin, ROWS), size):
+            yield begin + first, x
+
+
+def _presence(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
     lowered = pc.utf8_lower(column.cast(pa.large_string()))
     for first, data, texts in blocks(lowered, size):
         space = _SPACE[data]
@@ -131,20 +138,20 @@ def scores(model: Model, column: pa.Array) -> Iterator[np.ndarray]:
         yield (_scaled(x) @ model.landmarks.T) @ model.weights
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` (text) with lang_pred and score, from the text alone.
+def predict(docs: DataFrame, model: Model | None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` (text) with lang_pred and score, or columns of other ``names``, from the text alone.
 
     ``lang_pred`` is the language with the largest regression value (equal ones: the first by code
     point) and ``score`` that value cut to 0..1. A null text or one without a letter is ``und`` with
-    score 0, as is every text where there is no model. Other columns are kept; they may not
-    be named lang_pred or score (those are replaced).
+    score 0, as is every text where there is no model. Other columns are kept; those called as ``names`` are
+    replaced. Rows that repeat are predicted each; an empty table gives no rows.
     """
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    docs = docs.select(*kept)
+    kept = [c for c in docs.columns if c not in names]
+    docs = docs.select(*[F.col(f"`{c}`") for c in kept])
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return docs.withColumns({names[0]: F.lit(UNKNOWN), names[1]: F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.schema.add("__letter", "boolean").add("lang_pred", "string").add("score", "double")
+    schema = docs.schema.add("__letter", "boolean").add(names[0], "string").add(names[1], "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -155,25 +162,27 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             value = np.concatenate(list(scores(model, batch.column("text"))))
             best = value.argmax(axis=1)
             top = np.clip(value[np.arange(len(best)), best], 0, 1).astype(np.float64)
-            names = np.array([*model.languages, UNKNOWN], dtype=object)
+            languages = np.array([*model.languages, UNKNOWN], dtype=object)
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,
-                    pa.array(names[np.where(letter, best, len(model.languages))], pa.string()),
+                    pa.array(languages[np.where(letter, best, len(model.languages))], pa.string()),
                     pa.array(np.where(letter, top, 0.0)),
                 ],
-                [*batch.schema.names, "lang_pred", "score"],
+                [*batch.schema.names, *names],
             )
 
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return docs.withColumn("__letter", letter).mapInArrow(run, schema).drop("__letter")
 
 
-def identify_languages(docs: DataFrame, folds: int = 5, **options) -> DataFrame:
-    """``docs`` (doc_id, text, lang) with held_out, lang_pred and score.
+def identify_languages(
+    docs: DataFrame, folds: int = 5, names: tuple[str, str, str] = ("held_out", "lang_pred", "score"), **options
+) -> DataFrame:
+    """``docs`` (doc_id, text, lang) with held_out, lang_pred and score, or columns of other ``names``.
 
     Rows whose CRC-32 of doc_id is divisible by ``folds`` are never learned from. ``lang`` is read
-    for learning only.
+    for learning only. Nulls, ties, repeated rows and empty tables: as :func:`predict` says.
     """
     model = fit(docs.where(~held_out(F.col("doc_id"), folds)).select("doc_id", "text", "lang"), **options)
-    return predict(docs.withColumn("held_out", held_out(F.col("doc_id"), folds)), model)
+    return predict(docs.withColumn(names[0], held_out(F.col("doc_id"), folds)), model, names[1:])

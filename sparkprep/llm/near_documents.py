@@ -188,20 +188,32 @@ def drop_near_documents(
 ) -> DataFrame:
     """``docs`` with one document of each group of near copies, the one with the smallest doc_id.
 
-    Columns and order of columns are kept. A document is told by doc_id and text: rows equal in both stay or
-    go together. Null and empty texts all stay.
+    Columns and order of columns are kept. A document is told by doc_id and text; of rows equal in both one stays,
+    the smallest by the other columns. Null and empty texts all stay.
     """
+    scratch = Scratch(docs.sparkSession, "near-documents")
     found = _grouped(docs, percent, k, registers, rows).where("n_shingles > 0")
-    found = Scratch(docs.sparkSession, "near-documents").keep(found.select("doc_id", "row", "root"), "groups")
+    found = scratch.keep(found.select("doc_id", "row", "root"), "groups")
     place = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
-    first = found.groupBy("root").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = first.where("first <> last").select("root", "first")
-    gone = found.join(first, "root").where(place != F.col("first")).select(
-        F.col("doc_id").alias("__doc_id"), F.col("row").alias("__row")
+    first = found.groupBy("root").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    several = found.join(first.where("n > 1").select("root", "first"), "root").withColumn("stays", place == F.col("first"))
+    marks = several.groupBy("doc_id", "row").agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
+    marks = marks.where("NOT stays OR n > 1").select(
+        F.col("doc_id").alias("__doc_id"), F.col("row").alias("__row"), F.col("stays").alias("__stays")
     )
+    marks = scratch.keep(marks, "marks")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc_id"))
-    return docs.join(
-        gone.hint("merge"), same & (F.xxhash64(F.col("text").cast("string")) == F.col("__row")), "left_anti"
+    same = same & (F.xxhash64(F.col("text").cast("string")) == F.col("__row"))
+    out = docs.join(marks.hint("merge"), same, "left_anti")
+    if marks.where("__stays").isEmpty():
+        return out
+    # Repeated rows, of which one stays: merged in each task before they meet.
+    again = docs.join(marks.where("__stays").hint("merge"), same, "left_semi")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    others = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.struct(F.lit(0).alias("none"))
+    one = again.groupBy("doc_id", "text").agg(F.min(others).alias("__rest"))
+    return out.unionByName(
+        one.select(*[F.col("__rest")[c].alias(c) if c in rest else F.col(c) for c in docs.columns])
     )
 
 

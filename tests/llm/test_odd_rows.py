@@ -139,6 +139,11 @@ def test_near_documents(odd):
     assert kept.columns == odd.columns
     ids = sorted((r["doc_id"] for r in kept.collect()), key=str)
     assert ids == sorted([1, 3, 4, 5, 6, 7, 8, None, -10], key=str)
+    twice = drop_near_documents(odd.where("doc_id <> 1").unionByName(odd)).where("doc_id = 1").collect()
+    assert len(twice) == 1  # wholly repeated rows are copies too
+    one = drop_near_documents(odd.where("doc_id = 2")).collect()
+    assert [(r["doc_id"], r["score"]) for r in one] == [(2, 1.0)]  # the smallest by its other columns
+    assert drop_near_documents(odd.where("doc_id = 2").select("text", "doc_id")).count() == 1
 
 
 def test_repeated_passages(odd):
@@ -211,6 +216,10 @@ def test_languages(odd):
             assert (r["lang_pred"], r["score"]) == ("und", 0.0)
         else:
             assert r["lang_pred"] in ("en", "de") and 0 <= r["score"] <= 1
+    own = identify_languages(odd, names=("h", "l", "s"))
+    assert own.columns == [*odd.columns, "h", "l", "s"]
+    assert rows(own.select("doc_id", "score")) == rows(odd.select("doc_id", "score"))
+    assert rows(own.select("doc_id", "l", "s")) == rows(done.select("doc_id", "lang_pred", "score"))
     none = identify_languages(odd.withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in none.collect()} == {"und"}
 
