@@ -42,12 +42,24 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[r6(col(c)).alias(c) if c in doubles else col(c) for c in df.columns])
 
 
-_landed: dict[tuple[str, str, str], DataFrame] = {}
+_landed: dict[tuple, DataFrame] = {}
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, size and time of every file of the input tables."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def landed_once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """A table that several queries start from, landed once for each session and input."""
-    place = (spark.sparkContext.applicationId, sf_dir, name)
+    """A table that several queries start from, landed once for each session and state of the input."""
+    place = (spark.sparkContext.applicationId, input_state(spark, sf_dir), name)
     if place not in _landed:
         _landed[place] = land(make(), name)
     return _landed[place]

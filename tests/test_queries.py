@@ -51,3 +51,16 @@ def test_every_sql_belongs_to_a_query():
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns[:2] == ["grade", "n"] and df.count() == 5
+
+
+def test_changed_input_gives_changed_rows_in_one_session(spark, small, tmp_path):
+    from sparkprep.plans.product_features import product_features, table
+
+    for name in ("nation", "supplier", "customer", "lineitem", "orders"):
+        table(spark, small, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    shared = lambda: registry.landed_once(spark, str(tmp_path), "x", lambda: product_features(spark, str(tmp_path)))
+    before = shared().count()
+    assert shared().count() == before
+    half = table(spark, small, "orders").where("o_orderkey % 2 = 0")
+    half.write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+    assert 0 < shared().count() < before
