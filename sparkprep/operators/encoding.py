@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from sparkprep import presets
 from sparkprep.functions.columns import col, number, value
 from sparkprep.functions.text import tokens
+from sparkprep.operators.frequent import most_frequent
 from sparkprep.operators.lookup import FOUND, attach
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
 from sparkprep.operators.tally import ROWS, Tally, cell, indicator_statistics, weighted_statistics
@@ -27,6 +28,11 @@ def top_tokens(df: DataFrame, column: str, n: int) -> DataFrame:
     )
 
 
+def frequent_tokens(df: DataFrame, column: str, n: int) -> DataFrame:
+    """:func:`top_tokens` for columns with very many tokens: these are summarised per task, not shuffled."""
+    return most_frequent(df.select(F.explode(tokens(col(column))).alias("token")), n)
+
+
 def categories(df: DataFrame, column: str) -> DataFrame:
     """Distinct non-null values, sorted."""
     values = df.select(value(df, column).alias("category")).where("category IS NOT NULL")

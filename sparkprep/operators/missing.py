@@ -21,12 +21,12 @@ from sparkprep.functions.columns import (
 )
 from sparkprep.functions.statistics import presence
 from sparkprep.functions.text import UNKNOWN
-from sparkprep.operators.quantiles import exact_quantiles
+from sparkprep.operators.quantiles import column_quantiles
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
 
 
 def learn_imputation(
-    df: DataFrame, label: str, skip: set[str], threshold: float, zero_fill: list[str]
+    df: DataFrame, label: str, skip: set[str], threshold: float, zero_fill: list[str], quantiles: str = "exact"
 ) -> dict:
     """Columns to drop and values to fill, from one counting pass and the medians.
 
@@ -46,7 +46,7 @@ def learn_imputation(
     numeric = numeric_columns(df, skip | {label, *dropped})
     by_median = [c for c in numeric if c not in zero_fill]
     rows = df.where(labelled) if label in df.columns else df
-    medians = exact_quantiles(rows, by_median, [0.5], counts=present)
+    medians = column_quantiles(rows, by_median, [0.5], present, quantiles)
     fills: dict[str, dict] = {}
     for c in numeric:
         if c in zero_fill:
@@ -102,6 +102,7 @@ class _MissingParams:
     stats_from = parameter(
         "stats_from", "'fit': statistics of the fitted table; 'transform': of each transformed one"
     )
+    quantiles = parameter("quantiles", "'exact' medians, or 'approximate' ones from one pass")
 
 
 class MissingValueTransformer(FittingStage, _MissingParams):
@@ -122,6 +123,7 @@ class MissingValueTransformer(FittingStage, _MissingParams):
         preserve_cols=tuple(presets.PRESERVED),
         zero_fill=tuple(presets.ZERO_FILLED),
         stats_from="fit",
+        quantiles="exact",
     ):
         super().__init__()
         self._setDefault(
@@ -131,6 +133,7 @@ class MissingValueTransformer(FittingStage, _MissingParams):
             preserve_cols=list(presets.PRESERVED),
             zero_fill=list(presets.ZERO_FILLED),
             stats_from="fit",
+            quantiles="exact",
         )
         self._set(**listed(self._input_kwargs))
         if stats_from not in ("fit", "transform"):
@@ -186,4 +189,5 @@ def _learn(stage, df: DataFrame) -> dict:
         stage.metadata() - {label},
         stage.value("threshold_drop_feature"),
         list(stage.value("zero_fill")),
+        stage.value("quantiles"),
     )

@@ -12,7 +12,7 @@ from sparkprep import presets
 from sparkprep.functions.columns import number, one_row_to_many, percent2, small_frame
 from sparkprep.functions.numeric import outside
 from sparkprep.operators.profile import iqr_bounds, outlier_profile
-from sparkprep.operators.quantiles import exact_quantiles
+from sparkprep.operators.quantiles import column_quantiles
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
 
 Ranges = Mapping[str, tuple[float, float]]
@@ -35,10 +35,10 @@ def domain_filter(df: DataFrame, ranges: Ranges) -> DataFrame:
     return df.where(~any_of(list(domain_violations(df, ranges).values())))
 
 
-def upper_fences(df: DataFrame, ranges: Ranges, factor: float = 3.0) -> dict[str, float]:
+def upper_fences(df: DataFrame, ranges: Ranges, factor: float = 3.0, quantiles: str = "exact") -> dict[str, float]:
     """``min(Q3 + factor*IQR, valid maximum)`` per ruled column that has values."""
     ruled = [c for c in ranges if c in df.columns]
-    quartiles = exact_quantiles(df, ruled, [0.25, 0.75])
+    quartiles = column_quantiles(df, ruled, [0.25, 0.75], method=quantiles)
     fences = {c: iqr_bounds(quartiles[c], factor) for c in ruled}
     return {c: min(f[1], ranges[c][1]) for c, f in fences.items() if f is not None}
 
@@ -116,6 +116,7 @@ class _OutlierParams:
     )
     iqr_factor = parameter("iqr_factor", "fence distance in IQRs")
     stats_from = parameter("stats_from", "table the fences come from: 'fit' or 'transform'")
+    quantiles = parameter("quantiles", "'exact' quartiles, or 'approximate' ones from one pass")
 
     def ranges(self) -> dict[str, tuple[float, float]]:
         return {c: (float(a), float(b)) for c, (a, b) in self.value("valid_ranges").items()}
@@ -130,6 +131,7 @@ class OutlierRemovalTransformer(FittingStage, _OutlierParams):
         remove_statistical_outliers=False,
         iqr_factor=3.0,
         stats_from="fit",
+        quantiles="exact",
         label=presets.LABEL,
         split_col=presets.SPLIT,
         preserve_cols=tuple(presets.PRESERVED),
@@ -140,6 +142,7 @@ class OutlierRemovalTransformer(FittingStage, _OutlierParams):
             remove_statistical_outliers=False,
             iqr_factor=3.0,
             stats_from="fit",
+            quantiles="exact",
             label=presets.LABEL,
             split_col=presets.SPLIT,
             preserve_cols=list(presets.PRESERVED),
@@ -162,7 +165,7 @@ class OutlierRemovalTransformer(FittingStage, _OutlierParams):
 
 def _fences(stage, df: DataFrame) -> dict[str, float]:
     ranges = stage.ranges()
-    return upper_fences(domain_filter(df, ranges), ranges, stage.value("iqr_factor"))
+    return upper_fences(domain_filter(df, ranges), ranges, stage.value("iqr_factor"), stage.value("quantiles"))
 
 
 class OutlierRemovalModel(FittedModel, _OutlierParams):

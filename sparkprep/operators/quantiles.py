@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkprep.functions.columns import col, number
+from sparkprep.operators.state import approximate_quantiles
 from sparkprep.workspace import land
 
 #: A gap with at most so many rows is sorted in one buffer; it bounds that buffer.
@@ -188,6 +189,21 @@ def exact_quantiles(
     return result
 
 
+def column_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    counts: dict[str, int] | None = None,
+    method: str = "exact",
+) -> dict[str, list[float | None]]:
+    """:func:`exact_quantiles`, or from sketches in one pass where ``method`` is ``approximate``."""
+    if method == "exact":
+        return exact_quantiles(df, columns, probabilities, counts)
+    if method != "approximate":
+        raise ValueError("quantiles must be 'exact' or 'approximate'")
+    return approximate_quantiles(df, columns, probabilities)
+
+
 def _by_group(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
     """(g, place, v) of every value."""
     rows = df.select(col(by).alias("g"), F.posexplode(_values(df, columns)).alias("place", "v"))

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 from sparkprep import presets
 from sparkprep.functions.columns import col, number, numeric_columns, small_frame
 from sparkprep.functions.statistics import column_statistics
-from sparkprep.operators.quantiles import exact_quantiles
+from sparkprep.operators.quantiles import column_quantiles
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
 
 METHODS = ("auto", "standard", "minmax", "robust")
 
 
 def learn_scaling(
-    df: DataFrame, columns: list[str], method: str = "auto", skew_threshold: float = 1.0
+    df: DataFrame, columns: list[str], method: str = "auto", skew_threshold: float = 1.0, quantiles: str = "exact"
 ) -> dict[str, dict]:
     """Per column: method, centre, scale and the statistics behind them.
 
@@ -37,17 +37,22 @@ def learn_scaling(
             "skew": F.skewness,
         },
     )
-    return scaling_state(df, found, columns, method, skew_threshold)
+    return scaling_state(df, found, columns, method, skew_threshold, quantiles)
 
 
 def scaling_state(
-    df: DataFrame, found: dict[str, dict], columns: list[str], method: str, skew_threshold: float
+    df: DataFrame,
+    found: dict[str, dict],
+    columns: list[str],
+    method: str,
+    skew_threshold: float,
+    quantiles: str = "exact",
 ) -> dict[str, dict]:
     """:func:`learn_scaling` from known statistics of the columns of ``df``, which only quartiles are read from."""
     counts = {c: found[c]["n"] or 0 for c in columns}
     quartiles = {}
     if method == "robust":
-        quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], counts=counts)
+        quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75], counts, quantiles)
     state: dict[str, dict] = {}
     for c in columns:
         low, high, skew = found[c]["min"], found[c]["max"], found[c]["skew"]
@@ -93,6 +98,7 @@ def apply_scaling(df: DataFrame, state: dict[str, dict]) -> DataFrame:
 class _ScalerParams:
     method = parameter("method", "auto, standard, minmax or robust")
     skew_threshold = parameter("skew_threshold", "absolute skewness above which auto takes minmax")
+    quantiles = parameter("quantiles", "'exact' quartiles for robust, or 'approximate' ones from one pass")
 
 
 class FeatureScaler(FittingStage, _ScalerParams):
@@ -104,6 +110,7 @@ class FeatureScaler(FittingStage, _ScalerParams):
         *,
         method="auto",
         skew_threshold=1.0,
+        quantiles="exact",
         label=presets.LABEL,
         split_col=presets.SPLIT,
         preserve_cols=tuple(presets.PRESERVED),
@@ -112,6 +119,7 @@ class FeatureScaler(FittingStage, _ScalerParams):
         self._setDefault(
             method="auto",
             skew_threshold=1.0,
+            quantiles="exact",
             label=presets.LABEL,
             split_col=presets.SPLIT,
             preserve_cols=list(presets.PRESERVED),
@@ -123,7 +131,7 @@ class FeatureScaler(FittingStage, _ScalerParams):
         if not columns:
             raise ValueError("no numeric columns to scale")
         state = learn_scaling(
-            dataset, columns, self.value("method"), self.value("skew_threshold")
+            dataset, columns, self.value("method"), self.value("skew_threshold"), self.value("quantiles")
         )
         return self.fitted_model(FeatureScalerModel, state)
 

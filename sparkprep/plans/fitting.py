@@ -82,7 +82,9 @@ def _fit_together(encoder, engineer, scaler, encoded: list[str], df: DataFrame)
         models = [encoding, *([engineer] if engineer else []), scaler.fit(shown)]
         return models, None
     found |= made
-    state = scaling_state(shown, found, columns, scaler.value("method"), scaler.value("skew_threshold"))
+    state = scaling_state(
+        shown, found, columns, *(scaler.value(p) for p in ("method", "skew_threshold", "quantiles"))
+    )
     scaling = scaler.fitted_model(FeatureScalerModel, state)
     known = {"rows": few[ROWS][0]["n"] if few[ROWS] else 0, "means": {}}
     for c in columns:

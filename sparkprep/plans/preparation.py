@@ -35,6 +35,7 @@ def preparation_stages(
     split_group_col: str = presets.SPLIT,
     preserve_cols: Sequence[str] = tuple(presets.PRESERVED),
     stats_from: str = "fit",
+    quantiles: str = "exact",
     valid_ranges: dict | None = None,
     zero_fill: Sequence[str] = tuple(presets.ZERO_FILLED),
     multilabel_cols: Sequence[str] = tuple(presets.MULTI_LABEL),
@@ -50,12 +51,14 @@ def preparation_stages(
             threshold_drop_feature=missing_threshold,
             zero_fill=list(zero_fill),
             stats_from=stats_from,
+            quantiles=quantiles,
             **roles,
         ),
         "outlier_removal": OutlierRemovalTransformer(
             valid_ranges=valid_ranges,
             remove_statistical_outliers=remove_statistical_outliers,
             stats_from=stats_from,
+            quantiles=quantiles,
             **roles,
         ),
         "encoding": FeatureEncoder(
@@ -67,7 +70,7 @@ def preparation_stages(
         ),
         "feature_engineering": FeatureEngineer(**(feature_engineering_kwargs or {})),
         "scaling": FeatureScaler(
-            method=scaling_method, skew_threshold=scaling_skew_threshold, **roles
+            method=scaling_method, skew_threshold=scaling_skew_threshold, quantiles=quantiles, **roles
         ),
         "pca": FeatureReducer(variance_threshold=pca_variance_threshold, **roles),
     }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.functions.columns import nan_to_null
-from sparkprep.operators import outliers, profile
+from sparkprep.functions.columns import col, nan_to_null
+from sparkprep.operators import outliers, profile, state
 from sparkprep.operators.quantiles import exact_quantiles, exact_quantiles_by
 from sparkprep.plans.product_features import (
     DERIVED,
@@ -35,6 +35,7 @@ from sparkprep.plans.registry import (
     union_all,
     with_pf,
 )
+from sparkprep.workspace import run_path
 
 TYPES = {
     "code": "bigint", "grade": "string", "seg": "string", "nation": "string",
@@ -415,3 +416,71 @@ def quantiles_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_quantiles_by(table(spark, sf_dir, "lineitem"), "l_orderkey", ["l_extendedprice"], [0.25, 0.5, 0.75])
     names = ["q1", "median", "q3"]
     return rounded(found.select("l_orderkey", *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(names)]))
+
+
+MERGED = ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag"]
+# Means of numbers with two decimals may lie half-way between two rounded values; so many places leave no tie.
+PLACES_OF = {"l_quantity": 9, "l_discount": 9}
+
+
+@registered(
+    "merged_profile",
+    union_all(
+        [
+            f"""SELECT '{c}' AS "column", COUNT(*) AS "rows", COUNT(*) - COUNT({c}) AS missing, {n} AS n,
+  round({f'avg({c})' if n != '0' else 'NULL'}, {PLACES_OF.get(c, 6)}) AS mean,
+  round({f'stddev_pop({c})' if n != '0' else 'NULL'}, 6) AS std,
+  {f'CAST(min({c}) AS DOUBLE)' if n != '0' else 'NULL'} AS min, {f'CAST(max({c}) AS DOUBLE)' if n != '0' else 'NULL'} AS max,
+  true AS distinct_near, true AS median_near FROM lineitem"""
+            for c, n in [(c, "0" if c == "l_returnflag" else f"COUNT({c})") for c in MERGED]
+        ]
+    ),
+)
+def merged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines profiled in four chunks, merged from their stored states; sketches within their errors."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *MERGED)
+    store = state.ProfileStore(spark, run_path(spark, "profile"))
+    for k in range(4):
+        store.add(lines.where(F.col("l_orderkey") % 4 == k).drop("l_orderkey"), str(k))
+    report = state.state_report(store.state(), [0.5])
+    small = F.col("column").isin(list(PLACES_OF))
+    report = report.withColumns(
+        {"mean": F.when(small, F.round("mean", 9)).otherwise(F.round("mean", 6)), "std": r6("std")}
+    )
+    medians = {r["column"]: r["quantiles"][0] for r in report.where("quantiles IS NOT NULL").collect()}
+    # A median may have many equals: the middle lies between the rows below it and those up to it.
+    checks = []
+    for c in MERGED:
+        median = F.lit(medians.get(c))
+        below, upto = F.avg((col(c) < median).cast("double")), F.avg((col(c) <= median).cast("double"))
+        near = (below <= 0.5 + 2 * state.rank_error()) & (upto >= 0.5 - 2 * state.rank_error())
+        checks.append(
+            F.struct(
+                F.lit(c).alias("column"),
+                F.count_distinct(col(c)).alias("exact"),
+                (near if c in medians else F.lit(True)).alias("median_near"),
+            )
+        )
+    checked = lines.agg(F.array(*checks).alias("all")).select(F.inline("all"))
+    near = F.abs(F.col("distinct") - F.col("exact")) <= F.col("exact") * 0.05
+    return report.join(checked, "column").select(
+        "column", "rows", "missing", "n", "mean", "std", "min", "max", near.alias("distinct_near"), "median_near"
+    )
+
+
+@registered(
+    "approximate_quantiles",
+    union_all([f"""SELECT '{c}' AS "column", COUNT(*) > 0 AS near FROM lineitem""" for c in MERGED[:3]]),
+)
+def approximate_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether every approximate quantile lies at its rank, within the stated error."""
+    lines, places = table(spark, sf_dir, "lineitem"), [0.05, 0.25, 0.5, 0.75, 0.95]
+    found = state.approximate_quantiles(lines, MERGED[:3], places)
+    checks, most = [], F.lit(2 * state.rank_error())
+    for c in MERGED[:3]:
+        near = F.lit(True)
+        for p, v in zip(places, found[c]):
+            below, upto = F.avg((col(c) < v).cast("double")), F.avg((col(c) <= v).cast("double"))
+            near = near & (below <= F.lit(p) + most) & (upto >= F.lit(p) - most)
+        checks.append(F.struct(F.lit(c).alias("column"), near.alias("near")))
+    return lines.agg(F.array(*checks).alias("all")).select(F.inline("all"))

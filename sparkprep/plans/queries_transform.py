@@ -400,6 +400,19 @@ def top_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.top_tokens(product_features(spark, sf_dir), "countries", 15)
 
 
+@registered(
+    "frequent_tokens",
+    """WITH t AS (SELECT lower(UNNEST(regexp_extract_all(text, '[^ ,\n]+'))) AS token FROM documents)
+SELECT token, COUNT(*) AS n FROM t WHERE token <> 'unknown' GROUP BY token ORDER BY n DESC, token LIMIT 25""",
+)
+def frequent_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents as the tokens of a multi-valued column."""
+    cells = table(spark, sf_dir, "documents").select(
+        F.array_join(F.split(F.lower("text"), "[ ,\n]+"), ",").alias("cell")
+    )
+    return encoding.frequent_tokens(cells, "cell", 25)
+
+
 @registered(
     "token_cells",
     """WITH cells AS (
