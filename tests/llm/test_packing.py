@@ -1,8 +1,27 @@
-"""Groups of the packing stay bounded where sequences cannot be filled."""
+"""Groups of the packing stay bounded where sequences cannot be filled; ids are those of whole texts."""
 
 import collections
+import zlib
 
-from sparkprep.llm.packing import packed
+import numpy as np
+
+from sparkprep.llm.packing import packed, pieces
+from sparkprep.llm.queries import read, tokenizer_path
+
+
+def test_ids_are_those_of_whole_texts(spark, odd, small):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    marks = ["don't (stop)!", "a<|endoftext|>b C", "ÀÉ×÷ß, Œuvre", "x.y,z;1,000.50$", "tab\t\u00a0\u3000end", "é.é 'S 'll"]
+    extra = spark.createDataFrame([(900 + i, t) for i, t in enumerate(marks)], "doc_id long, text string")
+    docs = odd.select("doc_id", "text").unionByName(extra).unionByName(read(spark, small, "documents").select("doc_id", "text"))
+    wanted = collections.Counter()
+    for r in docs.collect():
+        ids = np.array([*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        wanted.update((r["doc_id"], k, zlib.crc32(ids[s : s + 128].tobytes())) for k, s in enumerate(range(0, len(ids), 128)))
+    found = pieces(docs.repartition(3), tokenizer_path(), length=128).collect()
+    assert collections.Counter((r["doc_id"], r["piece"], r["ids_crc32"]) for r in found) == wanted
 
 
 def test_no_group_takes_all_that_is_left(spark):
