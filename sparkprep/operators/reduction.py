@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark import keyword_only
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseMatrix, Vectors
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +18,11 @@ from sparkprep import presets
 from sparkprep.functions.columns import col, number, numeric_columns, require, small_frame
 from sparkprep.functions.statistics import column_statistics
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
+from sparkprep.operators.wide import centred_array, principal_axes
+from sparkprep.workspace import land
 
+#: Columns up to which a row's vector is assembled from columns of its own.
+ASSEMBLED = 1_000
 
 
 def select_components(
@@ -37,6 +45,8 @@ def centred_vectors(df: DataFrame, columns: list[str], means: list[float], out:
 
     A missing value is an error, as a component score would have none.
     """
+    if len(columns) > ASSEMBLED:
+        return df.withColumn(out, array_to_vector(centred_array(df, columns, means)))
     shifted = {f"__x{i}": number(df, c) - F.lit(m) for i, (c, m) in enumerate(zip(columns, means))}
     assembler = VectorAssembler(inputCols=list(shifted), outputCol=out, handleInvalid="error")
     return assembler.transform(df.withColumns(shifted)).drop(*shifted)
@@ -45,7 +55,8 @@ def centred_vectors(df: DataFrame, columns: list[str], means: list[float], out:
 class _ReducerParams:
     variance_threshold = parameter("variance_threshold", "cumulative share of variance to keep")
     n_components = parameter("n_components", "fixed number of components instead")
-    max_columns = parameter("max_columns", "columns of one covariance matrix allowed before it is an error")
+    max_columns = parameter("max_columns", "columns of one covariance matrix; more are reduced by subspace iteration")
+    max_components = parameter("max_components", "components the iteration may take to reach the threshold")
 
 
 class FeatureReducer(FittingStage, _ReducerParams):
@@ -56,6 +67,7 @@ class FeatureReducer(FittingStage, _ReducerParams):
         variance_threshold=0.95,
         n_components=None,
         max_columns=5_000,
+        max_components=256,
         label=presets.LABEL,
         split_col=presets.SPLIT,
         preserve_cols=tuple(presets.PRESERVED),
@@ -65,6 +77,7 @@ class FeatureReducer(FittingStage, _ReducerParams):
             variance_threshold=0.95,
             n_components=None,
             max_columns=5_000,
+            max_components=256,
             label=presets.LABEL,
             split_col=presets.SPLIT,
             preserve_cols=list(presets.PRESERVED),
@@ -75,8 +88,6 @@ class FeatureReducer(FittingStage, _ReducerParams):
         columns = numeric_columns(dataset, self.metadata())
         if not columns:
             raise ValueError("no numeric columns for principal components")
-        if len(columns) > self.value("max_columns"):
-            raise ValueError(f"{len(columns)} columns exceed the {self.value('max_columns')} of one covariance")
         return columns
 
     def _fit(self, dataset: DataFrame) -> "FeatureReducerModel":
@@ -89,15 +100,18 @@ class FeatureReducer(FittingStage, _ReducerParams):
         """The model of ``columns`` whose means and number of rows are known."""
         if rows < 2:
             raise ValueError("principal components need at least two rows")
-        vectors = centred_vectors(dataset, columns, means, "__x").select("__x")
-        pca = PCA(k=len(columns), inputCol="__x", outputCol="__pc").fit(vectors)
-        ratios = [float(r) for r in pca.explainedVariance.toArray()]
+        if len(columns) > self.value("max_columns"):
+            pca, ratios = self._iterated(dataset, columns, means, rows)
+        else:
+            vectors = centred_vectors(dataset, columns, means, "__x").select("__x")
+            pca = PCA(k=len(columns), inputCol="__x", outputCol="__pc").fit(vectors)
+            ratios = [float(r) for r in pca.explainedVariance.toArray()]
         k = select_components(
             ratios, self.value("variance_threshold"), self.value("n_components"), rows
         )
         axes = pca.pc.toArray()
         largest = np.abs(axes).argmax(axis=0)
-        signs = np.where(axes[largest, np.arange(len(columns))] < 0, -1.0, 1.0)
+        signs = np.where(axes[largest, np.arange(axes.shape[1])] < 0, -1.0, 1.0)
         model = self.fitted_model(
             FeatureReducerModel,
             {
@@ -113,6 +127,22 @@ class FeatureReducer(FittingStage, _ReducerParams):
         return model
 
 
+    def _iterated(self, dataset, columns: list[str], means: list[float], rows: int) -> tuple[PCAModel, list[float]]:
+        """The model of more columns than one covariance matrix takes; the centred rows are landed, as each round reads them."""
+        spark = dataset.sparkSession
+        spread = column_statistics(dataset, columns, {"variance": F.var_samp})
+        total = sum(spread[c]["variance"] or 0.0 for c in columns)
+        landed = land(dataset.select(centred_array(dataset, columns, means).alias("x")), "centred-rows")
+        settings = (self.value(p) for p in ("variance_threshold", "n_components", "max_components"))
+        axes, ratios = principal_axes(landed, len(columns), rows, total, *settings)
+        jvm = spark._jvm.org.apache.spark.ml.feature
+        matrix = _py2java(spark.sparkContext, DenseMatrix(*axes.shape, axes.ravel(order="F")))
+        shares = _py2java(spark.sparkContext, Vectors.dense(ratios))
+        made = jvm.PCAModel(f"pca_{uuid.uuid4().hex[:12]}", matrix, shares)
+        made.set(made.getParam("k"), len(ratios))
+        return PCAModel(made).setInputCol("__x").setOutputCol("__pc"), ratios
+
+
 class _ReducerWriter(DefaultParamsWriter):
     def saveImpl(self, path: str) -> None:
         super().saveImpl(path)
