@@ -38,7 +38,7 @@ ALIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td
 
 # Words of class names and ids that mark what is not the article.
 _MARKED = re.compile(
-    r"(ad|ads|advert\w*|banner\w*|breadcrumb\w*|comment\w*|consent|cookie\w*|copyright|"
+    r"(ad|ads|adsbygoogle|adslot|adunit|advert\w*|alert\w*|banner\w*|breadcrumb\w*|comment\w*|consent|cookie\w*|copyright|"
     r"disqus\w*|discussion|feedback|foot|footer\w*|gdpr|head|header|login|masthead|menu\w*|modal|nav|navbar|navigation|"
     r"newsletter|notice\w*|overlay|pager|pagination|popup|promo\w*|recommend\w*|related|replies|reply|responses|search|"
     r"share|sharing|side|sidebar\w*|signup|skip|social\w*|sponsor\w*|subscribe|subscription|tags|teaser|toolbar|"
@@ -47,15 +47,24 @@ _MARKED = re.compile(
 )
 #: Words that leave a marked one beside them its meaning: comment-list, sidebar-left, ad-slot.
 _NEUTRAL = re.compile(
-    r"(area|bar|block|body|bottom|box|button\w*|column|content|form|inner|item\w*|left|link\w*|list\w*|panel|posts|right|section|"
-    r"site|slot|text|title|top|unit|\d*)",
+    r"(area|articles|bar|block|body|bottom|box|button\w*|column|content|form|inner|item\w*|left|link\w*|list\w*|news|panel|posts|reading|right|section|"
+    r"site|slot|stories|text|title|top|unit|\d*)",
     re.I,
 )
 #: Wrappers that say what they hold or lack: has-sidebar, no-ads, content-sidebar-wrap.
 _HOLDS = re.compile(r"(has|have|with|without|no|hide|show|is)[_-]", re.I)
 _WRAPS = re.compile(r".*[_-](wrap|wrapper|container|layout|grid|row)", re.I)
 _ARTICLE = re.compile(r"(?:^|[\s_-])(?:article\w*|body-text|content|entry|main|post|story|text)(?:$|[\s_-])", re.I)
-_ROLES = frozenset("banner complementary contentinfo dialog form menu menubar navigation search".split())
+_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
+
+#: Headings of reader comments, in the languages of the pages.
+_COMMENTS = re.compile(
+    r"(?:\d+\s+|leave a |post a |add a |write a |reader |readers' |user |all |\(\d+\)\s*)*"
+    r"(?:comments?|replies|reply|responses?|discussion|kommentare?|leserkommentare|commentaires?|comentarios?)"
+    r"(?:\s*\(?\d+\)?)?\s*[:.]?",
+    re.I,
+)
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
@@ -106,6 +115,8 @@ class _Node:
                 self.hidden = True
             elif name not in ("html", "body") and found.get("role") in _ROLES:
                 self.outside = True
+            elif name == "article" and _mark(names, False) >= MARK:
+                self.mark = max(self.mark, MARK + WITHIN)  # one comment, teaser or advert
             elif name in ("article", "main") or found.get("role") in ("main", "article"):
                 self.inside = True
                 if not (up and up.inside) and _mark(names, False) < MARK:
@@ -123,10 +134,11 @@ class _Node:
 
 
 class Block:
-    __slots__ = ("text", "node", "linked")
+    __slots__ = ("text", "node", "linked", "below")
 
     def __init__(self, text: str, node: _Node, linked: int):
         self.text, self.node, self.linked = text, node, linked
+        self.below = False  #: whether it is a heading of comments or stands below one
 
 
 def blocks(page: str) -> list[Block]:
@@ -203,6 +215,22 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def below_comments(found: list[Block]) -> None:
+    """Marks the headings of reader comments and what follows each in its parent, up to a heading of its rank."""
+    heading: _Node | None = None
+    for block in found:
+        node = block.node
+        if heading is not None:
+            up: _Node | None = node
+            while up is not None and up is not heading.up:
+                up = up.up
+            if up is None or node.name in _HEADINGS and node.up is heading.up and node.name <= heading.name:
+                heading = None
+        if heading is None and node.name in _HEADINGS[1:] and _COMMENTS.fullmatch(block.text):
+            heading = node
+        block.below = heading is not None
+
+
 def score(block: Block) -> float:
     """Log odds that a block belongs to the article."""
     node, text = block.node, block.text
@@ -213,6 +241,8 @@ def score(block: Block) -> float:
     value = -1.2 + 0.12 * min(n, 40) - 4.0 * density
     if node.mark:
         value += 0.02 * max(min(n, 150) - 40, 0) - 4.0 * density - node.mark
+    if block.below:
+        value -= MARK + WITHIN / 2 + 0.12 * min(n, 40)
     if node.inside:
         value += 6.0
     if node.name in ("p", "blockquote", "pre"):
@@ -307,6 +337,7 @@ def _flow(rest: list[int], value: list[float], near: list[dict[int, float]], sid
 
 def main_text(page: str) -> str:
     found = blocks(page)
+    below_comments(found)
     edges: dict[tuple[int, int], float] = {}
     last: dict[int, int] = {}
     for i, block in enumerate(found):

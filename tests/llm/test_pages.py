@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sparkprep.llm import pages as module
 from sparkprep.llm.pages import extract_pages, main_text, minimum_cut
 
 PROSE = "This sentence is long enough to be a part of the article, as anyone can see."
@@ -102,3 +103,58 @@ WRAPPED = [
 @pytest.mark.parametrize(("page", "text"), WRAPPED)
 def test_marked_wrappers(page, text):
     assert main_text(page) == text
+
+
+OTHER = "Another text of the page that is long enough to look like an article but is none of it."
+ARTICLE = f"<article><h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p>"
+TEXT = f"Title\n{PROSE}\n{PROSE}"
+BOILERPLATE = [
+    f"{ARTICLE}</article><article class=comment><p>{OTHER}</p></article>",
+    f"{ARTICLE}</article><article class='teaser'><h2>More</h2><p>{OTHER}</p></article>",
+    f"{ARTICLE}</article><h3>3 Comments</h3><ol><li><p>{OTHER}</p></li><li><p>{OTHER}</p></li></ol>",
+    f"{ARTICLE}<h2>Comments (2)</h2><div><p>{OTHER}</p></div><p>{OTHER}</p></article>",
+    f"{ARTICLE}<div><h3>Leave a comment</h3><p>{OTHER}</p></div></article>",
+    f"{ARTICLE}<section><h4>Kommentare</h4><p>{OTHER}</p></section></article>",
+    f"{ARTICLE}<div class='alert alert-info'><p>{OTHER}</p></div></article>",
+    f"<div class='alert alert-info'>{OTHER}</div>{ARTICLE}</article>",
+    f"{ARTICLE}<div role='alert'><p>{OTHER}</p></div></article>",
+    f"{ARTICLE}<div class='adsbygoogle'><p>{OTHER}</p></div></article>",
+    f"{ARTICLE}<section class='related-articles'><p>{OTHER}</p></section></article>",
+    f"{ARTICLE}<div class='related-stories'><h3>Read on</h3><p>{OTHER}</p></div></article>",
+]
+
+
+@pytest.mark.parametrize("page", BOILERPLATE)
+def test_comments_notices_and_adverts_go(page):
+    assert main_text(page) == TEXT
+
+
+KEPT = [
+    (f"<article><h1>Comments</h1><p>{PROSE}</p></article>", f"Comments\n{PROSE}"),
+    (f"<article><h2>Comments on the law</h2><p>{PROSE}</p></article>", f"Comments on the law\n{PROSE}"),
+    (f"<article><p>{PROSE}</p><h3>3 comments</h3><p>{OTHER}</p><h2>Sources</h2><p>{PROSE}</p></article>", f"{PROSE}\nSources\n{PROSE}"),
+    (f"<div><h3>Discussion</h3><p>{OTHER}</p></div>{ARTICLE}</article>", TEXT),
+    (f"<article class='news-item'><p>{PROSE}</p></article>", PROSE),
+    (f"<article class='red-alert-report'><p>{PROSE}</p></article>", PROSE),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), KEPT)
+def test_headings_and_names_that_only_look_alike(page, text):
+    assert main_text(page) == text
+
+
+def test_the_cut_decides_short_blocks_between_long_ones(monkeypatch):
+    """Without edges the short blocks of a page without an article element are lost."""
+    long = f"{PROSE} {PROSE}"
+    page = f"<div><p>{long}</p><div>Fig one two</div><p>{long}</p><div>Fig three</div><div>{PROSE[:-1]}</div><p>{long}</p></div>"
+    with_edges, flows = main_text(page), []
+    flow = module._flow
+    monkeypatch.setattr(module, "_flow", lambda *a: flows.append(1) or flow(*a))
+    assert main_text(page) == with_edges and "Fig one two" in with_edges
+    monkeypatch.setattr(module, "_closeness", lambda a, b: 0.0)
+    assert "Fig one two" not in main_text(page) and long in main_text(page)
+    # Two short neighbours hold each other: only the flow tells that dropping both is cheaper.
+    near = {(0, 1): 0.6, (1, 2): 0.6, (2, 3): 0.6}
+    assert minimum_cut([4.0, -0.5, -0.4, 4.0], near) == [True] * 4
+    assert minimum_cut([4.0, -0.9, -0.9, 4.0], near) == [True, False, False, True] and flows
