@@ -12,6 +12,7 @@ from sparkprep.plans.product_features import CLASSES, KEY, LABEL, NUMERIC, produ
 from sparkprep.plans.registry import (
     LAB,
     features,
+    labelled,
     registered,
     rounded,
     split_ctes,
@@ -194,6 +195,15 @@ def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_labelled(spark, sf_dir).select("code", "grade", "split_group")
 
 
+@registered(
+    "split_again", with_pf("SELECT code, grade, split_group FROM sp", LAB, split_ctes())
+)
+def split_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that carry the tag of another split, which is dropped before they are split anew."""
+    other = splitting.split_data(labelled(spark, sf_dir), LABEL, random_state=7, key=[KEY])
+    return splitting.split_data(other, LABEL, key=[KEY]).select("code", "grade", "split_group")
+
+
 @registered(
     "split_repeated_keys",
     "WITH ord AS (SELECT o_custkey, o_orderkey, o_orderpriority FROM orders),"
