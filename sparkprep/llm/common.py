@@ -92,7 +92,8 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
 
     In each round every node hooks on to its smallest neighbour, two jumps shorten the
     chains, and links are renamed to the new labels; those that join one label go. Groupings
-    merge partially and joins have unique keys on one side, so no node's links meet in one task.
+    merge partially. Joins have unique keys on one side; the links of one node meet on the other where adaptive
+    execution does not split them.
     """
     pairs = links.where("a <> b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
