@@ -188,12 +188,15 @@ class FeatureEncoder(FittingStage, _EncoderParams):
         """The cells that fitting needs to know of ``df``."""
         asks = {}
         for c in self.present(df, "multilabel_cols"):
-            parts = tokens(col(c))
-            # A token that a cell repeats counts each time, but fills its column once.
+            # A token that a cell repeats counts each time, but fills its column once. The tokens are bound
+            # as a variable: an expression in the inner function would be worked out for each of them.
             once = F.transform(
-                parts, lambda t, i: cell(t, F.when(F.array_position(parts, t) == i + 1, F.lit(1.0)))
+                F.array(tokens(col(c))),
+                lambda parts: F.transform(
+                    parts, lambda t, i: cell(t, F.when(F.array_position(parts, t) == i + 1, F.lit(1.0)))
+                ),
             )
-            asks[f"list {c}"] = once
+            asks[f"list {c}"] = F.flatten(once)
         for c in self.present(df, "onehot_cols"):
             asks[f"single {c}"] = F.filter(F.array(cell(value(df, c))), lambda x: x["token"].isNotNull())
         by_label = self.present(df, "target_cols")

@@ -7,7 +7,7 @@ import uuid
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml.common import _py2java
-from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
+from pyspark.ml.feature import PCAModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseMatrix, Vectors
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter
@@ -18,7 +18,7 @@ from sparkprep import presets
 from sparkprep.functions.columns import col, number, numeric_columns, require, small_frame
 from sparkprep.functions.statistics import column_statistics
 from sparkprep.operators.stages import FittedModel, FittingStage, listed, parameter
-from sparkprep.operators.wide import centred_array, principal_axes
+from sparkprep.operators.wide import centred_array, covariance, principal_axes
 from sparkprep.workspace import land
 
 #: Columns up to which a row's vector is assembled from columns of its own.
@@ -52,6 +52,15 @@ def centred_vectors(df: DataFrame, columns: list[str], means: list[float], out:
     return assembler.transform(df.withColumns(shifted)).drop(*shifted)
 
 
+def _pca_model(spark, axes: np.ndarray, ratios: list[float]) -> PCAModel:
+    jvm = spark._jvm.org.apache.spark.ml.feature
+    matrix = _py2java(spark.sparkContext, DenseMatrix(*axes.shape, axes.ravel(order="F")))
+    shares = _py2java(spark.sparkContext, Vectors.dense(ratios))
+    made = jvm.PCAModel(f"pca_{uuid.uuid4().hex[:12]}", matrix, shares)
+    made.set(made.getParam("k"), len(ratios))
+    return PCAModel(made).setInputCol("__x").setOutputCol("__pc")
+
+
 class _ReducerParams:
     variance_threshold = parameter("variance_threshold", "cumulative share of variance to keep")
     n_components = parameter("n_components", "fixed number of components instead")
@@ -103,9 +112,11 @@ class FeatureReducer(FittingStage, _ReducerParams):
         if len(columns) > self.value("max_columns"):
             pca, ratios = self._iterated(dataset, columns, means, rows)
         else:
-            vectors = centred_vectors(dataset, columns, means, "__x").select("__x")
-            pca = PCA(k=len(columns), inputCol="__x", outputCol="__pc").fit(vectors)
-            ratios = [float(r) for r in pca.explainedVariance.toArray()]
+            shifted = [(number(dataset, c) - F.lit(float(m))).alias(f"__x{i}") for i, (c, m) in enumerate(zip(columns, means))]
+            axes, variances, _ = np.linalg.svd(covariance(dataset.select(*shifted), rows))
+            with np.errstate(invalid="ignore"):  # columns without variance have no shares
+                ratios = [float(r) for r in variances / variances.sum()]
+            pca = _pca_model(dataset.sparkSession, axes, ratios)
         k = select_components(
             ratios, self.value("variance_threshold"), self.value("n_components"), rows
         )
@@ -135,12 +146,7 @@ class FeatureReducer(FittingStage, _ReducerParams):
         landed = land(dataset.select(centred_array(dataset, columns, means).alias("x")), "centred-rows")
         settings = (self.value(p) for p in ("variance_threshold", "n_components", "max_components"))
         axes, ratios = principal_axes(landed, len(columns), rows, total, *settings)
-        jvm = spark._jvm.org.apache.spark.ml.feature
-        matrix = _py2java(spark.sparkContext, DenseMatrix(*axes.shape, axes.ravel(order="F")))
-        shares = _py2java(spark.sparkContext, Vectors.dense(ratios))
-        made = jvm.PCAModel(f"pca_{uuid.uuid4().hex[:12]}", matrix, shares)
-        made.set(made.getParam("k"), len(ratios))
-        return PCAModel(made).setInputCol("__x").setOutputCol("__pc"), ratios
+        return _pca_model(spark, axes, ratios), ratios
 
 
 class _ReducerWriter(DefaultParamsWriter):

@@ -20,6 +20,7 @@ from sparkprep.functions.columns import col, require, small_frame
 
 PREFIX_DIGITS = 3
 HASH_DIGITS = 32
+AFTER = "~"  #: after every digit: a key's hash with it ends all rows of that key
 SLOT_ROWS = 1_000
 CHUNK_ROWS = 1_000_000
 
@@ -61,7 +62,7 @@ def find_cuts(
 ) -> dict:
     """For each class and number of leading rows, the hash that ends them.
 
-    ``hashed`` has the columns ``__class`` and ``__hash`` of ``whole_digits`` digits. A round counts the next digits
+    ``hashed`` has the columns ``__class``, ``__hash`` of ``whole_digits`` digits and ``__key_hash``, its first ones. A round counts the next digits
     within the slots that hold a cut; a slot with few rows is resolved to whole hashes.
     """
     # (class, position) -> (hash prefix the cut lies in, rows of the class before it)
@@ -79,8 +80,14 @@ def find_cuts(
                 narrow[cut] = (slot, before)
             else:
                 following[cut] = (slot, before)
+        known = upto
+        if narrow and upto < HASH_DIGITS < whole_digits:
+            # A key that one row of the class has ends a part without the hash of whole rows.
+            keys = _refine(hashed, narrow, upto, HASH_DIGITS)
+            found.update({c: Cut(h + AFTER, 1, 1) for c, (h, _, n) in keys.items() if n == 1})
+            narrow, known = {c: (h, before) for c, (h, before, n) in keys.items() if n > 1}, HASH_DIGITS
         if narrow:
-            whole = _refine(hashed, narrow, upto, whole_digits)
+            whole = _refine(hashed, narrow, known, whole_digits)
             found.update({c: Cut(h, c[1] - before, n) for c, (h, before, n) in whole.items()})
             narrow = {}
         wide, digits = following, upto
@@ -94,12 +101,14 @@ def _refine(hashed: DataFrame, cuts: Mapping, known: int, digits: int) -> dict:
     whole hashes of a small slot.
     """
     wanted = _cut_frame(hashed, cuts)
-    outer = F.substring("__hash", 1, known) if known else F.lit("")
+    # Digits of the key's hash do not need the hash of the whole row.
+    source = "__key_hash" if digits <= HASH_DIGITS else "__hash"
+    outer = F.substring(source, 1, known) if known else F.lit("")
     open_slots = F.broadcast(wanted.select("__class", "__outer").distinct())
     within = hashed.withColumn("__outer", outer).join(
         open_slots, ["__class", "__outer"], "left_semi"
     )
-    slots = within.groupBy("__class", "__outer", F.substring("__hash", 1, digits).alias("__slot"))
+    slots = within.groupBy("__class", "__outer", F.substring(source, 1, digits).alias("__slot"))
     running = Window.partitionBy("__class", "__outer").orderBy("__slot")
     counted = slots.agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(running))
     hits = (
@@ -124,7 +133,7 @@ def _cut_frame(hashed: DataFrame, cuts: Mapping) -> DataFrame:
 
 
 def with_hash(df: DataFrame, key: Sequence[str] | None, seed: int, label: str | None) -> DataFrame:
-    """``df`` with ``__class`` and ``__hash``: 32 digits of the key, then 32 of the whole row.
+    """``df`` with ``__class``, ``__key_hash`` (32 digits of the key) and ``__hash`` (these, then 32 of the whole row).
 
     Without a key the row's hash alone is taken. Columns of the whole row go by name, so their order
     in the table does not matter.
@@ -133,9 +142,8 @@ def with_hash(df: DataFrame, key: Sequence[str] | None, seed: int, label: str |
     require(df, [*names, *([label] if label else [])])
     stratum = col(label) if label else F.lit("all")
     order = row_hash(names, seed)
-    if key:
-        order = F.concat(order, row_hash(sorted(df.columns), seed))
-    return df.withColumns({"__class": stratum, "__hash": order})
+    whole = F.concat(order, row_hash(sorted(df.columns), seed)) if key else order
+    return df.withColumns({"__class": stratum, "__key_hash": order, "__hash": whole})
 
 
 def assign_parts(
@@ -154,7 +162,7 @@ def assign_parts(
     """
     positions = {k: _cumulative(q)[:-1] for k, q in quotas.items()}
     hashed = with_hash(df, key, seed, label)
-    cuts = find_cuts(hashed.select("__class", "__hash"), positions, HASH_DIGITS * (2 if key else 1))
+    cuts = find_cuts(hashed.select("__class", "__key_hash", "__hash"), positions, HASH_DIGITS * (2 if key else 1))
 
     # One row per class with the last hash of each part; the classes are bounded.
     rows = []
@@ -164,8 +172,9 @@ def assign_parts(
     names = [f"__end{i}" for i in range(len(parts) - 1)]
     ends = _class_frame(hashed, rows, ", ".join(f"{n} string" for n in names))
     tag = F.lit(parts[-1])
+    by_key = all(c.last.endswith(AFTER) for c in cuts.values())
     for part, name in reversed(list(zip(parts, names))):
-        tag = F.when(F.col("__hash") <= F.col(name), F.lit(part)).otherwise(tag)
+        tag = F.when(F.col("__key_hash" if by_key else "__hash") <= F.col(name), F.lit(part)).otherwise(tag)
     kept = [col(c) for c in df.columns]
 
     torn = {(k, c.last) for (k, _), c in cuts.items() if not c.clean}

@@ -3,13 +3,18 @@
 Every stage states its needs as cells, (token, number) pairs of a row; the cells of all stages are exploded together and
 aggregated by place and token in one pass. The result has one row per token, so it is landed, and the
 driver takes only the rows that a stage says it needs: a stated number of tokens for each place.
+
+Columns of numbers are a place of their own, with the column's name as token. They are not exploded: each task
+adds up its batches column by column, and the moments of all tasks are merged.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -39,11 +44,83 @@ def _at(place: int, cells: Column) -> Column:
     )
 
 
+_MOMENTS = "token string, n long, filled long, mean double, m2 double, m3 double, low double, high double"
+
+
+def _merged(a: tuple | None, b: tuple) -> tuple:
+    """Rows, filled cells, mean, second and third moment about it, least and largest value of two sets of rows."""
+    if a is None or not a[1]:
+        return (b[0] + (a[0] if a else 0), *b[1:])
+    if not b[1]:
+        return (a[0] + b[0], *a[1:])
+    n, apart = a[1] + b[1], b[2] - a[2]
+    share = a[1] * (b[1] / n)
+    square = apart * apart
+    return (
+        a[0] + b[0],
+        n,
+        a[2] + apart * (b[1] / n) if math.isfinite(apart) else a[2] + b[2],
+        a[3] + b[3] + square * share,
+        a[4] + b[4] + square * apart * share * ((a[1] - b[1]) / n) + 3 * apart * (a[1] * b[3] - b[1] * a[3]) / n,
+        min(a[5], b[5]),
+        max(a[6], b[6]),
+    )
+
+
+def _batch_moments(column: pa.Array) -> tuple:
+    x = column.drop_null().to_numpy(zero_copy_only=False)
+    if not len(x):
+        return len(column), 0, None, None, None, None, None
+    with np.errstate(invalid="ignore", over="ignore"):
+        # About the first value, so that equal values have no variance.
+        mean = x[0] + (x - x[0]).mean() if np.isfinite(x[0]) else x.mean()
+        off = x - mean
+        square = off * off
+        moments = mean, square.sum(), (square * off).sum(), x.min(), x.max()
+    return len(column), len(x), *map(float, moments)
+
+
+def _moment_rows(names: Sequence[str], found: Sequence[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64()] * 2 + [pa.float64()] * 5
+    columns = [pa.array(list(v), k) for v, k in zip(zip(*found), kinds)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(names, pa.string()), *columns], ["token", "n", "filled", "mean", "m2", "m3", "low", "high"]
+    )
+
+
+def column_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """token (the column), n, filled, mean, variance, low, high, skew of columns of numbers, NaN read as NULL."""
+    names = list(columns)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: list[tuple | None] = [None] * len(names)
+        for batch in batches:
+            if batch.num_rows:
+                total = [_merged(t, _batch_moments(c)) for t, c in zip(total, batch.columns)]
+        if total[0] is not None:
+            yield _moment_rows(names, total)
+
+    def merge(table: pa.Table) -> pa.Table:
+        total = None
+        for r in table.sort_by("token").to_pylist():
+            total = _merged(total, tuple(r[c] for c in ("n", "filled", "mean", "m2", "m3", "low", "high")))
+        return pa.Table.from_batches([_moment_rows([table.column("token")[0].as_py()], [total])])
+
+    rows = df.select(*[number(df, c).alias(f"__{i}") for i, c in enumerate(names)])
+    found = rows.mapInArrow(add, _MOMENTS).groupBy("token").applyInArrow(merge, _MOMENTS)
+    skew = F.when(F.col("m2") != 0, F.sqrt(F.col("filled").cast("double")) * F.col("m3") / F.pow("m2", F.lit(1.5)))
+    variance = F.try_divide(F.col("m2"), F.col("filled"))
+    return found.select("token", "n", "filled", "mean", variance.alias("variance"), "low", "high", skew.alias("skew"))
+
+
 class Tally:
-    """Landed statistics: place, token, n, filled, mean, variance, low, high, skew."""
+    """Landed statistics: place, token, n, filled, mean, variance, low, high, skew.
+
+    ``numbers`` names a place and its columns of numbers.
+    """
 
-    def __init__(self, df: DataFrame, asks: Mapping[str, Column]):
-        self.places = {name: i for i, name in enumerate([*asks, ROWS])}
+    def __init__(self, df: DataFrame, asks: Mapping[str, Column], numbers: Mapping[str, Sequence[str]] = {}):
+        self.places = {name: i for i, name in enumerate([*asks, ROWS, *numbers])}
         cells = [*asks.values(), F.array(cell(None))]
         placed = [_at(i, c) for i, c in enumerate(cells)]
         rows = df.select(F.inline(F.concat(*placed)))
@@ -56,6 +133,10 @@ class Tally:
             F.max("v").alias("high"),
             F.skewness("v").alias("skew"),
         )
+        for name, columns in numbers.items():
+            if columns:
+                moments = column_moments(df, columns).select(F.lit(self.places[name]).alias("place"), "*")
+                found = found.unionByName(moments)
         self.table = land(found, "tally")
 
     def of(self, name: str) -> DataFrame:
@@ -77,7 +158,7 @@ class Tally:
 
 
 def number_statistics(rows: Sequence[Row]) -> dict[str, dict]:
-    """Column -> n, mean, std, min, max and skew, from the rows of :func:`number_cells`."""
+    """Column -> n, mean, std, min, max and skew, from the rows of a place of numbers."""
     return {
         r["token"]: {
             "n": r["filled"],

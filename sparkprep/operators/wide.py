@@ -9,7 +9,7 @@ along the axes stand still.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -41,18 +41,16 @@ def _added(table: pa.Table) -> pa.Table:
     return first.set_column(first.schema.get_field_index("sums"), "sums", pa.array([total.tobytes()], pa.binary()))
 
 
-def twice_multiplied(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
-    """X'(X V) of the rows X (column ``x``) and the basis V, from one pass."""
-    d, width = basis.shape
-    shared = rows.sparkSession.sparkContext.broadcast(basis)
+def _summed(rows: DataFrame, shape: tuple[int, int], part_of: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """The sum over all batches of ``rows`` of what ``part_of`` makes of one, from one pass."""
+    d, width = shape
     parts = max(1, math.isqrt(rows.rdd.getNumPartitions()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, total = shared.value, np.zeros((d, width))
+        total = np.zeros((d, width))
         for batch in batches:
             if batch.num_rows:
-                x = batch.column("x").flatten().to_numpy().reshape(-1, d)
-                total += x.T @ (x @ v)
+                total += part_of(batch)
         number_of = TaskContext.get().partitionId() % parts
         pieces = [total[at : at + PIECE].tobytes() for at in range(0, d, PIECE)]
         yield pa.RecordBatch.from_arrays(
@@ -75,6 +73,33 @@ def twice_multiplied(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
     return out
 
 
+def twice_multiplied(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
+    """X'(X V) of the rows X (column ``x``) and the basis V, from one pass."""
+    d, width = basis.shape
+    shared = rows.sparkSession.sparkContext.broadcast(basis)
+
+    def part_of(batch: pa.RecordBatch) -> np.ndarray:
+        x = batch.column("x").flatten().to_numpy().reshape(-1, d)
+        return x.T @ (x @ shared.value)
+
+    return _summed(rows, (d, width), part_of)
+
+
+def covariance(rows: DataFrame, n: int) -> np.ndarray:
+    """Covariance of the ``n`` rows, whose columns are numbers near zero on the mean, from one pass; a missing value is an error."""
+    d = len(rows.columns)
+
+    def part_of(batch: pa.RecordBatch) -> np.ndarray:
+        if any(c.null_count for c in batch.columns):
+            raise ValueError("a value for principal components is missing")
+        x = np.column_stack([c.to_numpy() for c in batch.columns])
+        return np.vstack([x.T @ x, x.sum(axis=0)])
+
+    total = _summed(rows, (d + 1, d), part_of)
+    means = total[d] / n
+    return (total[:d] - n * np.outer(means, means)) / (n - 1)
+
+
 def principal_axes(
     rows: DataFrame, d: int, n: int, total: float, threshold: float, n_components: int | None, most: int
 ) -> tuple[np.ndarray, list[float]]:

@@ -2,7 +2,7 @@
 
 Stages state the aggregates they need (``asks``) of the version of the columns that they see. The encoder reads
 rows as the outlier stage leaves them; so does the scaler for every column that the encoder passes on and for those
-derived from them. Both share one pass. The columns that the encoder makes need none: their statistics follow
+derived from them. Both share one table of statistics: one pass for their texts, one for numbers. The columns that the encoder makes need none: their statistics follow
 from its own counts. The reducer's means follow from the scaler's.
 """
 
@@ -16,7 +16,7 @@ from sparkprep.operators.derived import FeatureEngineer
 from sparkprep.operators.encoding import FeatureEncoder
 from sparkprep.operators.reduction import FeatureReducer
 from sparkprep.operators.scaling import FeatureScaler, FeatureScalerModel, scaling_state
-from sparkprep.operators.tally import ROWS, Tally, number_cells, number_statistics
+from sparkprep.operators.tally import ROWS, Tally, number_statistics
 
 
 def fit_stages(stages: list, df: DataFrame) -> PipelineModel:
@@ -66,8 +66,7 @@ def _shared(stages: list, df: DataFrame) -> tuple | None:
 def _fit_together(encoder, engineer, scaler, encoded: list[str], df: DataFrame) -> tuple[list, dict | None]:
     derived = engineer.transform(df) if engineer else df
     plain = [c for c in numeric_columns(derived, scaler.metadata()) if c not in encoded]
-    asks = encoder.asks(derived) | {"numbers": number_cells(derived, plain)}
-    tally = Tally(derived, asks)
+    tally = Tally(derived, encoder.asks(derived), {"numbers": plain})
     few = tally.most(encoder.bounds(derived) | {"numbers": len(plain)})
     encoding = encoder.model_of(df, tally, few)
     shown = encoding.transform(df)

@@ -9,8 +9,16 @@ from pyspark.sql import functions as F
 
 from sparkprep.operators.derived import FeatureEngineer
 from sparkprep.operators.encoding import FeatureEncoder
+from sparkprep.operators.reduction import FeatureReducer
 from sparkprep.operators.scaling import FeatureScaler
-from sparkprep.operators.tally import Tally, cell, indicator_statistics, number_cells, number_statistics
+from sparkprep.operators.tally import (
+    Tally,
+    cell,
+    column_moments,
+    indicator_statistics,
+    number_cells,
+    number_statistics,
+)
 from sparkprep.plans.fitting import fit_stages
 from sparkprep.plans.preparation import preparation_stages
 
@@ -138,3 +146,44 @@ def test_passes_do_not_grow_with_columns(spark, tmp_path):
         df = spark.read.parquet(path)
         found.append(passes(spark, df, lambda df=df: fit_stages(chain(), df)))
     assert found[0] <= 12 and found[1] <= found[0] + 0.5, found
+
+
+def test_tokens_of_a_cell_are_made_once(spark):
+    """Not once more for each token, which a nested expression would cost."""
+    ask = FeatureEncoder(multilabel_cols=["many"], onehot_cols=[], target_cols=[], **ROLES).asks(made(spark))["list many"]
+    assert str(ask).count("regexp_replace") == 1
+
+
+def test_moments_of_columns(spark):
+    """Against Spark's own aggregates; numbers are added up in their tasks and not exploded."""
+    far = float("inf")
+    rows = [(i, float(i * i % 31) + 1e6, 5.5, None, i / 3 if i % 4 else None, far if i == 9 else 1.0) for i in range(300)]
+    rows += [(None, float("nan"), 5.5, None, None, 2.0)]
+    df = spark.createDataFrame(rows, "a int, b double, c double, d double, e float, f double").repartition(5)
+    found = number_statistics(column_moments(df, df.columns).collect())
+    assert sorted(found) == sorted(df.columns)
+    for c in df.columns:
+        v = F.nanvl(F.col(c).cast("double"), F.lit(None))
+        r = df.agg(F.count(v), F.avg(v), F.stddev_pop(v), F.min(v), F.max(v), F.skewness(v)).first()
+        for x, y in zip(found[c].values(), r):
+            assert x == y or (x != x and y != y) or abs(x - y) <= 1e-9 * max(abs(x), abs(y), 1), (c, found[c], r)
+    assert column_moments(df.where("a > 1000"), df.columns).count() == 0
+    assert "Generate" not in column_moments(df, df.columns)._jdf.queryExecution().toString()
+
+
+def test_components_read_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    plain = made(spark, 3000).select("id", "a", "b", "same").na.fill(0.0)
+    df = plain.mapInArrow(counted, plain.schema)
+    reducer = FeatureReducer(label="y", split_col="part", preserve_cols=["id"])
+    columns = reducer.columns_of(df)
+    means = [plain.agg(F.avg(c)).first()[0] for c in columns]
+    model = reducer.fit_centred(df, columns, means, 3000)
+    assert seen.value == 3000
+    assert abs(sum(model.explained_variance_ratio())) >= 0.95
