@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkprep.functions.columns import small_frame
+
 KEY = "code"
 LABEL = "grade"
 CLASSES = ["a", "b", "c", "d", "e"]
@@ -41,13 +43,44 @@ def _blank(key: str, modulus: int, remainder: int, c: Column) -> Column:
     return F.when(F.col(key) % modulus != remainder, c)
 
 
+WORD, MOST_WORDS = 63, 16  #: names of one word of bits, words of a row
+
+
+def _held(word: Column, names: list[str]) -> Column:
+    """The names whose bit ``word`` has; none where it is null."""
+    bits = F.coalesce(word, F.lit(0).cast("long"))
+    return F.filter(F.array(*[F.lit(n) for n in names]), lambda _, i: F.getbit(bits, i) == 1)
+
+
+def _name_sets(nation: DataFrame) -> tuple[DataFrame, list[Column], Column]:
+    """``nation`` with what an aggregate of a set of its names needs, the aggregates, and the sorted names of a set.
+
+    A set is a bit for each name, which is summed up without an object for each group. Tables of very many names
+    take sets of texts.
+    """
+    some = nation.select("n_name").where("n_name IS NOT NULL").distinct().limit(WORD * MOST_WORDS + 1)
+    names = sorted(r["n_name"] for r in some.collect())
+    if not names or len(names) > WORD * MOST_WORDS:
+        return nation, [F.collect_set("n_name").alias("names")], F.array_sort("names")
+    places = small_frame(nation.sparkSession, list(zip(names, range(len(names)))), "__name string, place long")
+    placed = nation.join(F.broadcast(places), F.col("n_name") == F.col("__name"), "left")
+    words, parts = [], []
+    for w, first in enumerate(range(0, len(names), WORD)):
+        own = F.col("place").between(first, first + WORD - 1)
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") - first).cast("int"))
+        words.append(F.bit_or(F.when(own, bit)).alias(f"names{w}"))
+        parts.append(_held(F.col(f"names{w}"), names[first : first + WORD]))
+    return placed, words, F.concat(*parts)
+
+
 def product_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
+    placed, names, countries = _name_sets(nation)
     # Table by table: a join's size is overestimated, so one with a joined table would shuffle the lines.
     lines = (
         table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(placed, F.col("s_nationkey") == F.col("n_nationkey"))
         .groupBy("l_orderkey")
         .agg(
             F.sum("l_quantity").alias("qty"),
@@ -55,8 +88,9 @@ def product_features(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("l_discount").alias("disc"),
             F.min("l_tax").alias("tax_min"),
             F.count(F.lit(1)).alias("n_lines"),
-            F.array_join(F.array_sort(F.collect_set("n_name")), ",").alias("countries"),
+            *names,
         )
+        .withColumn("countries", F.array_join(countries, ","))
     )
     orders = table(spark, sf_dir, "orders")
     grade = F.substring(F.lit("".join(CLASSES)), F.substring("o_orderpriority", 1, 1).cast("int"), 1)

@@ -1,0 +1,40 @@
+"""The derived table on made order tables: the names of an order's suppliers' nations."""
+
+import random
+
+import pytest
+
+from sparkprep.plans import product_features as made_table
+
+
+@pytest.mark.parametrize("most_words", [16, 1])
+def test_names_of_an_order(spark, tmp_path, monkeypatch, most_words):
+    """More names than one word of bits holds, one twice, one missing; and sets of texts where there are too many."""
+    monkeypatch.setattr(made_table, "MOST_WORDS", most_words)
+    rng = random.Random(3)
+    names = [f"n{rng.randrange(10**6):06d}" for _ in range(150)]
+    names[7], names[9], names[11] = names[8], None, "ü, x"
+    lines = [(o, rng.randrange(300), float(rng.randrange(1, 50))) for o in range(60) for _ in range(1 + o % 7)]
+    lines += [(60, 9, 1.0), (61, 11, 2.0), (61, 11, 2.0)]
+    tables = {
+        "nation": (list(enumerate(names)), "n_nationkey long, n_name string"),
+        "supplier": ([(s, s % 150) for s in range(300)], "s_suppkey long, s_nationkey long"),
+        "customer": ([(1, 3, 10.0, "S")], "c_custkey long, c_nationkey long, c_acctbal double, c_mktsegment string"),
+        "orders": (
+            [(o, 1, "1-URGENT", 5.0) for o in range(62)],
+            "o_orderkey long, o_custkey long, o_orderpriority string, o_totalprice double",
+        ),
+        "lineitem": (
+            [(o, s, q, 0.1, 0.2) for o, s, q in lines],
+            "l_orderkey long, l_suppkey long, l_quantity double, l_discount double, l_tax double",
+        ),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    done = made_table.product_features(spark, str(tmp_path))
+    wanted = {o: set() for o in range(62)}
+    for o, s, _ in lines:
+        wanted[o] |= {names[s % 150]} - {None}
+    assert {r["code"]: r["countries"] for r in done.collect()} == {o: ",".join(sorted(n)) for o, n in wanted.items()}
+    # Sets of texts are objects, which are sorted instead of hashed from 128 orders a task on.
+    assert ("ObjectHashAggregate" in done._jdf.queryExecution().toString()) == (most_words == 1)
